@@ -51,62 +51,69 @@ def feature_manifest(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "feature STRING, type STRING")
 
 
+def where_running_total_reaches(
+    counts: DataFrame, label: str, order: list[str], wanted: str
+) -> DataFrame:
+    """Per label, the row at which the running sum of ``n`` reaches ``wanted``.
+
+    ``still_needed`` is how many of that row's ``n`` it takes. The running sum sees
+    counts per bucket or the keys of one bucket, never the rows themselves.
+    """
+    running = F.sum("n").over(W.partitionBy(label).orderBy(*order))
+    reached = (F.col("upto") >= F.col(wanted)) & (F.col("upto") - F.col("n") < F.col(wanted))
+    return (
+        counts.withColumn("upto", running)
+        .filter(reached)
+        .select(label, *order, (F.col(wanted) - F.col("upto") + F.col("n")).alias("still_needed"))
+    )
+
+
 def stratified_split(
     df: DataFrame,
     test_fraction: float = 0.2,
     seed: int = 42,
     label: str = LABEL,
     key: str = KEY,
-    bucket_digits: int = 4,
+    bucket_digits: int = 3,
 ) -> DataFrame:
     """Add ``split`` = train/test with the label shares kept exactly.
 
     Rows are ordered by a hash of their key and the first ``test_fraction`` of each class
     is the test set. Ranking a class outright would put half the data into one task, so
-    the cut is found in two small steps: counts per leading hash digits locate the bucket
-    where the cut falls, and only that bucket's keys are ranked. The result is one cut
-    value per class (two rows, hence the broadcast), and the split is a comparison.
+    the cut is located like a number in a drawer: counts per leading hash digits give the
+    bucket it falls in, the next digits narrow it down within that bucket, and only the
+    few keys left are ranked. The result is one cut value per class (hence the
+    broadcasts: two rows each), and the split itself is a comparison.
+    Rows without a label or key belong to neither side and are left out.
     """
-    digest = F.md5(F.concat(F.col(key), F.lit(str(seed))))
-    hashed = df.withColumn("key_hash", digest)
-    by_bucket = (
-        hashed.withColumn("bucket", F.substring("key_hash", 1, bucket_digits))
-        .groupBy(label, "bucket")
-        .agg(F.count("*").alias("n"))
+    # The filters the joins below would imply are stated once up front, so that all uses
+    # of the input have the same plan and Spark can share its shuffle.
+    hashed = (
+        df.withColumn("key_hash", F.md5(F.concat(F.col(key), F.lit(str(seed)))))
+        .withColumn("bucket", F.substring("key_hash", 1, bucket_digits))
+        .filter(F.col(label).isNotNull() & F.col("bucket").isNotNull())
     )
-    running = W.partitionBy(label).orderBy("bucket")
-    whole_class = W.partitionBy(label)
+    by_bucket = hashed.groupBy(label, "bucket").agg(F.count("*").alias("n"))
     total = by_bucket.agg(F.sum("n")).scalar()
-    in_train = total - F.ceil(total * F.lit(test_fraction))
-    cut_bucket = (
-        by_bucket.withColumns(
-            {"upto": F.sum("n").over(running), "class_n": F.sum("n").over(whole_class)}
-        )
-        .withColumn(
-            "test_n",
-            F.col("class_n")
-            - F.floor(F.col("class_n").cast("double") * in_train / total + F.lit(0.5)),
-        )
-        .filter((F.col("upto") >= F.col("test_n")) & (F.col("upto") - F.col("n") < F.col("test_n")))
-        .select(
-            label, "bucket", (F.col("test_n") - F.col("upto") + F.col("n")).alias("still_needed")
-        )
+    class_n = F.sum("n").over(W.partitionBy(label))
+    in_train = (total - F.ceil(total * F.lit(test_fraction))) / total
+    test_n = class_n - F.floor(class_n * in_train + F.lit(0.5))
+    cut_bucket = where_running_total_reaches(
+        by_bucket.withColumn("test_n", test_n), label, ["bucket"], "test_n"
     )
-    in_cut_bucket = (
-        hashed.select(label, key, "key_hash", F.substring("key_hash", 1, bucket_digits).alias("bucket"))
+    keys = (
+        hashed.select(label, key, "key_hash", "bucket")
         .join(F.broadcast(cut_bucket), [label, "bucket"])
         .groupBy(label, "key_hash", key, "still_needed")
         .agg(F.count("*").alias("n"))
+        .withColumn("part", F.substring("key_hash", bucket_digits + 1, bucket_digits))
     )
-    by_hash = W.partitionBy(label).orderBy("key_hash", key)
-    cut = (
-        in_cut_bucket.withColumn("upto", F.sum("n").over(by_hash))
-        .filter(
-            (F.col("upto") >= F.col("still_needed"))
-            & (F.col("upto") - F.col("n") < F.col("still_needed"))
-        )
-        .select(label, F.struct("key_hash", key).alias("cut"))
-    )
+    by_part = keys.groupBy(label, "part", "still_needed").agg(F.sum("n").alias("n"))
+    cut_part = where_running_total_reaches(by_part, label, ["part"], "still_needed")
+    last_keys = keys.drop("still_needed").join(F.broadcast(cut_part), [label, "part"])
+    cut = where_running_total_reaches(
+        last_keys, label, ["key_hash", key], "still_needed"
+    ).select(label, F.struct("key_hash", key).alias("cut"))
     is_test = F.struct("key_hash", key) <= F.col("cut")
     return (
         hashed.join(F.broadcast(cut), label, "left")

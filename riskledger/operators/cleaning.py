@@ -40,13 +40,21 @@ def fill_missing(df: DataFrame) -> DataFrame:
 
 
 def has_valid_amount() -> Column:
-    """True for positive amounts; null and NaN are not positive."""
+    """True for positive amounts, unknown for missing ones; NaN is not positive.
+
+    Left as a plain comparison so that the Parquet reader can use it.
+    """
     amount = F.col("transaction_amount")
-    return F.coalesce(~F.isnan(amount) & (amount > 0), F.lit(False))
+    return ~F.isnan(amount) & (amount > 0)
 
 
 def has_valid_status() -> Column:
-    return F.coalesce(F.col("transaction_status").isin(VALID_STATUSES), F.lit(False))
+    return F.col("transaction_status").isin(VALID_STATUSES)
+
+
+def is_true(condition: Column) -> Column:
+    """The condition with unknown counted as false, for negating and for counting."""
+    return F.coalesce(condition, F.lit(False))
 
 
 def keep_positive_amounts(df: DataFrame) -> DataFrame:
@@ -74,7 +82,7 @@ def add_time_features(df: DataFrame) -> DataFrame:
 
 def flag(condition: Column) -> Column:
     """1 where the condition holds, 0 where it fails or is unknown."""
-    return F.coalesce(condition, F.lit(False)).cast("int")
+    return is_true(condition).cast("int")
 
 
 def add_threshold_flags(df: DataFrame) -> DataFrame:

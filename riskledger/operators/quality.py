@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskledger.functions.measures import additive_measures, rate_pct
-from riskledger.operators.cleaning import has_valid_amount, has_valid_status
+from riskledger.operators.cleaning import has_valid_amount, has_valid_status, is_true
 
 
 def cleaning_counters(raw: DataFrame) -> DataFrame:
@@ -17,12 +17,13 @@ def cleaning_counters(raw: DataFrame) -> DataFrame:
     """
     copies = raw.groupBy(*raw.columns).agg(F.count("*").alias("copies"))
     amount = F.col("transaction_amount")
+    amount_passes, status_passes = is_true(has_valid_amount()), is_true(has_valid_status())
     return copies.agg(
         F.sum("copies").alias("raw_rows"),
         (F.sum("copies") - F.count("*")).alias("duplicates_removed"),
         F.count_if(~F.isnan(amount) & (amount <= 0)).alias("invalid_amounts"),
-        F.count_if(has_valid_amount() & ~has_valid_status()).alias("invalid_statuses"),
-        F.count_if(has_valid_amount() & has_valid_status()).alias("clean_rows"),
+        F.count_if(amount_passes & ~status_passes).alias("invalid_statuses"),
+        F.count_if(amount_passes & status_passes).alias("clean_rows"),
     )
 
 

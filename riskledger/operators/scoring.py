@@ -50,24 +50,22 @@ def score_in_flight(txn: DataFrame) -> DataFrame:
     )
 
 
-def summarise_levels(scored: DataFrame) -> DataFrame:
-    return scored.groupBy("risk_level").agg(
-        F.count("*").alias("transactions"), F.sum("risk_score").alias("score_total")
-    )
-
-
 def present_levels(levels: DataFrame) -> DataFrame:
-    average = rounded_average(F.col("score_total"), F.col("transactions"))
+    """Size, mean score and share of each level, from counts and score sums."""
+    average = rounded_average(F.col("score_total"), F.col("total_transactions"))
     return levels.select(
         "risk_level",
-        "transactions",
+        F.col("total_transactions").alias("transactions"),
         average.alias("avg_risk_score"),
-        share_pct("transactions", levels).alias("pct_total"),
+        share_pct("total_transactions", levels).alias("pct_total"),
     ).orderBy(F.desc("avg_risk_score"), "risk_level")
 
 
 def risk_level_summary(scored: DataFrame) -> DataFrame:
-    return present_levels(summarise_levels(scored))
+    levels = scored.groupBy("risk_level").agg(
+        F.count("*").alias("total_transactions"), F.sum("risk_score").alias("score_total")
+    )
+    return present_levels(levels)
 
 
 def top_risk_transactions(scored: DataFrame, n: int = 25) -> DataFrame:

@@ -247,8 +247,8 @@ hashed AS (SELECT *, md5(concat(transaction_id, '42')) AS key_hash FROM txn),
 total AS (SELECT COUNT(*) AS all_n, COUNT(*) - CAST(ceil(COUNT(*) * 0.2E0) AS BIGINT) AS train_n
           FROM txn),
 classes AS (
-  SELECT is_fraud, COUNT(*) - CAST(floor(CAST(COUNT(*) AS DOUBLE) * any_value(train_n)
-         / any_value(all_n) + 0.5E0) AS BIGINT) AS test_n
+  SELECT is_fraud, COUNT(*) - CAST(floor(COUNT(*) * (any_value(train_n)
+         / CAST(any_value(all_n) AS DOUBLE)) + 0.5E0) AS BIGINT) AS test_n
   FROM txn, total GROUP BY is_fraud),
 numbered AS (
   SELECT transaction_id, is_fraud,

@@ -12,10 +12,10 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from riskledger.operators.cleaning import clean_payments
-from riskledger.operators.scoring import present_levels, score_transactions, top_risk_transactions
-from riskledger.plans.marts import MARTS, MARTS_FROM_ROLLUP
-from riskledger.plans.questions import QUESTIONS, Question
-from riskledger.plans.rollup import at_grain, kpi_rollup
+from riskledger.operators.scoring import score_transactions, top_risk_transactions
+from riskledger.plans.marts import MARTS
+from riskledger.plans.questions import QUESTIONS, RISK_LEVELS
+from riskledger.plans.rollup import Report, kpi_rollup
 from riskledger.schema import CLEAN_COLUMNS, MART_NAMES, SCORED, TRANSACTIONS
 from riskledger.sinks import export_tables, replace_table, write_report_csv
 
@@ -34,35 +34,38 @@ def load_transactions(
     return stored
 
 
-def build_marts(spark: SparkSession, location: str | None = None) -> dict[str, DataFrame]:
-    """The four reporting tables from one pass over the stored payments."""
-    rollup = kpi_rollup(spark.table(SCORED))
-    stored = replace_table(rollup, ROLLUP, location and f"{location}/{ROLLUP}")
-    return {
-        name: replace_table(
-            shape(at_grain(stored, grain)), name, location and f"{location}/{name}"
-        )
-        for name, (grain, shape) in MARTS_FROM_ROLLUP.items()
-    }
+def build_rollup(spark: SparkSession, location: str | None = None) -> DataFrame:
+    """One pass over the stored payments, kept as a small table."""
+    return replace_table(
+        kpi_rollup(spark.table(SCORED)), ROLLUP, location and f"{location}/{ROLLUP}"
+    )
 
 
-def build_marts_separately(
-    spark: SparkSession, location: str | None = None
+def build_marts(
+    spark: SparkSession, location: str | None = None, from_rollup: bool = True
 ) -> dict[str, DataFrame]:
-    """The same tables, each from its own scan of just its columns."""
-    txn = spark.table(TRANSACTIONS)
-    return {
-        name: replace_table(mart(txn), name, location and f"{location}/{name}")
-        for name, mart in MARTS.items()
-    }
+    """The four reporting tables, from the stored rollup or each from its own scan.
+
+    Four scans of a few columns each cost less processor time than the rollup; the
+    rollup pays off once the questions and risk levels are read from it too.
+    """
+    built = {}
+    for name, report in MARTS.items():
+        if from_rollup:
+            mart = report.over_rollup(spark.table(ROLLUP))
+        else:
+            mart = report.over_payments(spark.table(TRANSACTIONS))
+        built[name] = replace_table(mart, name, location and f"{location}/{name}")
+    return built
 
 
 def run_questions(
     spark: SparkSession,
     folder: str | None = None,
-    questions: Mapping[str, Question | str] = QUESTIONS,
+    questions: Mapping[str, Report | str] = QUESTIONS,
+    from_rollup: bool = True,
 ) -> dict[str, DataFrame]:
-    """Answer named questions (DataFrame builders or SQL text) over the stored tables.
+    """Answer named questions: reports, or SQL text over the stored tables.
 
     With a folder, every answer is also written to ``folder/name`` as CSV.
     """
@@ -70,8 +73,10 @@ def run_questions(
     for name, question in questions.items():
         if isinstance(question, str):
             answers[name] = spark.sql(question)
+        elif from_rollup:
+            answers[name] = question.over_rollup(spark.table(ROLLUP))
         else:
-            answers[name] = question.answer(spark.table(question.table))
+            answers[name] = question.over_payments(spark.table(TRANSACTIONS))
         if folder:
             write_report_csv(answers[name], f"{folder}/{name}")
     return answers
@@ -79,13 +84,8 @@ def run_questions(
 
 def risk_reports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Risk levels (from the rollup) and the riskiest payments, written as CSV."""
-    levels = at_grain(spark.table(ROLLUP), "level").select(
-        "risk_level", "total_transactions", "score_total"
-    )
     reports = {
-        "risk_level_summary": present_levels(
-            levels.withColumnRenamed("total_transactions", "transactions")
-        ),
+        "risk_level_summary": RISK_LEVELS.over_rollup(spark.table(ROLLUP)),
         "top_risk_transactions": top_risk_transactions(spark.table(SCORED)),
     }
     for name, report in reports.items():
@@ -102,6 +102,7 @@ def run_batch(
 ) -> dict[str, DataFrame]:
     """Load, build marts, export them, answer every question, write the risk reports."""
     load_transactions(spark, raw, location)
+    build_rollup(spark, location)
     build_marts(spark, location)
     export_tables(spark, exports, reports)
     answers = run_questions(spark, f"{reports}/sql_outputs")

@@ -1,7 +1,7 @@
 """The four reporting tables.
 
-Each has a ``present_*`` half that needs only additive sums, so that it can read either
-a direct group-by or the shared rollup.
+Each is a grain plus a function of that grain's additive sums, so it can be built from
+a group-by over the payments or read from the shared rollup.
 """
 
 from __future__ import annotations
@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskledger.functions.measures import present, share_pct, summarise
+from riskledger.functions.measures import present, share_pct
 from riskledger.operators.merchants import merchant_risk_tier, worst_first
+from riskledger.plans.rollup import Report
 from riskledger.schema import DAILY, FAILED, FAILURE, HOURLY, MERCHANT
 
 MERCHANT_MIN_TRANSACTIONS = 20
@@ -35,11 +36,8 @@ def present_daily(summary: DataFrame) -> DataFrame:
     return present(summary, ["transaction_date", *KPI_COLUMNS]).orderBy("transaction_date")
 
 
-def daily_payment_kpis(txn: DataFrame) -> DataFrame:
-    return present_daily(summarise(txn, "transaction_date"))
-
-
 def present_merchants(summary: DataFrame) -> DataFrame:
+    """Per merchant and category, for groups large enough to judge."""
     enough = summary.filter(F.col("total_transactions") >= MERCHANT_MIN_TRANSACTIONS)
     figures = present(
         enough,
@@ -57,11 +55,6 @@ def present_merchants(summary: DataFrame) -> DataFrame:
     return worst_first(tiered, "fraud_rate_pct", "chargeback_rate_pct")
 
 
-def merchant_risk_summary(txn: DataFrame) -> DataFrame:
-    """Per merchant and category, for groups large enough to judge."""
-    return present_merchants(summarise(txn, "merchant_id", "merchant_category"))
-
-
 def failed_payments(txn: DataFrame) -> DataFrame:
     return txn.filter(F.col("transaction_status") == FAILED)
 
@@ -75,30 +68,14 @@ def present_failures(summary: DataFrame) -> DataFrame:
     ).orderBy(F.desc("transaction_count"), "failure_reason")
 
 
-def failure_reason_summary(txn: DataFrame) -> DataFrame:
-    return present_failures(summarise(failed_payments(txn), "failure_reason"))
-
-
 def present_hourly(summary: DataFrame) -> DataFrame:
     columns = ["hour", "total_transactions", *RISK_COUNTS, *RISK_RATES]
     return present(summary, columns).orderBy("hour")
 
 
-def hourly_risk_summary(txn: DataFrame) -> DataFrame:
-    return present_hourly(summarise(txn, "hour"))
-
-
-MARTS = {
-    DAILY: daily_payment_kpis,
-    MERCHANT: merchant_risk_summary,
-    FAILURE: failure_reason_summary,
-    HOURLY: hourly_risk_summary,
-}
-
-# Table name -> (rollup grain, how to present its sums).
-MARTS_FROM_ROLLUP = {
-    DAILY: ("daily", present_daily),
-    MERCHANT: ("merchant", present_merchants),
-    FAILURE: ("reason", present_failures),
-    HOURLY: ("hourly", present_hourly),
+MARTS: dict[str, Report] = {
+    DAILY: Report("daily", present_daily),
+    MERCHANT: Report("merchant", present_merchants),
+    FAILURE: Report("reason", present_failures, rows=failed_payments),
+    HOURLY: Report("hourly", present_hourly),
 }

@@ -1,132 +1,127 @@
-"""The named business questions, each a DataFrame over a named table."""
+"""The named business questions."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskledger.functions.measures import present, summarise
+from riskledger.functions.measures import present
 from riskledger.operators.merchants import high_risk_merchants
-from riskledger.plans.marts import KPI_COLUMNS, RISK_RATES
-from riskledger.schema import DAILY, FAILURE, MERCHANT, TRANSACTIONS
+from riskledger.operators.scoring import present_levels
+from riskledger.plans.marts import (
+    KPI_COLUMNS,
+    RISK_RATES,
+    failed_payments,
+    present_daily,
+    present_failures,
+    present_merchants,
+)
+from riskledger.plans.rollup import Report
 
 LOCATION_MIN_TRANSACTIONS = 100
 
 
-def executive_payment_kpis(txn: DataFrame) -> DataFrame:
-    return present(summarise(txn), KPI_COLUMNS)
+def executive_payment_kpis(summary: DataFrame) -> DataFrame:
+    return present(summary, KPI_COLUMNS)
 
 
-def daily_payment_trend(daily: DataFrame) -> DataFrame:
-    return daily.select(
+def daily_payment_trend(summary: DataFrame) -> DataFrame:
+    return present_daily(summary).select(
         "transaction_date",
         "total_transactions",
         "total_payment_volume",
         "approval_rate_pct",
         *RISK_RATES,
-    ).orderBy("transaction_date")
+    )
 
 
-def top_failure_reasons(failures: DataFrame) -> DataFrame:
-    return failures.select(
-        "failure_reason", "transaction_count", "pct_of_failed_transactions"
-    ).orderBy(F.desc("transaction_count"), "failure_reason")
+def top_high_risk_merchants(summary: DataFrame) -> DataFrame:
+    return high_risk_merchants(present_merchants(summary))
 
 
-def ranked(txn: DataFrame, key: str, columns: list[str], by: str) -> DataFrame:
+def ranked(summary: DataFrame, key: str, columns: list[str], by: str) -> DataFrame:
     """Figures per key, highest ``by`` first, the key deciding among equals."""
-    return present(summarise(txn, key), [key, *columns]).orderBy(F.desc(by), key)
+    return present(summary, [key, *columns]).orderBy(F.desc(by), key)
 
 
-def fraud_by_channel(txn: DataFrame) -> DataFrame:
+def fraud_by_channel(summary: DataFrame) -> DataFrame:
     columns = ["total_transactions", "fraud_transactions", "fraud_rate_pct"]
-    return ranked(txn, "channel", [*columns, "avg_transaction_amount"], "fraud_rate_pct")
+    return ranked(summary, "channel", [*columns, "avg_transaction_amount"], "fraud_rate_pct")
 
 
-def chargeback_by_category(txn: DataFrame) -> DataFrame:
+def chargeback_by_category(summary: DataFrame) -> DataFrame:
     columns = ["total_transactions", "chargebacks", "chargeback_rate_pct", "total_payment_volume"]
-    return ranked(txn, "merchant_category", columns, "chargeback_rate_pct")
+    return ranked(summary, "merchant_category", columns, "chargeback_rate_pct")
 
 
 def compared(
-    txn: DataFrame, flag: str, name: str, labels: tuple[str, str], average: str, by: str
+    summary: DataFrame, flag: str, name: str, labels: tuple[str, str], average: str, by: str
 ) -> DataFrame:
     """One row per value of a 0/1 flag, shown under a label (second label: everything else)."""
     columns = ["total_transactions", average, *RISK_RATES]
-    figures = present(summarise(txn, flag), [flag, *columns])
     label = F.when(F.col(flag) == 1, labels[0]).otherwise(labels[1])
+    figures = present(summary, [flag, *columns])
     return figures.select(label.alias(name), *columns).orderBy(F.desc(by), name)
 
 
-def weekend_vs_weekday_risk(txn: DataFrame) -> DataFrame:
+def weekend_vs_weekday_risk(summary: DataFrame) -> DataFrame:
     labels = ("Weekend", "Weekday")
     return compared(
-        txn, "is_weekend", "day_type", labels, "avg_transaction_amount", "fraud_rate_pct"
+        summary, "is_weekend", "day_type", labels, "avg_transaction_amount", "fraud_rate_pct"
     )
 
 
-def slow_response_impact(txn: DataFrame) -> DataFrame:
-    labels = ("Slow Response", "Normal Response")
+def slow_response_impact(summary: DataFrame) -> DataFrame:
     return compared(
-        txn,
+        summary,
         "slow_response",
         "response_type",
-        labels,
+        ("Slow Response", "Normal Response"),
         "avg_processor_response_ms",
         "failure_rate_pct",
     )
 
 
-def high_value_risk(txn: DataFrame) -> DataFrame:
-    labels = ("High Value", "Standard Value")
+def high_value_risk(summary: DataFrame) -> DataFrame:
     return compared(
-        txn,
+        summary,
         "high_value_txn",
         "transaction_value_type",
-        labels,
+        ("High Value", "Standard Value"),
         "avg_transaction_amount",
         "fraud_rate_pct",
     )
 
 
-def payment_method_performance(txn: DataFrame) -> DataFrame:
+def payment_method_performance(summary: DataFrame) -> DataFrame:
     columns = ["total_transactions", "total_payment_volume", "avg_transaction_amount", *RISK_RATES]
-    return ranked(txn, "payment_method", columns, "failure_rate_pct")
+    return ranked(summary, "payment_method", columns, "failure_rate_pct")
 
 
-def monthly_risk_trend(txn: DataFrame) -> DataFrame:
+def monthly_risk_trend(summary: DataFrame) -> DataFrame:
     """Calendar months; the same month of different years counts together."""
     columns = ["month", "total_transactions", "total_payment_volume", *RISK_RATES]
-    return present(summarise(txn, "month"), columns).orderBy("month")
+    return present(summary, columns).orderBy("month")
 
 
-def location_based_risk(txn: DataFrame) -> DataFrame:
-    summary = summarise(txn, "customer_location")
+def location_based_risk(summary: DataFrame) -> DataFrame:
     enough = summary.filter(F.col("total_transactions") >= LOCATION_MIN_TRANSACTIONS)
-    columns = ["customer_location", "total_transactions", "total_payment_volume", *RISK_RATES]
-    return present(enough, columns).orderBy(F.desc("fraud_rate_pct"), "customer_location")
-
-
-@dataclass(frozen=True)
-class Question:
-    table: str
-    answer: Callable[[DataFrame], DataFrame]
-
-
-QUESTIONS: dict[str, Question] = {
-    "executive_payment_kpis": Question(TRANSACTIONS, executive_payment_kpis),
-    "daily_payment_trend": Question(DAILY, daily_payment_trend),
-    "top_failure_reasons": Question(FAILURE, top_failure_reasons),
-    "high_risk_merchants": Question(MERCHANT, high_risk_merchants),
-    "fraud_by_channel": Question(TRANSACTIONS, fraud_by_channel),
-    "chargeback_by_category": Question(TRANSACTIONS, chargeback_by_category),
-    "weekend_vs_weekday_risk": Question(TRANSACTIONS, weekend_vs_weekday_risk),
-    "slow_response_impact": Question(TRANSACTIONS, slow_response_impact),
-    "high_value_risk": Question(TRANSACTIONS, high_value_risk),
-    "payment_method_performance": Question(TRANSACTIONS, payment_method_performance),
-    "monthly_risk_trend": Question(TRANSACTIONS, monthly_risk_trend),
-    "location_based_risk": Question(TRANSACTIONS, location_based_risk),
+    columns = ["total_transactions", "total_payment_volume", *RISK_RATES]
+    return ranked(enough, "customer_location", columns, "fraud_rate_pct")
+
+
+QUESTIONS: dict[str, Report] = {
+    "executive_payment_kpis": Report("overall", executive_payment_kpis),
+    "daily_payment_trend": Report("daily", daily_payment_trend),
+    "top_failure_reasons": Report("reason", present_failures, rows=failed_payments),
+    "high_risk_merchants": Report("merchant", top_high_risk_merchants),
+    "fraud_by_channel": Report("channel", fraud_by_channel),
+    "chargeback_by_category": Report("category", chargeback_by_category),
+    "weekend_vs_weekday_risk": Report("weekend", weekend_vs_weekday_risk),
+    "slow_response_impact": Report("response", slow_response_impact),
+    "high_value_risk": Report("value", high_value_risk),
+    "payment_method_performance": Report("method", payment_method_performance),
+    "monthly_risk_trend": Report("monthly", monthly_risk_trend),
+    "location_based_risk": Report("location", location_based_risk),
 }
+RISK_LEVELS = Report("level", present_levels)

@@ -8,10 +8,13 @@ filter on a small table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskledger.functions.measures import additive_measures
+from riskledger.functions.measures import additive_measures, summarise
 
 GRAINS: dict[str, tuple[str, ...]] = {
     "overall": (),
@@ -53,3 +56,23 @@ def at_grain(rollup: DataFrame, name: str) -> DataFrame:
     """The rows of one grain, shaped like ``summarise`` over that grain's keys."""
     others = [d for d in DIMENSIONS if d not in GRAINS[name]]
     return rollup.filter(F.col("grain") == name).drop("grain", *others)
+
+
+@dataclass(frozen=True)
+class Report:
+    """A report: its grain, and how to shape that grain's additive sums.
+
+    ``rows`` may narrow the payments beforehand; it must not change the shaped result, as
+    the rollup has all payments.
+    """
+
+    grain: str
+    shape: Callable[[DataFrame], DataFrame]
+    rows: Callable[[DataFrame], DataFrame] | None = None
+
+    def over_payments(self, payments: DataFrame) -> DataFrame:
+        chosen = self.rows(payments) if self.rows else payments
+        return self.shape(summarise(chosen, *GRAINS[self.grain]))
+
+    def over_rollup(self, rollup: DataFrame) -> DataFrame:
+        return self.shape(at_grain(rollup, self.grain))

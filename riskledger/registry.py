@@ -13,7 +13,7 @@ from riskledger.models import metrics as mm
 from riskledger.models import training as mt
 from riskledger.operators import cleaning, merchants, quality, scoring, slices
 from riskledger.plans import batch, marts, questions
-from riskledger.plans.rollup import at_grain, kpi_rollup
+from riskledger.plans.rollup import kpi_rollup
 from riskledger.schema import DAILY, FAILURE, HOURLY, MART_NAMES, MERCHANT, RAW_COLUMNS, SCORED
 from riskledger.schema import TRANSACTIONS
 from riskledger.session import shared_folder
@@ -84,7 +84,7 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = marts.daily_payment_kpis(txn(spark, sf_dir))
+    report = marts.MARTS[DAILY].over_payments(txn(spark, sf_dir))
     path = shared_folder(spark, "report-csv")
     write_report_csv(report, path)
     return dates_as_text(spark.read.schema(report.schema).option("header", True).csv(path))
@@ -100,6 +100,7 @@ def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = shared_folder(spark, "tables")
     batch.load_transactions(spark, raw(spark, sf_dir), location)
+    batch.build_rollup(spark, location)
     batch.build_marts(spark, location)
     return table_row_counts(spark, [TRANSACTIONS, SCORED, *MART_NAMES])
 
@@ -107,7 +108,7 @@ def load_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def exported_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = shared_folder(spark, "tables")
     batch.load_transactions(spark, raw(spark, sf_dir), location)
-    built = batch.build_marts_separately(spark, location)
+    built = batch.build_marts(spark, location, from_rollup=False)
     written = export_tables(spark, MART_NAMES, shared_folder(spark, "exports"))
     counts = [
         spark.read.schema(built[name].schema)
@@ -126,8 +127,8 @@ def exported_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def named_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = shared_folder(spark, "tables")
     batch.load_transactions(spark, raw(spark, sf_dir), location)
-    batch.build_marts(spark, location)
-    answers = batch.run_questions(spark)
+    batch.build_rollup(spark, location)
+    answers = batch.run_questions(spark, shared_folder(spark, "answers"))
     counts = [
         answer.agg(F.count("*").alias("row_count")).select(
             F.lit(name).alias("table_name"), "row_count"
@@ -141,8 +142,15 @@ def named_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def from_rollup(table: str) -> Query:
-    grain, shape = marts.MARTS_FROM_ROLLUP[table]
-    return over(scored, kpi_rollup, lambda rollup: shape(at_grain(rollup, grain)))
+    return over(scored, kpi_rollup, marts.MARTS[table].over_rollup)
+
+
+def mart(name: str, *steps: Callable[[DataFrame], DataFrame]) -> Query:
+    return over(txn, marts.MARTS[name].over_payments, *steps)
+
+
+def question(name: str) -> Query:
+    return over(txn, questions.QUESTIONS[name].over_payments)
 
 
 def cached_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,40 +316,32 @@ QUERIES: dict[str, Query] = {
     "datetime_text": over(txn, datetime_text),
     "report_columns": over(scored, lambda df: df.select(*scoring.TOP_RISK_COLUMNS)),
     "failed_payments": over(txn, marts.failed_payments),
-    "high_risk_merchant_rows": over(
-        txn, marts.merchant_risk_summary, merchants.only_high_risk
-    ),
+    "high_risk_merchant_rows": mart(MERCHANT, merchants.only_high_risk),
     "payment_slice": over(scored, travel_online),
     "payment_slice_all": over(
         scored, lambda df: slices.slice_payments(df, slices.ALL, slices.ALL, slices.ALL)
     ),
     "transaction_preview": over(scored, travel_online, slices.transaction_preview),
     # Reporting tables and business questions.
-    DAILY: over(txn, marts.daily_payment_kpis),
-    MERCHANT: over(txn, marts.merchant_risk_summary),
-    FAILURE: over(txn, marts.failure_reason_summary),
-    HOURLY: over(txn, marts.hourly_risk_summary),
-    "merchant_risk_tier": over(txn, marts.merchant_risk_summary, tier_sizes),
-    "executive_payment_kpis": over(txn, questions.executive_payment_kpis),
-    "daily_payment_trend": over(txn, marts.daily_payment_kpis, questions.daily_payment_trend),
-    "top_failure_reasons": over(
-        txn, marts.failure_reason_summary, questions.top_failure_reasons
-    ),
-    "fraud_by_channel": over(txn, questions.fraud_by_channel),
-    "chargeback_by_category": over(txn, questions.chargeback_by_category),
-    "weekend_vs_weekday_risk": over(txn, questions.weekend_vs_weekday_risk),
-    "slow_response_impact": over(txn, questions.slow_response_impact),
-    "high_value_risk": over(txn, questions.high_value_risk),
-    "payment_method_performance": over(txn, questions.payment_method_performance),
-    "monthly_risk_trend": over(txn, questions.monthly_risk_trend),
-    "location_based_risk": over(txn, questions.location_based_risk),
-    "high_risk_merchants": over(
-        txn, marts.merchant_risk_summary, merchants.high_risk_merchants
-    ),
-    "high_risk_merchants_dashboard": over(
-        txn, marts.merchant_risk_summary, merchants.high_risk_merchants_dashboard
-    ),
-    "merchant_top5": over(txn, marts.merchant_risk_summary, merchants.merchant_top5),
+    DAILY: mart(DAILY),
+    MERCHANT: mart(MERCHANT),
+    FAILURE: mart(FAILURE),
+    HOURLY: mart(HOURLY),
+    "merchant_risk_tier": mart(MERCHANT, tier_sizes),
+    "executive_payment_kpis": question("executive_payment_kpis"),
+    "daily_payment_trend": question("daily_payment_trend"),
+    "top_failure_reasons": question("top_failure_reasons"),
+    "fraud_by_channel": question("fraud_by_channel"),
+    "chargeback_by_category": question("chargeback_by_category"),
+    "weekend_vs_weekday_risk": question("weekend_vs_weekday_risk"),
+    "slow_response_impact": question("slow_response_impact"),
+    "high_value_risk": question("high_value_risk"),
+    "payment_method_performance": question("payment_method_performance"),
+    "monthly_risk_trend": question("monthly_risk_trend"),
+    "location_based_risk": question("location_based_risk"),
+    "high_risk_merchants": mart(MERCHANT, merchants.high_risk_merchants),
+    "high_risk_merchants_dashboard": mart(MERCHANT, merchants.high_risk_merchants_dashboard),
+    "merchant_top5": mart(MERCHANT, merchants.merchant_top5),
     # Risk scoring.
     "score_transactions": over(scored),
     "risk_score": over(scored, lambda df: df.select("transaction_id", "risk_score")),

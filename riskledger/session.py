@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Splits oversized partitions of a rebalanced write and merges tiny ones.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Python call sites for every column expression; costs a round trip each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 

@@ -5,10 +5,23 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Any number of part files, written by all tasks in parallel."""
+    """Any number of part files, written by all tasks in parallel.
+
+    Timestamps are written as text, because the CSV writer's own format stops at
+    milliseconds.
+    """
+    text = {
+        f.name: F.col(f.name).cast("string")
+        for f in df.schema
+        if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))
+    }
+    if text:
+        df = df.withColumns(text)
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
