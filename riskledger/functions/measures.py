@@ -22,22 +22,37 @@ def cents(amount: str = "transaction_amount") -> Column:
     return F.rint(F.col(amount) * 100).cast("bigint")
 
 
-def additive_measures() -> list[Column]:
+def measure_inputs() -> list[Column]:
+    """What each payment adds to the sums, as whole numbers."""
     status = F.col("transaction_status")
     return [
-        F.count("*").alias("total_transactions"),
-        F.sum(cents()).alias("amount_cents"),
-        F.count_if(status == APPROVED).alias("approved_transactions"),
-        F.count_if(status == FAILED).alias("failed_transactions"),
-        F.sum("is_fraud").alias("fraud_transactions"),
-        F.sum("is_chargeback").alias("chargeback_transactions"),
-        F.sum("processor_response_ms").alias("response_ms_total"),
+        cents().alias("amount_cents"),
+        (status == APPROVED).cast("int").alias("approved_transactions"),
+        (status == FAILED).cast("int").alias("failed_transactions"),
+        F.col("is_fraud").alias("fraud_transactions"),
+        F.col("is_chargeback").alias("chargeback_transactions"),
+        F.col("processor_response_ms").alias("response_ms_total"),
     ]
 
 
+SUMS = [
+    "amount_cents",
+    "approved_transactions",
+    "failed_transactions",
+    "fraud_transactions",
+    "chargeback_transactions",
+    "response_ms_total",
+]
+
+
+def additive_measures() -> list[Column]:
+    """Sums over ``measure_inputs``."""
+    return [F.count("*").alias("total_transactions"), *[F.sum(c).alias(c) for c in SUMS]]
+
+
 def summarise(df: DataFrame, *keys: str) -> DataFrame:
     """All additive measures per key; the optimizer drops the ones nobody reads."""
-    return df.groupBy(*keys).agg(*additive_measures())
+    return df.select(*keys, *measure_inputs()).groupBy(*keys).agg(*additive_measures())
 
 
 def rate_pct(part: str, whole: str = "total_transactions") -> Column:

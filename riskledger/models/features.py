@@ -68,6 +68,17 @@ def where_running_total_reaches(
     )
 
 
+def match(rows: DataFrame, cuts: DataFrame, *columns: str) -> DataFrame:
+    """Rows of the cut's bucket, with ``still_needed``; ``cuts`` has one row per class.
+
+    Null-safe equality, because plain equality would add not-null filters to this use of
+    the input alone and so keep Spark from sharing one scan or shuffle between all uses.
+    """
+    cuts = cuts.select(*[F.col(c).alias(f"cut_{c}") for c in columns], "still_needed")
+    same = [F.col(c).eqNullSafe(F.col(f"cut_{c}")) for c in columns]
+    return rows.join(F.broadcast(cuts), same).drop(*[f"cut_{c}" for c in columns])
+
+
 def stratified_split(
     df: DataFrame,
     test_fraction: float = 0.2,
@@ -86,12 +97,10 @@ def stratified_split(
     broadcasts: two rows each), and the split itself is a comparison.
     Rows without a label or key belong to neither side and are left out.
     """
-    # The filters the joins below would imply are stated once up front, so that all uses
-    # of the input have the same plan and Spark can share its shuffle.
     hashed = (
-        df.withColumn("key_hash", F.md5(F.concat(F.col(key), F.lit(str(seed)))))
+        df.filter(F.col(label).isNotNull() & F.col(key).isNotNull())
+        .withColumn("key_hash", F.md5(F.concat(F.col(key), F.lit(str(seed)))))
         .withColumn("bucket", F.substring("key_hash", 1, bucket_digits))
-        .filter(F.col(label).isNotNull() & F.col("bucket").isNotNull())
     )
     by_bucket = hashed.groupBy(label, "bucket").agg(F.count("*").alias("n"))
     total = by_bucket.agg(F.sum("n")).scalar()
@@ -103,14 +112,14 @@ def stratified_split(
     )
     keys = (
         hashed.select(label, key, "key_hash", "bucket")
-        .join(F.broadcast(cut_bucket), [label, "bucket"])
+        .transform(lambda rows: match(rows, cut_bucket, label, "bucket"))
         .groupBy(label, "key_hash", key, "still_needed")
         .agg(F.count("*").alias("n"))
         .withColumn("part", F.substring("key_hash", bucket_digits + 1, bucket_digits))
     )
     by_part = keys.groupBy(label, "part", "still_needed").agg(F.sum("n").alias("n"))
     cut_part = where_running_total_reaches(by_part, label, ["part"], "still_needed")
-    last_keys = keys.drop("still_needed").join(F.broadcast(cut_part), [label, "part"])
+    last_keys = match(keys.drop("still_needed"), cut_part, label, "part")
     cut = where_running_total_reaches(
         last_keys, label, ["key_hash", key], "still_needed"
     ).select(label, F.struct("key_hash", key).alias("cut"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -146,22 +146,33 @@ def classification_report(
     return per_class.drop("hits").unionByName(summary)
 
 
-def roc_auc(df: DataFrame, score: str, label: str = "is_fraud") -> DataFrame:
-    """Exact area under the ROC curve for a score with few distinct values.
+def roc_auc(df: DataFrame, scores: Mapping[str, str], label: str = "is_fraud") -> DataFrame:
+    """Exact area under the ROC curve of scores with few distinct values, in one pass.
 
-    Rows are first counted per score (rule scores take at most a few hundred integer
-    values), so the ordered running sum sees that many rows and no more. Ties count half.
-    For continuous model scores use the distributed evaluator in ``training``.
+    ``scores`` maps a scorer's name to its column. Rows are first counted per scorer and
+    score (rule scores take at most a few hundred integer values), so the ordered running
+    sum sees that many rows and no more. Ties count half. For continuous model scores use
+    the distributed evaluator in ``training``.
     """
-    by_score = df.groupBy(score).agg(
-        F.count_if(F.col(label) == 1).alias("positives"),
-        F.count_if(F.col(label) == 0).alias("negatives"),
+    pairs = F.array(
+        *[
+            F.struct(F.lit(name).alias("scorer"), F.col(column).alias("score"))
+            for name, column in scores.items()
+        ]
     )
-    below = F.sum("negatives").over(W.orderBy(score)) - F.col("negatives")
-    wins = by_score.select(
-        "positives",
-        "negatives",
-        (F.col("positives") * (below + F.col("negatives") / F.lit(2.0))).alias("wins"),
+    by_score = (
+        df.select(F.col(label).alias("label"), F.inline(pairs))
+        .groupBy("scorer", "score")
+        .agg(
+            F.count_if(F.col("label") == 1).alias("positives"),
+            F.count_if(F.col("label") == 0).alias("negatives"),
+        )
+    )
+    upto = F.sum("negatives").over(W.partitionBy("scorer").orderBy("score"))
+    half_tied = upto - F.col("negatives") / F.lit(2.0)
+    all_pairs = F.sum("positives").cast("double") * F.sum("negatives")
+    return (
+        by_score.withColumn("wins", F.col("positives") * half_tied)
+        .groupBy("scorer")
+        .agg(F.try_divide(F.sum("wins"), all_pairs).alias("roc_auc"))
     )
-    pairs = F.sum("positives").cast("double") * F.sum("negatives")
-    return wins.agg(F.try_divide(F.sum("wins"), pairs).alias("roc_auc"))

@@ -112,10 +112,9 @@ def train(
         F.count("*"), F.coalesce(F.sum(LABEL), F.lit(0))
     ).first()
     prepared = preprocessing().fit(train_rows)
-    train_vectors = (
-        prepared.transform(train_rows)
-        .select("features", LABEL, class_weight(F.col(LABEL), n, positives).alias("weight"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    # Not persisted: every classifier keeps its own packed copy of its input while fitting.
+    train_vectors = prepared.transform(train_rows).select(
+        "features", LABEL, class_weight(F.col(LABEL), n, positives).alias("weight")
     )
     judged = prepared.transform(test_rows).select(KEY, LABEL, "features")
 
@@ -131,7 +130,6 @@ def train(
             .withColumn(f"probability_{i}", vector_to_array("probability")[1])
             .drop("rawPrediction", "probability", "prediction")
         )
-    train_vectors.unpersist()
 
     columns = {name: i for i, name in enumerate(candidates(n, sizes)) if name in models}
     judged = judged.drop("features").persist(StorageLevel.MEMORY_AND_DISK)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskledger.functions.measures import additive_measures, rate_pct
+from riskledger.functions.measures import rate_pct, summarise
 from riskledger.operators.cleaning import has_valid_amount, has_valid_status, is_true
 
 
@@ -34,8 +34,7 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def overall_rates(df: DataFrame) -> DataFrame:
-    summary = df.agg(*additive_measures())
-    return summary.select(
+    return summarise(df).select(
         rate_pct("approved_transactions").alias("approval_rate_pct"),
         rate_pct("fraud_transactions").alias("fraud_rate_pct"),
         rate_pct("chargeback_transactions").alias("chargeback_rate_pct"),
@@ -51,8 +50,7 @@ def raw_status_counts(raw: DataFrame) -> DataFrame:
 
 
 def raw_outcome_rates(raw: DataFrame) -> DataFrame:
-    summary = raw.agg(*additive_measures())
-    return summary.select(
+    return summarise(raw).select(
         "total_transactions",
         rate_pct("fraud_transactions").alias("fraud_rate_pct"),
         rate_pct("chargeback_transactions").alias("chargeback_rate_pct"),

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskledger.functions.measures import rounded_average, share_pct
+from riskledger.functions.measures import rounded_average
 from riskledger.functions.risk_rules import (
     POST_TXN,
     PRE_TXN,
@@ -51,13 +52,18 @@ def score_in_flight(txn: DataFrame) -> DataFrame:
 
 
 def present_levels(levels: DataFrame) -> DataFrame:
-    """Size, mean score and share of each level, from counts and score sums."""
+    """Size, mean score and share of each level, from counts and score sums.
+
+    The window has no partition on purpose: there are four levels, so four rows.
+    """
     average = rounded_average(F.col("score_total"), F.col("total_transactions"))
+    everything = F.sum("total_transactions").over(W.partitionBy())
+    share = F.round(F.try_divide(F.lit(100.0) * F.col("total_transactions"), everything), 2)
     return levels.select(
         "risk_level",
         F.col("total_transactions").alias("transactions"),
         average.alias("avg_risk_score"),
-        share_pct("total_transactions", levels).alias("pct_total"),
+        share.alias("pct_total"),
     ).orderBy(F.desc("avg_risk_score"), "risk_level")
 
 

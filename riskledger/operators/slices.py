@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskledger.functions.display import currency, percent, thousands
-from riskledger.functions.measures import additive_measures, raw_rate_pct
+from riskledger.functions.measures import raw_rate_pct, summarise
 from riskledger.schema import FAILED
 
 ALL = "All"
@@ -53,7 +53,7 @@ def slice_payments(
 
 def slice_kpis(payments: DataFrame) -> DataFrame:
     """Count, volume and unrounded rates; rates are null for an empty slice."""
-    return payments.agg(*additive_measures()).select(
+    return summarise(payments).select(
         "total_transactions",
         (F.coalesce(F.col("amount_cents"), F.lit(0)) / F.lit(100.0)).alias("total_volume"),
         raw_rate_pct("approved_transactions").alias("approval_rate"),

@@ -7,13 +7,14 @@ scan of the stored columns.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from riskledger.operators.cleaning import clean_payments
 from riskledger.operators.scoring import score_transactions, top_risk_transactions
-from riskledger.plans.marts import MARTS
+from riskledger.plans.marts import EXPORT_ORDER, MARTS
 from riskledger.plans.questions import QUESTIONS, RISK_LEVELS
 from riskledger.plans.rollup import Report, kpi_rollup
 from riskledger.schema import CLEAN_COLUMNS, MART_NAMES, SCORED, TRANSACTIONS
@@ -41,6 +42,12 @@ def build_rollup(spark: SparkSession, location: str | None = None) -> DataFrame:
     )
 
 
+def together(actions: Iterable[Callable[[], object]]) -> list:
+    """Run independent small jobs at the same time, so that they fill the cluster."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return [done.result() for done in [pool.submit(action) for action in actions]]
+
+
 def build_marts(
     spark: SparkSession, location: str | None = None, from_rollup: bool = True
 ) -> dict[str, DataFrame]:
@@ -49,14 +56,16 @@ def build_marts(
     Four scans of a few columns each cost less processor time than the rollup; the
     rollup pays off once the questions and risk levels are read from it too.
     """
-    built = {}
-    for name, report in MARTS.items():
+
+    def build(name: str, report: Report) -> DataFrame:
         if from_rollup:
             mart = report.over_rollup(spark.table(ROLLUP))
         else:
             mart = report.over_payments(spark.table(TRANSACTIONS))
-        built[name] = replace_table(mart, name, location and f"{location}/{name}")
-    return built
+        return replace_table(mart, name, location and f"{location}/{name}")
+
+    tables = together([lambda n=n, r=r: build(n, r) for n, r in MARTS.items()])
+    return dict(zip(MARTS, tables))
 
 
 def run_questions(
@@ -77,19 +86,24 @@ def run_questions(
             answers[name] = question.over_rollup(spark.table(ROLLUP))
         else:
             answers[name] = question.over_payments(spark.table(TRANSACTIONS))
-        if folder:
-            write_report_csv(answers[name], f"{folder}/{name}")
+    if folder:
+        write_reports(answers, folder)
     return answers
 
 
+def write_reports(reports: Mapping[str, DataFrame], folder: str) -> None:
+    together(
+        [lambda n=n, r=r: write_report_csv(r, f"{folder}/{n}") for n, r in reports.items()]
+    )
+
+
 def risk_reports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Risk levels (from the rollup) and the riskiest payments, written as CSV."""
     reports = {
         "risk_level_summary": RISK_LEVELS.over_rollup(spark.table(ROLLUP)),
         "top_risk_transactions": top_risk_transactions(spark.table(SCORED)),
     }
-    for name, report in reports.items():
-        write_report_csv(report, f"{folder}/{name}")
+    write_reports(reports, folder)
     return reports
 
 
@@ -104,6 +118,6 @@ def run_batch(
     load_transactions(spark, raw, location)
     build_rollup(spark, location)
     build_marts(spark, location)
-    export_tables(spark, exports, reports)
+    export_tables(spark, exports, reports, EXPORT_ORDER)
     answers = run_questions(spark, f"{reports}/sql_outputs")
     return {**answers, **risk_reports(spark, reports)}

@@ -79,3 +79,11 @@ MARTS: dict[str, Report] = {
     FAILURE: Report("reason", present_failures, rows=failed_payments),
     HOURLY: Report("hourly", present_hourly),
 }
+
+# The order in which a stored mart is exported; files of a table have no order themselves.
+EXPORT_ORDER: dict[str, list[str]] = {
+    DAILY: ["transaction_date"],
+    MERCHANT: ["-fraud_rate_pct", "-chargeback_rate_pct", "merchant_id", "merchant_category"],
+    FAILURE: ["-transaction_count", "failure_reason"],
+    HOURLY: ["hour"],
+}

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskledger.functions.measures import additive_measures, summarise
+from riskledger.functions.measures import additive_measures, measure_inputs, summarise
 
 GRAINS: dict[str, tuple[str, ...]] = {
     "overall": (),
@@ -41,11 +41,21 @@ def grouping_number(keys: tuple[str, ...]) -> int:
 
 
 def kpi_rollup(scored: DataFrame) -> DataFrame:
-    """Additive measures for every grain, labelled by ``grain``."""
-    number = F.grouping_id()
-    rolled = scored.groupingSets(
+    """Additive measures for every grain, labelled by ``grain``.
+
+    Grouping sets copy each row once per grain before the map-side aggregation, so what a
+    row contributes is computed beforehand and only whole numbers are copied.
+    """
+    inputs = scored.select(
+        *DIMENSIONS, *measure_inputs(), F.col("risk_score").alias("score_total")
+    )
+    rolled = inputs.groupingSets(
         [[F.col(c) for c in keys] for keys in GRAINS.values()], *DIMENSIONS
-    ).agg(number.alias("grouping"), *additive_measures(), F.sum("risk_score").alias("score_total"))
+    ).agg(
+        F.grouping_id().alias("grouping"),
+        *additive_measures(),
+        F.sum("score_total").alias("score_total"),
+    )
     grain = F.lit(None).cast("string")
     for name, keys in GRAINS.items():
         grain = F.when(F.col("grouping") == grouping_number(keys), name).otherwise(grain)

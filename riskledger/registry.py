@@ -109,7 +109,7 @@ def exported_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = shared_folder(spark, "tables")
     batch.load_transactions(spark, raw(spark, sf_dir), location)
     built = batch.build_marts(spark, location, from_rollup=False)
-    written = export_tables(spark, MART_NAMES, shared_folder(spark, "exports"))
+    written = export_tables(spark, MART_NAMES, shared_folder(spark, "exports"), marts.EXPORT_ORDER)
     counts = [
         spark.read.schema(built[name].schema)
         .option("header", True)
@@ -243,15 +243,7 @@ def rule_model_metrics(df: DataFrame) -> DataFrame:
 
 def roc_auc_rules(df: DataFrame) -> DataFrame:
     both = scoring.score_in_flight(df)
-    return (
-        mm.roc_auc(both, "risk_score")
-        .select(F.lit("post_txn").alias("scorer"), "roc_auc")
-        .unionByName(
-            mm.roc_auc(both, "pre_txn_risk_score").select(
-                F.lit("pre_txn").alias("scorer"), "roc_auc"
-            )
-        )
-    )
+    return mm.roc_auc(both, {"post_txn": "risk_score", "pre_txn": "pre_txn_risk_score"})
 
 
 def feature_list(df: DataFrame) -> DataFrame:

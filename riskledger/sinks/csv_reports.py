@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,10 +34,22 @@ def write_report_csv(df: DataFrame, path: str) -> None:
     write_csv(df, path)
 
 
-def export_tables(spark: SparkSession, tables: Iterable[str], folder: str) -> dict[str, str]:
-    """Each table to its own CSV folder; returns where each one went."""
+def export_tables(
+    spark: SparkSession,
+    tables: Iterable[str],
+    folder: str,
+    order: Mapping[str, list[str]] | None = None,
+) -> dict[str, str]:
+    """Each table to its own CSV folder; returns where each one went.
+
+    ``order`` gives sort columns per table, a leading ``-`` meaning descending.
+    """
     written = {}
     for table in tables:
+        keys = [
+            F.desc(k[1:]) if k.startswith("-") else F.asc(k) for k in (order or {}).get(table, [])
+        ]
+        df = spark.table(table)
         written[table] = f"{folder}/{table}"
-        write_report_csv(spark.table(table), written[table])
+        write_report_csv(df.orderBy(*keys) if keys else df, written[table])
     return written

@@ -109,8 +109,10 @@ def test_equal_recall_goes_to_the_earlier_model(spark):
 
 
 def test_auc_counts_ties_half(spark):
-    df = spark.createDataFrame([(1, 5), (0, 5), (1, 9), (0, 1)], "is_fraud INT, s INT")
-    assert mm.roc_auc(df, "s").first()[0] == pytest.approx(3.5 / 4)
+    rows = [(1, 5, 0), (0, 5, 0), (1, 9, 0), (0, 1, 0)]
+    df = spark.createDataFrame(rows, "is_fraud INT, s INT, flat INT")
+    areas = dict(mm.roc_auc(df, {"good": "s", "useless": "flat"}).collect())
+    assert areas == {"good": pytest.approx(3.5 / 4), "useless": pytest.approx(0.5)}
 
 
 def test_report_averages(spark):

@@ -126,8 +126,8 @@ def test_rollup_keeps_unknown_keys_apart_from_other_grains(clean):
     assert {(r.channel, r.total_transactions) for r in channels} == {(None, 1), ("Online", 1)}
 
 
-def test_share_of_failures_reuses_the_aggregate(small):
-    df = MARTS[FAILURE].over_payments(small)
+def test_share_of_failures_reuses_the_aggregate(spark, sf_dir):
+    df = MARTS[FAILURE].over_payments(txn(spark, sf_dir))
     df.collect()
     assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
 
