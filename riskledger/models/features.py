@@ -213,3 +213,16 @@ def category_slots(features: DataFrame) -> DataFrame:
     )
     rows = totals.unpivot([], totals.columns, "slot_name", "rows_set")
     return names.join(rows, "slot_name").select("feature", "value", "slot", "rows_set")
+
+
+def feature_vectors(features: DataFrame) -> DataFrame:
+    """The assembled vector of every row, with its width and how many slots are set."""
+    ready = preprocessing().fit(features).transform(features)
+    values = vector_to_array("features")
+    slots = F.slice(values, len(NUMERIC_FEATURES) + 1, F.size(values))
+    return ready.select(
+        KEY,
+        "features",
+        F.size(values).alias("vector_size"),
+        F.size(F.filter(slots, lambda x: x != 0)).alias("slots_set"),
+    )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskledger.operators.ranking import first_rows
+
 HIGH_RISK = "High Risk"
 
 # The lowest rate, in percent, that puts a merchant into a tier.
@@ -45,21 +47,27 @@ def only_high_risk(merchants: DataFrame) -> DataFrame:
     return merchants.filter(F.col("merchant_risk_level") == HIGH_RISK)
 
 
-def worst_first(merchants: DataFrame, *rates: str) -> DataFrame:
+def by_rates(*rates: str) -> list[Column | str]:
     """Highest rates first; the group key decides among equals."""
-    return merchants.orderBy(*[F.desc(r) for r in rates], "merchant_id", "merchant_category")
+    return [*[F.desc(r) for r in rates], "merchant_id", "merchant_category"]
+
+
+BY_FRAUD = ("fraud_rate_pct", "chargeback_rate_pct")
+
+
+def worst_first(merchants: DataFrame) -> DataFrame:
+    return merchants.orderBy(*by_rates(*BY_FRAUD))
 
 
 def high_risk_merchants(merchants: DataFrame, n: int = 25) -> DataFrame:
     chosen = only_high_risk(merchants).select(*RANKING_COLUMNS)
-    return worst_first(chosen, "fraud_rate_pct", "chargeback_rate_pct").limit(n)
+    return first_rows(chosen, n, *by_rates(*BY_FRAUD))
 
 
 def high_risk_merchants_dashboard(merchants: DataFrame, n: int = 25) -> DataFrame:
-    rates = ["fraud_rate_pct", "chargeback_rate_pct", "failure_rate_pct"]
-    return worst_first(only_high_risk(merchants), *rates).limit(n)
+    """All columns, and the failure rate decides among equal fraud and chargeback rates."""
+    return first_rows(only_high_risk(merchants), n, *by_rates(*BY_FRAUD, "failure_rate_pct"))
 
 
 def merchant_top5(merchants: DataFrame) -> DataFrame:
-    chosen = merchants.select(*TOP_FIVE_COLUMNS)
-    return worst_first(chosen, "fraud_rate_pct", "chargeback_rate_pct").limit(5)
+    return first_rows(merchants.select(*TOP_FIVE_COLUMNS), 5, *by_rates(*BY_FRAUD))

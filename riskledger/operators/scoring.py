@@ -15,6 +15,7 @@ from riskledger.functions.risk_rules import (
     reasons_of,
     score_of,
 )
+from riskledger.operators.ranking import first_rows
 
 TOP_RISK_COLUMNS = [
     "transaction_id",
@@ -76,8 +77,5 @@ def risk_level_summary(scored: DataFrame) -> DataFrame:
 
 def top_risk_transactions(scored: DataFrame, n: int = 25) -> DataFrame:
     """Highest scores first, the id decides among equals."""
-    return (
-        scored.select(*TOP_RISK_COLUMNS)
-        .orderBy(F.desc("risk_score"), "transaction_id")
-        .limit(n)
-    )
+    rows = scored.select(*TOP_RISK_COLUMNS)
+    return first_rows(rows, n, F.desc("risk_score"), "transaction_id")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskledger.functions.display import currency, percent, thousands
 from riskledger.functions.measures import raw_rate_pct, summarise
+from riskledger.operators.ranking import first_rows
 from riskledger.schema import FAILED
 
 ALL = "All"
@@ -32,6 +34,8 @@ PREVIEW_COLUMNS = [
     "risk_level",
 ]
 
+SLICE_COLUMNS = [*PREVIEW_COLUMNS, "device_type", "failure_reason", "processor_response_ms", "hour"]
+
 
 def slice_payments(
     scored: DataFrame,
@@ -115,4 +119,12 @@ def slice_risk_distribution(payments: DataFrame) -> DataFrame:
 
 
 def transaction_preview(payments: DataFrame, n: int = 100) -> DataFrame:
-    return payments.select(*PREVIEW_COLUMNS).orderBy("transaction_id").limit(n)
+    return first_rows(payments.select(*PREVIEW_COLUMNS), n, "transaction_id")
+
+
+def cached_payments(scored: DataFrame) -> DataFrame:
+    """The columns slices need, kept for repeated questions; spills to executor disks.
+
+    The caller lets go of it with ``unpersist``.
+    """
+    return scored.select(*SLICE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)

@@ -521,6 +521,12 @@ SQL: dict[str, str] = {
         FROM scored GROUP BY risk_level""",
     "top_risk_transactions": f"""{SCORED}
         SELECT {TOP_RISK} FROM scored ORDER BY risk_score DESC, transaction_id LIMIT 25""",
+    "top_risk_preview": f"""{SCORED}
+        SELECT {TOP_RISK} FROM scored ORDER BY risk_score DESC, transaction_id LIMIT 10""",
+    "daily_trend_preview": f"""{TXN}, {DAILY}
+        SELECT transaction_date, total_transactions, total_payment_volume, approval_rate_pct,
+               failure_rate_pct, fraud_rate_pct, chargeback_rate_pct
+        FROM daily ORDER BY transaction_date LIMIT 5""",
     # Dashboard slices.
     "slice_kpis": f"{SLICE} {SLICE_FIGURES}",
     "slice_kpi_cards": f"""{SLICE}, figures AS ({SLICE_FIGURES})
@@ -556,6 +562,7 @@ SQL: dict[str, str] = {
         GROUP BY transaction_status""",
     "raw_outcome_rates": f"""{RAW} SELECT {TOTAL}, {rate(IS_FRAUD, "fraud_rate_pct")},
         {rate(IS_CHARGEBACK, "chargeback_rate_pct")} FROM raw""",
+    "streamed_scores": f"{SCORED} SELECT * FROM scored",
     # Model preparation and evaluation.
     "model_feature_rows": f"""{IN_FLIGHT_FEATURES}
         SELECT transaction_id, {", ".join(NUMERICS + CATEGORIES)}, is_fraud FROM features""",
@@ -563,6 +570,11 @@ SQL: dict[str, str] = {
     "standardised_numerics": f"""{IN_FLIGHT_FEATURES}
         SELECT transaction_id, {", ".join(zscore(c) for c in NUMERICS)} FROM features f""",
     "category_slots": f"{TXN} {SLOTS}",
+    "feature_vectors": from_txn(
+        f"SELECT transaction_id, CAST({len(NUMERICS)} + "
+        + " + ".join(f"(SELECT COUNT(DISTINCT {c}) FROM txn)" for c in CATEGORIES)
+        + f" AS INT) AS vector_size, {len(CATEGORIES)} AS slots_set FROM txn"
+    ),
     "class_weights": f"""{SPLIT}, part AS (SELECT * FROM split WHERE split = 'train')
         SELECT is_fraud, COUNT(*) AS n,
                (SELECT COUNT(*) FROM part) / (2.0E0 * COUNT(*)) AS class_weight

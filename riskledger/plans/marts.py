@@ -52,7 +52,7 @@ def present_merchants(summary: DataFrame) -> DataFrame:
         ],
     )
     tiered = figures.withColumn("merchant_risk_level", merchant_risk_tier())
-    return worst_first(tiered, "fraud_rate_pct", "chargeback_rate_pct")
+    return worst_first(tiered)
 
 
 def failed_payments(txn: DataFrame) -> DataFrame:

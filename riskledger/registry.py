@@ -12,6 +12,7 @@ from riskledger.models import features as mf
 from riskledger.models import metrics as mm
 from riskledger.models import training as mt
 from riskledger.operators import cleaning, merchants, quality, scoring, slices
+from riskledger.operators.ranking import first_rows
 from riskledger.plans import batch, marts, questions
 from riskledger.plans.rollup import kpi_rollup
 from riskledger.schema import DAILY, FAILURE, HOURLY, MART_NAMES, MERCHANT, RAW_COLUMNS, SCORED
@@ -154,14 +155,13 @@ def question(name: str) -> Query:
 
 
 def cached_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several slices read from one persisted copy of the scored payments."""
-    cached = scored(spark, sf_dir).select("channel", "risk_level").persist()
-    channels = ["Online", "In-Store", "Mobile App"]
+    """Several slices read from one kept copy of the scored payments."""
+    kept = slices.cached_payments(scored(spark, sf_dir))
     parts = [
-        slices.slice_payments(cached, channel=c)
+        slices.slice_payments(kept, channel=channel)
         .groupBy("channel", "risk_level")
         .agg(F.count("*").alias("transactions"))
-        for c in channels
+        for channel in ("Online", "In-Store", "Mobile App")
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -253,6 +253,15 @@ def feature_list(df: DataFrame) -> DataFrame:
     return mf.feature_manifest(df.sparkSession).join(rows, "feature")
 
 
+def feature_vector_shape(df: DataFrame) -> DataFrame:
+    return mf.feature_vectors(df).drop("features")
+
+
+def fitted(name: str) -> Query:
+    """Fit one candidate and report its test metrics."""
+    return lambda spark, sf_dir: mt.train(txn(spark, sf_dir), SMALL, only=[name]).comparison
+
+
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mt.train(txn(spark, sf_dir), SMALL).comparison
 
@@ -346,6 +355,16 @@ QUERIES: dict[str, Query] = {
     ),
     "risk_level_summary": over(scored, scoring.risk_level_summary),
     "top_risk_transactions": over(scored, scoring.top_risk_transactions),
+    "top_risk_preview": over(
+        scored,
+        scoring.top_risk_transactions,
+        lambda df: first_rows(df, 10, F.desc("risk_score"), "transaction_id"),
+    ),
+    "daily_trend_preview": over(
+        txn,
+        questions.QUESTIONS["daily_payment_trend"].over_payments,
+        lambda df: first_rows(df, 5, "transaction_date"),
+    ),
     # Dashboard slices.
     "slice_kpis": over(scored, travel_online, slices.slice_kpis),
     "slice_kpi_cards": over(scored, travel_online, slices.slice_kpi_cards),
@@ -379,6 +398,7 @@ QUERIES: dict[str, Query] = {
     ),
     "standardised_numerics": over(features, rounded_zscores),
     "category_slots": over(features, mf.category_slots),
+    "feature_vectors": over(features, feature_vector_shape),
     "class_weights": over(txn, weights_of_training_rows),
     "roc_auc_rules": over(scored, roc_auc_rules),
     "rule_model_metrics": over(scored, rule_model_metrics),
@@ -386,6 +406,9 @@ QUERIES: dict[str, Query] = {
     "confusion_matrix": over(scored, rule_prediction, mm.confusion_matrix),
     "classification_report": over(scored, rule_prediction, mm.classification_report),
     # Fitted models and streams.
+    "logistic_regression": fitted("Logistic Regression"),
+    "random_forest": fitted("Random Forest"),
+    "gradient_boosted_trees": fitted("Gradient Boosted Trees"),
     "model_comparison": model_comparison,
     "model_comparison_with_outcomes": model_comparison_with_outcomes,
     "batch_predictions": batch_predictions,

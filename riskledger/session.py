@@ -48,7 +48,11 @@ def shared_root(spark: SparkSession) -> str:
     A machine-local folder is chosen only when Spark itself runs inside one machine.
     """
     context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir")
+        or context.getCheckpointDir()
+    )
     if root is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")

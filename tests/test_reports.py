@@ -209,6 +209,7 @@ def test_no_query_uses_a_cartesian_product_or_python(spark, sf_dir):
         "csv_scan", "csv_sink", "replaced_table", "load_validation", "exported_tables",
         "named_questions", "model_comparison", "model_comparison_with_outcomes",
         "batch_predictions", "streamed_scores", "standardised_numerics", "category_slots",
+        "feature_vectors", "logistic_regression", "random_forest", "gradient_boosted_trees",
     }
     for name, query in QUERIES.items():
         if name in eager:

@@ -112,3 +112,26 @@ def test_stream_scores_like_the_batch_and_resumes(spark, arriving, tmp_path):
     write_stream(score_stream(read_payment_stream(spark, folder)), out, state).awaitTermination()
     rows = spark.read.parquet(out).select("transaction_id", "risk_score").collect()
     assert sorted(tuple(r) for r in rows) == [("A", 8), ("C", 40)]
+
+
+def test_model_predicts_on_a_stream(spark, arriving, tmp_path):
+    from riskledger.models.training import predict, train
+    from riskledger.registry import SMALL, txn
+    from riskledger.streaming.payments import clean_stream
+
+    payments = txn(spark, "/root/testdata/sf0.001")
+    model = train(payments, SMALL, only=["Logistic Regression"]).best
+    folder = arriving({"transaction_id": "A"}, {"transaction_id": "B", "channel": "Online"})
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    predicted = predict(model, clean_stream(read_payment_stream(spark, folder)))
+    write_stream(predicted, out, state).awaitTermination()
+    rows = spark.read.parquet(out).orderBy("transaction_id").collect()
+    assert [r.risk_score for r in rows] == [0, 8]
+    assert all(0 <= r.fraud_probability <= 1 for r in rows)
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    from riskledger.session import shared_folder
+
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark, "x").startswith(named)
