@@ -57,37 +57,39 @@ def summarise(df: DataFrame, *keys: str) -> DataFrame:
 
 def rate_pct(part: str, whole: str = "total_transactions") -> Column:
     """Percentage with two decimals; null when there is nothing to divide by."""
-    return F.round(F.try_divide(F.lit(100.0) * F.col(part), F.col(whole)), 2)
+    return F.expr(rate_sql(part, whole))
+
+
+def rate_sql(part: str, whole: str = "total_transactions") -> str:
+    return f"round(try_divide(100.0D * {part}, {whole}), 2)"
 
 
 def raw_rate_pct(part: str, whole: str = "total_transactions") -> Column:
     """Unrounded percentage, as the dashboard figures use."""
-    return F.try_divide(F.col(part), F.col(whole)) * 100
+    return F.expr(f"try_divide({part}, {whole}) * 100")
 
 
-def rounded_average(total: Column, n: Column) -> Column:
+def average_sql(total: str, n: str = "total_transactions") -> str:
     """Two-decimal mean, rounded in decimal so that halves always round up."""
-    return F.round(F.try_divide(total, n).cast("decimal(18,8)"), 2).cast("double")
+    mean = f"cast(try_divide({total}, {n}) AS decimal(18, 8))"
+    return f"cast(round({mean}, 2) AS double)"
 
 
-def derived_figures() -> dict[str, Column]:
-    total = F.col("total_transactions")
-    return {
-        "total_payment_volume": F.col("amount_cents") / F.lit(100.0),
-        "avg_transaction_amount": rounded_average(F.col("amount_cents") / F.lit(100.0), total),
-        "avg_processor_response_ms": rounded_average(F.col("response_ms_total"), total),
-        "approval_rate_pct": rate_pct("approved_transactions"),
-        "failure_rate_pct": rate_pct("failed_transactions"),
-        "fraud_rate_pct": rate_pct("fraud_transactions"),
-        "chargeback_rate_pct": rate_pct("chargeback_transactions"),
-        "chargebacks": F.col("chargeback_transactions"),
-    }
+DERIVED = {
+    "total_payment_volume": "amount_cents / 100.0D",
+    "avg_transaction_amount": average_sql("amount_cents / 100.0D"),
+    "avg_processor_response_ms": average_sql("response_ms_total"),
+    "approval_rate_pct": rate_sql("approved_transactions"),
+    "failure_rate_pct": rate_sql("failed_transactions"),
+    "fraud_rate_pct": rate_sql("fraud_transactions"),
+    "chargeback_rate_pct": rate_sql("chargeback_transactions"),
+    "chargebacks": "chargeback_transactions",
+}
 
 
 def present(summary: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Select keys, sums and derived figures by name, in the order given."""
-    derived = derived_figures()
-    return summary.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in columns])
+    return summary.selectExpr(*[f"{DERIVED[c]} AS {c}" if c in DERIVED else c for c in columns])
 
 
 def share_pct(part: str, parts: DataFrame) -> Column:

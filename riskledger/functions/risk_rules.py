@@ -8,77 +8,71 @@ look at outcomes (fraud, chargeback) that are not known while a payment is in fl
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def sql_text(value: str) -> str:
+    return "'" + value.replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class Step:
-    column: str
-    test: str
-    value: object
+    """A SQL condition, the points it gives and the label it is listed under."""
+
+    condition: str
     points: int
     label: str
 
-    def holds(self) -> Column:
-        column = F.col(self.column)
-        if self.test == "at_least":
-            return column >= self.value
-        if self.test == "one_of":
-            return column.isin(list(self.value))
-        return column == self.value
-
 
 @dataclass(frozen=True)
 class RuleGroup:
     steps: tuple[Step, ...]
     known_after: bool = False
 
-    def first_match(self, attribute: str) -> Column:
-        """Points or label of the first step that holds; null when none does."""
-        first, *rest = self.steps
-        choice = F.when(first.holds(), F.lit(getattr(first, attribute)))
-        for step in rest:
-            choice = choice.when(step.holds(), F.lit(getattr(step, attribute)))
-        return choice
+    def points(self) -> str:
+        return self.first_match([str(step.points) for step in self.steps], "0")
+
+    def label(self) -> str:
+        return self.first_match([sql_text(step.label) for step in self.steps], "NULL")
+
+    def first_match(self, results: list[str], otherwise: str) -> str:
+        branches = " ".join(
+            f"WHEN {step.condition} THEN {result}" for step, result in zip(self.steps, results)
+        )
+        return f"CASE {branches} ELSE {otherwise} END"
 
 
 # Rules in the order their labels are listed.
 RULES = (
     RuleGroup(
         (
-            Step("transaction_amount", "at_least", 2000, 30, "Very high amount"),
-            Step("transaction_amount", "at_least", 1000, 20, "High amount"),
-            Step("transaction_amount", "at_least", 500, 10, "Elevated amount"),
+            Step("transaction_amount >= 2000", 30, "Very high amount"),
+            Step("transaction_amount >= 1000", 20, "High amount"),
+            Step("transaction_amount >= 500", 10, "Elevated amount"),
         )
     ),
-    RuleGroup((Step("is_fraud", "equals", 1, 40, "Fraud indicator"),), known_after=True),
-    RuleGroup((Step("is_chargeback", "equals", 1, 35, "Chargeback"),), known_after=True),
-    RuleGroup((Step("transaction_status", "equals", "Failed", 15, "Failed transaction"),)),
-    RuleGroup((Step("slow_response", "equals", 1, 10, "Slow processor response"),)),
+    RuleGroup((Step("is_fraud = 1", 40, "Fraud indicator"),), known_after=True),
+    RuleGroup((Step("is_chargeback = 1", 35, "Chargeback"),), known_after=True),
+    RuleGroup((Step("transaction_status = 'Failed'", 15, "Failed transaction"),)),
+    RuleGroup((Step("slow_response = 1", 10, "Slow processor response"),)),
     RuleGroup(
         (
-            Step("channel", "equals", "Online", 8, "Online channel"),
-            Step("channel", "equals", "Mobile App", 4, "Mobile channel"),
+            Step("channel = 'Online'", 8, "Online channel"),
+            Step("channel = 'Mobile App'", 4, "Mobile channel"),
         )
     ),
     RuleGroup(
         (
             Step(
-                "merchant_category",
-                "one_of",
-                ("Travel", "Electronics", "Financial Services"),
+                "merchant_category IN ('Travel', 'Electronics', 'Financial Services')",
                 12,
                 "High-risk merchant category",
             ),
         )
     ),
-    RuleGroup(
-        (Step("customer_location", "one_of", ("FL", "NV", "NY"), 8, "High-risk location"),)
-    ),
+    RuleGroup((Step("customer_location IN ('FL', 'NV', 'NY')", 8, "High-risk location"),)),
 )
 
 # Lowest score of each level, highest first.
@@ -91,21 +85,19 @@ PRE_TXN = tuple(group for group in RULES if not group.known_after)
 
 
 def score_of(rules: tuple[RuleGroup, ...]) -> Column:
-    return reduce(add, [F.coalesce(g.first_match("points"), F.lit(0)) for g in rules])
+    return F.expr(" + ".join(group.points() for group in rules))
 
 
-def level_of(score: Column) -> Column:
-    level = F.when(score >= LEVELS[0][0], LEVELS[0][1])
-    for floor, name in LEVELS[1:]:
-        level = level.when(score >= floor, name)
-    return level.otherwise(LOWEST_LEVEL)
+def level_of(score: str) -> Column:
+    branches = " ".join(f"WHEN {score} >= {floor} THEN {sql_text(name)}" for floor, name in LEVELS)
+    return F.expr(f"CASE {branches} ELSE {sql_text(LOWEST_LEVEL)} END")
 
 
 def reasons_of(rules: tuple[RuleGroup, ...]) -> Column:
     """Labels of the rules that fired, as an array."""
-    return F.array_compact(F.array(*[g.first_match("label") for g in rules]))
+    return F.expr(f"array_compact(array({', '.join(group.label() for group in rules)}))")
 
 
 def reason_text_of(rules: tuple[RuleGroup, ...]) -> Column:
-    text = F.concat_ws(", ", *[g.first_match("label") for g in rules])
-    return F.coalesce(F.nullif(text, F.lit("")), F.lit(NO_REASON))
+    labels = ", ".join(group.label() for group in rules)
+    return F.expr(f"coalesce(nullif(concat_ws(', ', {labels}), ''), {sql_text(NO_REASON)})")

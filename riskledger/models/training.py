@@ -177,7 +177,7 @@ def predict(model: PipelineModel, txn: DataFrame) -> DataFrame:
     return model.transform(ready).select(
         KEY,
         "risk_score",
-        level_of(F.col("risk_score")).alias("rule_risk_level"),
+        level_of("risk_score").alias("rule_risk_level"),
         F.col("prediction").cast("int").alias("fraud_prediction"),
         vector_to_array("probability")[1].alias("fraud_probability"),
     )

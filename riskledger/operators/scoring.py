@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskledger.functions.measures import rounded_average
+from riskledger.functions.measures import average_sql
 from riskledger.functions.risk_rules import (
     POST_TXN,
     PRE_TXN,
@@ -38,7 +38,7 @@ TOP_RISK_COLUMNS = [
 def score_transactions(txn: DataFrame, keep_reason_list: bool = False) -> DataFrame:
     """Score known outcomes included: adds risk_score, risk_level and risk_reason."""
     scored = txn.withColumn("risk_score", score_of(POST_TXN)).withColumns(
-        {"risk_level": level_of(F.col("risk_score")), "risk_reason": reason_text_of(POST_TXN)}
+        {"risk_level": level_of("risk_score"), "risk_reason": reason_text_of(POST_TXN)}
     )
     if keep_reason_list:
         scored = scored.withColumn("risk_reasons", reasons_of(POST_TXN))
@@ -48,7 +48,7 @@ def score_transactions(txn: DataFrame, keep_reason_list: bool = False) -> DataFr
 def score_in_flight(txn: DataFrame) -> DataFrame:
     """Score from what is known while the payment is processed (no fraud or chargeback)."""
     return txn.withColumn("pre_txn_risk_score", score_of(PRE_TXN)).withColumn(
-        "pre_txn_risk_level", level_of(F.col("pre_txn_risk_score"))
+        "pre_txn_risk_level", level_of("pre_txn_risk_score")
     )
 
 
@@ -57,7 +57,7 @@ def present_levels(levels: DataFrame) -> DataFrame:
 
     The window has no partition on purpose: there are four levels, so four rows.
     """
-    average = rounded_average(F.col("score_total"), F.col("total_transactions"))
+    average = F.expr(average_sql("score_total"))
     everything = F.sum("total_transactions").over(W.partitionBy())
     share = F.round(F.try_divide(F.lit(100.0) * F.col("total_transactions"), everything), 2)
     return levels.select(

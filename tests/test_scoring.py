@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from riskledger.functions.risk_rules import POST_TXN, level_of
 from riskledger.operators import scoring
@@ -71,7 +70,7 @@ def test_score_in_flight_ignores_outcomes(clean):
 
 def test_levels_include_their_floor(spark):
     df = spark.createDataFrame([(s,) for s in (0, 24, 25, 49, 50, 74, 75, 158)], "s INT")
-    names = [r[0] for r in df.select(level_of(F.col("s"))).collect()]
+    names = [r[0] for r in df.select(level_of("s")).collect()]
     assert names == (
         ["Low Risk"] * 2 + ["Medium Risk"] * 2 + ["High Risk"] * 2 + ["Critical Risk"] * 2
     )

@@ -84,7 +84,7 @@ def test_materialised_frame_has_no_upstream_plan(spark, clean):
 
 def test_wide_ids_are_not_cut(spark):
     df = spark.createDataFrame([(7,), (123456789012,)], "n BIGINT")
-    ids = [r[0] for r in df.select(padded_id("TXN", df.n, 8)).collect()]
+    ids = [r[0] for r in df.selectExpr(padded_id("TXN", "n", 8)).collect()]
     assert ids == ["TXN00000007", "TXN123456789012"]
 
 
