@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskledger.functions.risk_rules import POST_TXN, PRE_TXN, score_of
 
+# Label, key and features, in order.
 LABEL = "is_fraud"
 KEY = "transaction_id"
 NUMERIC_FEATURES = [

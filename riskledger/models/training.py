@@ -35,7 +35,7 @@ SEED = 42
 
 @dataclass(frozen=True)
 class ModelSizes:
-    """Ensemble sizes; the defaults are the published configuration."""
+    """Ensemble sizes; the defaults are fixed values, the published configuration."""
 
     trees: int = 200
     tree_depth: int = 12

@@ -16,6 +16,7 @@ TIERS = (
 )
 LOWEST_TIER = "Low Risk"
 
+# The columns of the rankings, in order.
 RANKING_COLUMNS = [
     "merchant_id",
     "merchant_category",

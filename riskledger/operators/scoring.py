@@ -17,6 +17,7 @@ from riskledger.functions.risk_rules import (
 )
 from riskledger.operators.ranking import first_rows
 
+# The columns of the report, in order.
 TOP_RISK_COLUMNS = [
     "transaction_id",
     "customer_id",

@@ -12,6 +12,7 @@ from riskledger.operators.ranking import first_rows
 from riskledger.schema import FAILED
 
 ALL = "All"
+# The columns offered as filters or form fields.
 OPTION_COLUMNS = [
     "merchant_category",
     "channel",
@@ -20,6 +21,7 @@ OPTION_COLUMNS = [
     "customer_location",
     "transaction_status",
 ]
+# The columns of the preview, in order.
 PREVIEW_COLUMNS = [
     "transaction_id",
     "transaction_amount",

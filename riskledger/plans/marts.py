@@ -14,6 +14,7 @@ from riskledger.operators.merchants import merchant_risk_tier, worst_first
 from riskledger.plans.rollup import Report
 from riskledger.schema import DAILY, FAILED, FAILURE, HOURLY, MERCHANT
 
+# The smallest group reported, and the reported columns in order.
 MERCHANT_MIN_TRANSACTIONS = 20
 
 KPI_COLUMNS = [

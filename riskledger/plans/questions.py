@@ -18,6 +18,7 @@ from riskledger.plans.marts import (
 )
 from riskledger.plans.rollup import Report
 
+# Fixed value: the smallest location reported.
 LOCATION_MIN_TRANSACTIONS = 100
 
 

@@ -9,6 +9,7 @@ EVENTS_SCHEMA = (
     "event_type STRING, value DOUBLE, props STRING"
 )
 
+# Names, types and order of the payment columns.
 RAW_SCHEMA = T.StructType(
     [
         T.StructField("transaction_id", T.StringType()),
@@ -70,7 +71,7 @@ DAY_NAMES = [
 # Text a CSV cell may hold to mean "missing".
 MISSING_TOKENS = ["", "None", "NA", "N/A", "n/a", "NULL", "null", "NaN", "nan", "<NA>"]
 
-# Table names a report reader can query.
+# Table names a report reader can query.
 TRANSACTIONS = "payment_transactions"
 SCORED = "payment_transactions_scored"
 DAILY = "daily_payment_kpis"

@@ -222,3 +222,13 @@ def test_no_query_uses_a_cartesian_product_or_python(spark, sf_dir):
 def test_clean_totals_at_known_scale(spark, sf_dir):
     row = txn(spark, sf_dir).agg(F.count("*"), F.sum("is_fraud"), F.sum("is_failed")).first()
     assert tuple(row) == (997, 45, 74)
+
+
+def test_top_rows_are_merged_by_a_task_not_the_driver(small):
+    df = scoring.top_risk_transactions(small.repartition(16))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce 1" in plan and "TakeOrderedAndProject(limit=25" in plan
+    scores = [(-r.risk_score, r.transaction_id) for r in df.collect()]
+    assert scores == sorted(scores)
+    everything = small.select("risk_score", "transaction_id").collect()
+    assert scores == sorted((-r.risk_score, r.transaction_id) for r in everything)[:25]
