@@ -28,7 +28,7 @@ from riskledger.models.features import (
     stratified_split,
 )
 from riskledger.models.metrics import METRICS, best_by_recall, binary_metrics
-from riskledger.session import materialise, shared_root
+from riskledger.session import materialise, remove_folder, shared_folder
 
 SEED = 42
 
@@ -101,10 +101,22 @@ def train(
     only: Sequence[str] | None = None,
 ) -> TrainingResult:
     """Split, preprocess once, fit every candidate, compare on the test rows, choose."""
-    sizes = sizes or ModelSizes()
-    shared_root(txn.sparkSession)  # gives the boosted trees their checkpoint folder
-    # The many passes of training read this table, not the cleaning shuffle behind it.
-    rows = materialise(stratified_split(feature_frame(txn, with_outcomes)), "training")
+    spark = txn.sparkSession
+    # Also gives the boosted trees their checkpoint folder.
+    path = shared_folder(spark, "training")
+    try:
+        # The many passes of training read this table, not the cleaning shuffle behind it.
+        rows = materialise(stratified_split(feature_frame(txn, with_outcomes)), path)
+        return fit_and_compare(rows, sizes or ModelSizes(), only)
+    finally:
+        remove_folder(spark, path)
+
+
+def fit_and_compare(
+    rows: DataFrame, sizes: ModelSizes, only: Sequence[str] | None = None
+) -> TrainingResult:
+    """Train on the rows marked train, judge on those marked test."""
+    spark = rows.sparkSession
     train_rows = rows.filter(F.col("split") == "train")
     test_rows = rows.filter(F.col("split") == "test")
 
@@ -141,7 +153,6 @@ def train(
     results = metrics.collect()
     judged.unpersist()
 
-    spark = txn.sparkSession
     unrounded = spark.createDataFrame(results, metrics.schema)
     best_name = best_by_recall(unrounded).first()["model"]
     comparison = spark.createDataFrame(

@@ -57,6 +57,11 @@ def is_true(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+def flag(condition: Column) -> Column:
+    """1 where the condition holds, 0 where it fails or is unknown."""
+    return is_true(condition).cast("int")
+
+
 def keep_positive_amounts(df: DataFrame) -> DataFrame:
     return df.filter(has_valid_amount())
 
@@ -72,19 +77,14 @@ def add_time_features(df: DataFrame) -> DataFrame:
         {
             "transaction_date": F.to_date(at),
             "hour": F.hour(at),
-            "day_of_week": F.element_at(F.array(*[F.lit(d) for d in DAY_NAMES]), weekday),
+            "day_of_week": F.get(F.array(*[F.lit(d) for d in DAY_NAMES]), weekday - 1),
             "month": F.month(at),
             "year": F.year(at),
-            "is_weekend": weekday.isin(1, 7).cast("int"),
+            "is_weekend": flag(weekday.isin(1, 7)),
         }
     )
 
 
-def flag(condition: Column) -> Column:
-    """1 where the condition holds, 0 where it fails or is unknown."""
-    return is_true(condition).cast("int")
-
-
 def add_threshold_flags(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {

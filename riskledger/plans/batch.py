@@ -24,11 +24,18 @@ ROLLUP = "kpi_rollup"
 
 
 def load_transactions(
-    spark: SparkSession, raw: DataFrame, location: str | None = None
+    spark: SparkSession,
+    raw: DataFrame,
+    location: str | None = None,
+    partition_by: Iterable[str] = (),
 ) -> DataFrame:
-    """Clean, score and store the payments; registers both transaction tables."""
+    """Clean, score and store the payments; registers both transaction tables.
+
+    Partitioning (by year and month, say) costs one more shuffle and pays off only where
+    readers filter on those columns.
+    """
     scored = score_transactions(clean_payments(raw))
-    stored = replace_table(scored, SCORED, location and f"{location}/{SCORED}")
+    stored = replace_table(scored, SCORED, location and f"{location}/{SCORED}", partition_by)
     spark.sql(
         f"CREATE OR REPLACE VIEW {TRANSACTIONS} AS SELECT {', '.join(CLEAN_COLUMNS)} FROM {SCORED}"
     )

@@ -69,7 +69,27 @@ DAY_NAMES = [
 ]
 
 # Text a CSV cell may hold to mean "missing".
-MISSING_TOKENS = ["", "None", "NA", "N/A", "n/a", "NULL", "null", "NaN", "nan", "<NA>"]
+MISSING_TOKENS = [
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+]
 
 # Table names a report reader can query.
 TRANSACTIONS = "payment_transactions"

@@ -68,13 +68,17 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, purpose: str) -> DataFrame:
-    """Write once as Parquet to the shared folder and read back.
+def materialise(df: DataFrame, path: str) -> DataFrame:
+    """Write once as Parquet, usually to a ``shared_folder``, and read back.
 
     Cuts the lineage without pinning executor storage: a lost executor re-reads files
     instead of replaying the shuffles, and later readers still prune columns.
     """
-    spark = df.sparkSession
-    path = shared_folder(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

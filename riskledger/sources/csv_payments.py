@@ -9,12 +9,18 @@ from pyspark.sql import types as T
 from riskledger.schema import MISSING_TOKENS, RAW_SCHEMA
 
 
-def read_payments_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One pass over the files; no inference scan, missing-value text becomes null."""
+def read_payments_csv(
+    spark: SparkSession, path: str | list[str], mode: str = "PERMISSIVE"
+) -> DataFrame:
+    """One pass over the files; no inference scan, missing-value text becomes null.
+
+    A number or timestamp that cannot be read becomes null too; with ``mode="FAILFAST"``
+    it stops the job instead.
+    """
     raw = (
         spark.read.schema(RAW_SCHEMA)
         .option("header", True)
-        .option("mode", "PERMISSIVE")
+        .option("mode", mode)
         .csv(path)
     )
     return raw.select(

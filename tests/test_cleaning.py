@@ -106,6 +106,11 @@ def test_thresholds_include_their_boundary(clean):
     assert values(df, "is_failed") == [0, 0, 1]
 
 
+def test_flags_of_unknown_values_are_zero(clean):
+    row = clean({"transaction_datetime": None, "processor_response_ms": None}).first()
+    assert (row.is_weekend, row.slow_response, row.day_of_week) == (0, 0, None)
+
+
 def test_clean_columns_in_order(clean):
     assert clean({}).columns == CLEAN_COLUMNS
 

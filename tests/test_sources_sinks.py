@@ -1,13 +1,14 @@
 import csv
 import datetime as dt
 import glob
+import os
 
 import pytest
 
 from riskledger.plans import batch
 from riskledger.registry import raw
 from riskledger.schema import MART_NAMES, RAW_COLUMNS, SCORED, TRANSACTIONS
-from riskledger.session import materialise, shared_root
+from riskledger.session import materialise, remove_folder, shared_folder, shared_root
 from riskledger.sinks import replace_table, write_csv
 from riskledger.sources import read_payments_csv
 from riskledger.sources.events import padded_id
@@ -30,6 +31,19 @@ def test_csv_as_a_plain_exporter_writes_it(spark, tmp_path):
     assert second.failure_reason == "Expired Card"
 
 
+def test_unreadable_values_are_null_or_stop_the_job(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    row = ["T", "C", "M", "not a time", "x", "ACH", "Online", "Tablet", "#N/A", "NULL"]
+    with open(path, "w", newline="") as f:
+        csv.writer(f).writerows([RAW_COLUMNS, [*row, "Approved", "None", "90", "0", "1"]])
+    read = read_payments_csv(spark, str(path)).first()
+    assert read.transaction_datetime is read.transaction_amount is None
+    assert read.merchant_category is read.customer_location is None
+    assert read.processor_response_ms == 90
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_payments_csv(spark, str(path), mode="FAILFAST").collect()
+
+
 def test_csv_round_trip_keeps_microseconds(spark, payments, tmp_path):
     at = dt.datetime(2024, 5, 6, 7, 8, 9, 123456)
     df = payments({"transaction_datetime": at, "failure_reason": "Network Error"})
@@ -75,11 +89,14 @@ def test_questions_as_sql_text(spark, sf_dir, tmp_path):
 
 
 def test_materialised_frame_has_no_upstream_plan(spark, clean):
-    df = materialise(clean({}, {}), "test")
+    path = shared_folder(spark, "test")
+    df = materialise(clean({}, {}), path)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert df.count() == 2
     assert shared_root(spark) in plan.replace("file:", "")
     assert "LocalTableScan" not in plan and "ExistingRDD" not in plan
+    remove_folder(spark, path)
+    assert not os.path.exists(path)
 
 
 def test_wide_ids_are_not_cut(spark):
@@ -131,7 +148,5 @@ def test_model_predicts_on_a_stream(spark, arriving, tmp_path):
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
-    from riskledger.session import shared_folder
-
     named = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark, "x").startswith(named)
