@@ -16,38 +16,26 @@ from pyspark.sql import functions as F
 
 from riskledger.schema import APPROVED, FAILED
 
-
-def cents(amount: str = "transaction_amount") -> Column:
-    """Amounts carry two decimals, so whole cents in a long sum exactly."""
-    return F.rint(F.col(amount) * 100).cast("bigint")
+# What each payment adds to the sums, as whole numbers. Amounts carry two decimals, so whole
+# cents in a long sum exactly.
+INPUTS = {
+    "amount_cents": "cast(rint(transaction_amount * 100) AS bigint)",
+    "approved_transactions": f"cast(transaction_status = '{APPROVED}' AS int)",
+    "failed_transactions": f"cast(transaction_status = '{FAILED}' AS int)",
+    "fraud_transactions": "is_fraud",
+    "chargeback_transactions": "is_chargeback",
+    "response_ms_total": "processor_response_ms",
+}
 
 
 def measure_inputs() -> list[Column]:
-    """What each payment adds to the sums, as whole numbers."""
-    status = F.col("transaction_status")
-    return [
-        cents().alias("amount_cents"),
-        (status == APPROVED).cast("int").alias("approved_transactions"),
-        (status == FAILED).cast("int").alias("failed_transactions"),
-        F.col("is_fraud").alias("fraud_transactions"),
-        F.col("is_chargeback").alias("chargeback_transactions"),
-        F.col("processor_response_ms").alias("response_ms_total"),
-    ]
-
-
-SUMS = [
-    "amount_cents",
-    "approved_transactions",
-    "failed_transactions",
-    "fraud_transactions",
-    "chargeback_transactions",
-    "response_ms_total",
-]
+    return [F.expr(sql).alias(name) for name, sql in INPUTS.items()]
 
 
 def additive_measures() -> list[Column]:
     """Sums over ``measure_inputs``."""
-    return [F.count("*").alias("total_transactions"), *[F.sum(c).alias(c) for c in SUMS]]
+    sums = [F.sum(name).alias(name) for name in INPUTS]
+    return [F.count("*").alias("total_transactions"), *sums]
 
 
 def summarise(df: DataFrame, *keys: str) -> DataFrame:

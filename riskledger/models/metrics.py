@@ -17,8 +17,10 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction"):
+    """Rows per pair of true and predicted class."""
+    truth = F.col(label).cast("int").alias("label")
     return (
-        df.groupBy(F.col(label).cast("int").alias("label"), F.col(prediction).cast("int").alias("prediction"))
+        df.groupBy(truth, F.col(prediction).cast("int").alias("prediction"))
         .agg(F.count("*").alias("transactions"))
         .orderBy("label", "prediction")
     )

@@ -448,7 +448,8 @@ SQL: dict[str, str] = {
         SELECT * FROM merchants WHERE merchant_risk_level = 'High Risk'""",
     "payment_slice": f"{SLICE} SELECT * FROM sliced",
     "payment_slice_all": f"{SCORED} SELECT * FROM scored",
-    "transaction_preview": f"{SLICE} SELECT {PREVIEW} FROM sliced ORDER BY transaction_id LIMIT 100",
+    "transaction_preview": f"""{SLICE}
+        SELECT {PREVIEW} FROM sliced ORDER BY transaction_id LIMIT 100""",
     # Reporting tables and business questions.
     "executive_payment_kpis": from_txn(f"SELECT {KPIS} FROM txn"),
     "daily_payment_kpis": f"{TXN}, {DAILY} SELECT * FROM daily",

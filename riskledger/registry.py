@@ -15,8 +15,15 @@ from riskledger.operators import cleaning, merchants, quality, scoring, slices
 from riskledger.operators.ranking import first_rows
 from riskledger.plans import batch, marts, questions
 from riskledger.plans.rollup import kpi_rollup
-from riskledger.schema import DAILY, FAILURE, HOURLY, MART_NAMES, MERCHANT, RAW_COLUMNS, SCORED
-from riskledger.schema import TRANSACTIONS
+from riskledger.schema import (
+    DAILY,
+    FAILURE,
+    HOURLY,
+    MART_NAMES,
+    MERCHANT,
+    SCORED,
+    TRANSACTIONS,
+)
 from riskledger.session import shared_folder
 from riskledger.sinks import (
     export_tables,

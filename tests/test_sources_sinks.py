@@ -21,8 +21,9 @@ def test_csv_as_a_plain_exporter_writes_it(spark, tmp_path):
         out = csv.writer(f)
         out.writerow(RAW_COLUMNS)
         head = ["TXN00000001", "CUST000001", "MERCH00001", "2024-01-01 10:20:30"]
-        out.writerow([*head, "49.95", "ACH", "Online", "Tablet", "", "", "Approved", "None", "90", "0", "1"])
-        out.writerow([*head, "", "ACH", "Online", "Tablet", "Fuel", "TX", "Failed", "Expired Card", "90", "0", "0"])
+        how = ["ACH", "Online", "Tablet"]
+        out.writerow([*head, "49.95", *how, "", "", "Approved", "None", "90", "0", "1"])
+        out.writerow([*head, "", *how, "Fuel", "TX", "Failed", "Expired Card", "90", "0", "0"])
     first, second = read_payments_csv(spark, str(path)).collect()
     assert first.transaction_datetime == dt.datetime(2024, 1, 1, 10, 20, 30)
     assert (first.transaction_amount, first.is_chargeback) == (49.95, 1)
