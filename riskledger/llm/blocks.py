@@ -61,7 +61,7 @@ class Block:
         return len(self.offsets) - 1
 
 
-def blocks(texts: pa.Array, size: int = BLOCK_BYTES) -> Iterator[Block]:
+def blocks(texts: pa.Array, size: int = BLOCK_BYTES, rows: int = 1 << 20) -> Iterator[Block]:
     """The texts in pieces of about ``size`` bytes; a null counts as an empty text."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -75,7 +75,7 @@ def blocks(texts: pa.Array, size: int = BLOCK_BYTES) -> Iterator[Block]:
     at = 0
     while at < n:
         to = int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1
-        to = min(n, max(to, at + 1))
+        to = min(n, at + rows, max(to, at + 1))
         yield Block(at, offsets[at : to + 1] - offsets[at], data[offsets[at] : offsets[to]])
         at = to
 

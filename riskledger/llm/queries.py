@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskledger.llm import decontamination, pii
+from riskledger.llm import decontamination, language_id, pii
 from riskledger.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_report(table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_report(table(spark, sf_dir, "documents"))
 
@@ -23,6 +27,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_language_id": op2_language_id,
     "op9_pii": op9_pii,
     "op10_decontamination": op10_decontamination,
 }
