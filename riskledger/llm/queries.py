@@ -6,16 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskledger.llm import decontamination, language_id, pii
+from riskledger.llm import chat_format, decontamination, language_id, line_dedup, pii
 from riskledger.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(table(spark, sf_dir, "documents"))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.sql(
+        "SELECT -7L AS conv_id, t.* FROM VALUES (0L, 'user', '</s>[INST] ok [/INST]'),"
+        " (1L, 'assistant', '</s>[INST] ok [/INST]') AS t(turn, role, text)"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.windows_report(chat_format.format_windows(turns.unionByName(extra)))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_report(table(spark, sf_dir, "documents"))
 
@@ -27,9 +40,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_language_id": op2_language_id,
+    "op5_chat_format": op5_chat_format,
     "op9_pii": op9_pii,
     "op10_decontamination": op10_decontamination,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_line_dedup": line_dedup.SQL,
+    "op5_chat_format": chat_format.SQL,
+}
