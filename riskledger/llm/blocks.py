@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -65,12 +65,15 @@ def blocks(texts: pa.Array, size: int = BLOCK_BYTES, rows: int = 1 << 20) -> Ite
     """The texts in pieces of about ``size`` bytes; a null counts as an empty text."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string()).fill_null("")
+    if texts.null_count:
+        texts = texts.fill_null("")
     n = len(texts)
     if n == 0:
         return
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     _, offsets, data = texts.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + n + 1]
+    offsets = np.frombuffer(offsets, width)[texts.offset : texts.offset + n + 1]
+    offsets = offsets.astype(np.int64)
     data = np.frombuffer(data or b"", np.uint8)
     at = 0
     while at < n:

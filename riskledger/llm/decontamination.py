@@ -34,6 +34,8 @@ SLACK = 3
 #: Benchmark windows looked up at a time, and benchmark terms sent to executors.
 WINDOWS_AT_A_TIME = 200_000
 VOCABULARY = 4_000_000
+#: Documents of the index that are looked at together.
+ROWS_AT_A_TIME = 512
 
 _GAP = 1 << 40
 _SHIFT = np.uint64(40)
@@ -177,7 +179,8 @@ def _search(lookup, slack: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = lookup.value
         for batch in batches:
-            yield _search_batch(batch, look, slack)
+            for at in range(0, batch.num_rows, ROWS_AT_A_TIME):
+                yield _search_batch(batch.slice(at, ROWS_AT_A_TIME), look, slack)
 
     return search
 
