@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskledger.llm import chat_format, decontamination, language_id, line_dedup, pii
+from riskledger.llm import (
+    chat_format,
+    decontamination,
+    language_id,
+    line_dedup,
+    ngram_join,
+    pii,
+)
 from riskledger.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +27,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.sql(
         "SELECT -7L AS conv_id, t.* FROM VALUES (0L, 'user', '</s>[INST] ok [/INST]'),"
@@ -42,6 +53,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language_id": op2_language_id,
+    "op4_ngram_join": op4_ngram_join,
     "op5_chat_format": op5_chat_format,
     "op9_pii": op9_pii,
     "op10_decontamination": op10_decontamination,
