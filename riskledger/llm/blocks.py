@@ -83,6 +83,15 @@ def blocks(texts: pa.Array, size: int = BLOCK_BYTES, rows: int = 1 << 20) -> Ite
         at = to
 
 
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span."""
+    powers, inverses = _power_tables(len(data))
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers, out=total[1:])
+        return mix((total[ends] - total[starts]) * inverses[starts])
+
+
 @dataclass
 class Words:
     """Words of a block in order; ``bounds[i]:bounds[i + 1]`` are those of text i."""
@@ -108,12 +117,8 @@ def words(block: Block, inside: np.ndarray) -> Words:
     stops = mask.copy()
     stops[:-1] &= ~mask[1:] | edge[1:-1]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    powers, inverses = _power_tables(n)
-    with np.errstate(over="ignore"):
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers, out=total[1:])
-        hashes = mix((total[ends] - total[starts]) * inverses[starts])
-    return Words(starts, ends, np.searchsorted(starts, block.offsets), hashes)
+    bounds = np.searchsorted(starts, block.offsets)
+    return Words(starts, ends, bounds, hash_spans(data, starts, ends))
 
 
 def arrow_lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:

@@ -13,6 +13,7 @@ from riskledger.llm import (
     line_dedup,
     ngram_join,
     pii,
+    sentencepiece_codec,
 )
 from riskledger.llm.storage import table
 
@@ -27,6 +28,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language_id": op2_language_id,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_ngram_join": op4_ngram_join,
     "op5_chat_format": op5_chat_format,
     "op9_pii": op9_pii,
