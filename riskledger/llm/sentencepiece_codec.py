@@ -23,7 +23,7 @@ repeated rows are encoded each by itself.
 
 from __future__ import annotations
 
-from functools import cache
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -388,12 +388,8 @@ def _bisect(block, suffixes, shift, key, lo, hi, right: bool) -> np.ndarray:
     return lo
 
 
-@cache
-def _codec(key: int) -> Codec:
-    return Codec(_shared[key].value)
-
-
-_shared: dict[int, object] = {}
+#: The codec of this worker process, by the name of its vocabulary.
+_codecs: dict[str, Codec] = {}
 
 
 class Tokenizer:
@@ -401,14 +397,16 @@ class Tokenizer:
 
     def __init__(self, spark: SparkSession, path: str = MODEL):
         self.vocabulary = spark.sparkContext.broadcast(Vocabulary(path))
+        self.name = uuid.uuid4().hex
 
     def _worker(self):
-        shared = self.vocabulary
+        shared, name = self.vocabulary, self.name
 
         def codec() -> Codec:
-            key = shared._jbroadcast.id() if hasattr(shared, "_jbroadcast") else id(shared.value)
-            _shared.setdefault(key, shared)
-            return _codec(key)
+            if name not in _codecs:
+                _codecs.clear()
+                _codecs[name] = Codec(shared.value)
+            return _codecs[name]
 
         return codec
 
