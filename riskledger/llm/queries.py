@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from riskledger.llm import (
     chat_format,
     decontamination,
+    embedding_dedup,
     language_id,
     line_dedup,
     ngram_join,
     pii,
     sentencepiece_codec,
+    toxicity,
 )
 from riskledger.llm.storage import table
 
@@ -45,6 +47,16 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.windows_report(chat_format.format_windows(turns.unionByName(extra)))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_report(table(spark, sf_dir, "documents"))
 
@@ -61,6 +73,8 @@ QUERIES: dict[str, Query] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_ngram_join": op4_ngram_join,
     "op5_chat_format": op5_chat_format,
+    "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_pii": op9_pii,
     "op10_decontamination": op10_decontamination,
 }
