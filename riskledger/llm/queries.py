@@ -16,6 +16,7 @@ from riskledger.llm import (
     pii,
     sentencepiece_codec,
     toxicity,
+    url_filter,
 )
 from riskledger.llm.storage import table
 
@@ -47,6 +48,10 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.windows_report(chat_format.format_windows(turns.unionByName(extra)))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_ngram_join": op4_ngram_join,
     "op5_chat_format": op5_chat_format,
+    "op6_url_filter": op6_url_filter,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_pii": op9_pii,
