@@ -8,29 +8,37 @@ outnumber the input. Nothing is collected but the count and a checksum per round
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskledger.llm.storage import Scratch
 
 
-def _checksum(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("sum")
-    ).first()
-    return row["n"], row["sum"]
+def _stored(
+    scratch: Scratch, name: str, edges: DataFrame, rows: int | None
+) -> tuple[DataFrame, tuple[int, int]]:
+    """``edges`` as stored, with their number and a checksum, taken while they are written."""
+    seen = Observation()
+    counted = edges.observe(
+        seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("sum")
+    )
+    stored = scratch.write(name, counted, rows)
+    return stored, (seen.get["n"], seen.get["sum"])
 
 
-def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def components(
+    edges: DataFrame, scratch: Scratch, name: str, rows: int | None = None
+) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); the component is its least node.
 
     Loops (a = b) count as nodes without a partner. Self-contained: the result is stored.
+    ``rows`` tells how many edges there are, if that is known.
     """
     ordered = edges.select(
         F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")
     ).distinct()
-    now = scratch.write(f"{name}-0", ordered)
-    state, round_ = _checksum(now), 0
+    now, state = _stored(scratch, f"{name}-0", ordered, rows)
+    round_ = 0
     while True:
         before = f"{name}-{round_}"
         round_ += 1
@@ -39,7 +47,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             now.filter("hi <> lo").select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
         least = scratch.write(
-            f"{step}-m", both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+            f"{step}-m", both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")),
+            2 * state[0],
         )
         large = scratch.write(
             f"{step}-large",
@@ -48,9 +57,10 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             .select(F.col("v").alias("hi"), F.col("m").alias("lo"))
             .unionByName(least.select(F.col("u").alias("hi"), F.col("m").alias("lo")))
             .distinct(),
+            2 * state[0],
         )
         below = scratch.write(
-            f"{step}-s", large.groupBy("hi").agg(F.min("lo").alias("m"))
+            f"{step}-s", large.groupBy("hi").agg(F.min("lo").alias("m")), 2 * state[0]
         )
         small = (
             large.join(below, "hi")
@@ -58,9 +68,9 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             .unionByName(below.select("hi", F.col("m").alias("lo")))
             .distinct()
         )
-        now = scratch.write(step, small)
+        last = state
+        now, state = _stored(scratch, step, small, 2 * state[0])
         scratch.drop(before, f"{step}-m", f"{step}-large", f"{step}-s")
-        last, state = state, _checksum(now)
         if state == last:
             break
     return now.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("component"))

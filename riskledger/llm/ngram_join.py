@@ -11,8 +11,9 @@ similarity of at least ``PERCENT`` per cent. Every step below is exact:
 2. Equal sets, found by digest, go on as one document.
 3. Whole sets of those documents are cut to shingles that at least two of them have; a
    document that keeps less than ``PERCENT`` of its set has no partner.
-4. Documents that share one of their rarest shingles (a prefix in order of frequency) form
-   clusters; linked documents are always in one cluster.
+4. Linked documents share one of their rarest shingles (a prefix in order of frequency).
+   Documents whose prefixes share a shingle form a cluster, named by the least id that has
+   the shingle; a document is in as many clusters as its prefix has such names.
 5. Each cluster is searched in groups of bounded size by T-occurrence search (DivideSkip):
    inverted lists of a document's shingles are divided into short ones, whose runs are
    merged and counted, and long ones, which are probed by binary search for candidates
@@ -148,7 +149,7 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, n): shingles of a document that others have, of one hash partition."""
+    """(doc, n): a row per shingle that others have too, of one hash partition."""
     parts = [[b.column(i).to_numpy() for i in range(3)] for b in batches]
     if not parts:
         return
@@ -163,11 +164,11 @@ def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     starts = np.flatnonzero(new)
     sizes = np.diff(np.r_[starts, len(keys)])
     docs = docs[np.repeat(sizes > 1, sizes)]
-    docs, counts = np.unique(docs[docs >= 0], return_counts=True)
+    docs = docs[docs >= 0]
     yield pa.RecordBatch.from_arrays(
         [
             pa.array(np.concatenate([docs, known_docs])),
-            pa.array(np.concatenate([counts, known]).astype(np.int64)),
+            pa.array(np.concatenate([np.ones(len(docs)), known]).astype(np.int64)),
         ],
         ["doc", "n"],
     )
@@ -294,8 +295,13 @@ def divide_skip(
 
 def _search(percent: int):
     def search(key, group):
-        ids = group.column("id").to_numpy()
         names = group.column_names
+        # Several clusters, or both sides of a square, may have brought the same document.
+        if "asked" in names:
+            group = group.sort_by([("asked", "descending")])
+        _, once = np.unique(group.column("id").to_numpy(), return_index=True)
+        group = group.take(pa.array(once))
+        ids = group.column("id").to_numpy()
         sets = group.column("shingles").combine_chunks()
         flat = sets.flatten().to_numpy(zero_copy_only=False)
         bounds = np.cumsum(np.r_[0, sets.value_lengths().to_numpy(zero_copy_only=False)])
@@ -360,16 +366,20 @@ def _searchable(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     )
 
 
-def _clusters(found: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """(id, cluster): documents connected by a shared shingle of their rare prefixes."""
+def _clusters(found: DataFrame, scratch: Scratch, percent: int, rows: int) -> DataFrame:
+    """(cluster, id): documents whose rare prefixes share a shingle, of two or more."""
     n, kept = F.col("n"), F.size("shingles")
     prefix = n - F.ceil(n * percent / 100) + 1 - (n - kept)
-    rows = found.select("id", F.explode(F.slice("shingles", F.lit(1), prefix.cast("int"))).alias("s"))
-    heads = scratch.write("heads", rows.groupBy("s").agg(F.min("id").alias("head")))
-    edges = rows.join(heads, "s").select(F.col("id").alias("a"), F.col("head").alias("b"))
-    return components(edges.distinct(), scratch, "cluster").select(
-        F.col("node").alias("id"), F.col("component").alias("cluster")
+    shingles = F.slice("shingles", F.lit(1), prefix.cast("int"))
+    postings = found.select("id", F.explode(shingles).alias("s"))
+    heads = scratch.write(
+        "heads",
+        postings.groupBy("s").agg(F.min("id").alias("cluster"), F.count("*").alias("df"))
+        .filter("df > 1")
+        .drop("df"),
+        20 * rows,
     )
+    return postings.join(heads, "s").select("cluster", "id").distinct()
 
 
 def near_duplicate_links(
@@ -387,50 +397,57 @@ def near_duplicate_links(
         ),
     )
     ids = scratch.write("survivors", _survivors(profiles, percent).select("id").distinct())
-    ids = broadcast_if_small(ids, ids.count(), 16)
+    n_ids = ids.count()
+    ids = broadcast_if_small(ids, n_ids, 16)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
     sets = scratch.write(
         "sets",
-        texts.join(ids, "id")
-        .mapInArrow(_whole_sets(width), "id bigint, n bigint, shingles array<bigint>")
-        .dropDuplicates(["id"]),
+        texts.join(ids, "id").mapInArrow(
+            _whole_sets(width), "id bigint, n bigint, shingles array<bigint>"
+        ),
     )
     found = scratch.write("searchable", _searchable(sets, scratch, percent))
-    clusters = scratch.write("clusters", _clusters(found, scratch, percent))
-    sizes = scratch.write("sizes", clusters.groupBy("cluster").agg(F.count("*").alias("size")))
-    total = sizes.agg(
-        F.coalesce(F.sum("size"), F.lit(0)).alias("docs"),
-        F.coalesce(F.max("size"), F.lit(0)).alias("largest"),
-    ).first()
+    n_found = found.count()
+    clusters = scratch.write("clusters", _clusters(found, scratch, percent, n_found), 4 * n_found)
+    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
+    large = scratch.write("large-clusters", sizes.filter(F.col("size") > GROUP), n_found // GROUP)
+    n_large = large.count()
     # Small clusters share groups; a large one has groups of its own.
-    bins = F.lit(-(-total["docs"] // GROUP) or 1)
+    bins = F.lit(1 + clusters.count() // GROUP)
     parts = F.ceil(F.col("size") / GROUP)
-    unit = F.when(
-        F.col("size") <= GROUP, F.xxhash64(F.pmod(F.xxhash64("cluster"), bins))
-    ).otherwise(F.xxhash64("cluster", F.pmod(F.xxhash64("id"), parts)))
-    placed = found.join(clusters, "id").join(sizes, "cluster").withColumn("unit", unit)
-    links = scratch.write("links", _links(placed.select("unit", "id", "n", "shingles"), percent))
-    if total["largest"] > GROUP:
-        links = _finish_large(placed.filter(F.col("size") > GROUP), links, scratch, percent)
+    unit = F.when(F.col("size").isNull(), F.pmod(F.xxhash64("cluster"), bins)).otherwise(
+        F.xxhash64("cluster", F.pmod(F.xxhash64("id"), parts))
+    )
+    placed = clusters.join(broadcast_if_small(large, n_large, 16), "cluster", "left")
+    placed = found.join(placed, "id").withColumn("unit", unit)
+    columns = ["unit", "id", "n", "shingles"]
+    small = placed.filter(F.col("size").isNull()).select(*columns)
+    links = scratch.write("links", _links(small, percent), n_found)
+    if n_large:
+        links = _finish_large(placed.filter(F.col("size").isNotNull()), links, scratch, percent)
     return profiles, links
 
 
 def _finish_large(
     placed: DataFrame, links: DataFrame, scratch: Scratch, percent: int
 ) -> DataFrame:
-    """Links between the groups of clusters that are larger than a group."""
-    members = scratch.write("large", placed.select("cluster", "id", "n", "shingles"))
+    """``links`` and those of clusters that are larger than a group."""
+    placed = scratch.write("large", placed.select("unit", "cluster", "id", "n", "shingles"))
+    rows = placed.count()
+    own = scratch.write("links-0", _links(placed.drop("cluster"), percent), rows)
+    members = placed.drop("unit")
     level = 0
     while True:
         level += 1
-        labelled = _label(members, links, scratch, f"level-{level}")
+        labelled = _label(members, own, scratch, f"level-{level}", rows)
         part = scratch.write(
             f"parts-{level}",
             labelled.groupBy("cluster", "joined").agg(F.count("*").alias("part")),
+            rows,
         )
         big = part.filter(F.col("part") >= DELEGATING)
         several = big.groupBy("cluster").agg(F.count("*").alias("k")).filter("k > 1")
-        meeting = scratch.write("meeting" + str(level), several)
+        meeting = scratch.write(f"meeting-{level}", several, rows // DELEGATING)
         if meeting.isEmpty():
             break
         # A component sends a sample of itself; samples of a cluster meet in groups.
@@ -442,66 +459,61 @@ def _finish_large(
         )
         groups = F.ceil(F.col("k") * 2 * DELEGATES / GROUP)
         unit = F.xxhash64("cluster", F.pmod(F.xxhash64("joined", F.lit(level)), groups))
+        columns = ["unit", "id", "n", "shingles", "joined"]
         more = scratch.write(
-            f"links-{level}",
-            _links(
-                delegates.withColumn("unit", unit).select("unit", "id", "n", "shingles", "joined"),
-                percent,
-            ),
+            f"links-{level}", _links(delegates.withColumn("unit", unit).select(*columns), percent), rows
         )
         if more.isEmpty():
             break
-        links = links.unionByName(more)
+        own = own.unionByName(more)
     # Whoever is outside the largest component of the cluster is compared with all of it.
     largest = scratch.write(
         "largest",
         part.groupBy("cluster").agg(
-            F.max_by("joined", F.struct("part", "joined")).alias("main"), F.sum("part").alias("all")
+            F.max_by("joined", F.struct("part", "joined")).alias("main"),
+            F.max("part").alias("inside"),
+            F.sum("part").alias("all"),
         ),
+        rows // GROUP,
     )
-    sides = labelled.join(largest, "cluster")
-    outside = sides.filter(F.col("joined") != F.col("main"))
-    loners = scratch.write(
-        "outside", outside.groupBy("cluster").agg(F.count("*").alias("loners"))
+    half = GROUP // 2
+    sides = labelled.join(largest, "cluster").filter("inside < all").withColumns(
+        {
+            "rows": F.ceil((F.col("all") - F.col("inside")) / half),
+            "columns": F.ceil(F.col("all") / half),
+        }
     )
-    sides = sides.join(loners, "cluster")
     columns = ["cluster", "id", "n", "shingles", "joined"]
-    half = GROUP // 2
-    rows, columns_ = F.ceil(F.col("loners") / half), F.ceil(F.col("all") / half)
-    row_number, column_number = F.pmod(F.xxhash64("id"), rows), F.pmod(F.xxhash64("id"), columns_)
-    asked = sides.filter(F.col("joined") != F.col("main")).select(
-        *columns,
-        F.lit(True).alias("asked"),
-        row_number.alias("r"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), columns_ - 1)).alias("c"),
+
+    def spread(number: str):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(number) - 1))
+
+    place = F.pmod(F.xxhash64("id"), F.col("rows")), F.pmod(F.xxhash64("id"), F.col("columns"))
+    asked = sides.filter("joined <> main").select(
+        *columns, F.lit(True).alias("asked"), place[0].alias("r"), spread("columns").alias("c")
     )
     listed = sides.select(
-        *columns,
-        F.lit(False).alias("asked"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), rows - 1)).alias("r"),
-        column_number.alias("c"),
+        *columns, F.lit(False).alias("asked"), spread("rows").alias("r"), place[1].alias("c")
     )
-    # A document may be on both sides of one square; the asked copy is enough.
-    square = (
-        asked.unionByName(listed)
-        .withColumn("unit", F.xxhash64("cluster", "r", "c"))
-        .groupBy("unit", "id", "n", "shingles", "joined")
-        .agg(F.max("asked").alias("asked"))
+    # A document may be on both sides of one square; the asked copy counts.
+    square = asked.unionByName(listed).select(
+        F.xxhash64("cluster", "r", "c").alias("unit"), "id", "n", "shingles", "asked", "joined"
     )
-    last = scratch.write(
-        "links-outside",
-        _links(square.select("unit", "id", "n", "shingles", "asked", "joined"), percent),
-    )
-    return links.unionByName(last)
+    last = scratch.write("links-outside", _links(square, percent), rows)
+    return links.unionByName(own).unionByName(last)
 
 
-def _label(members: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    found = components(links, scratch, name).select(
+def _label(
+    members: DataFrame, links: DataFrame, scratch: Scratch, name: str, rows: int
+) -> DataFrame:
+    found = components(links, scratch, name, rows).select(
         F.col("node").alias("id"), F.col("component").alias("found")
     )
     return scratch.write(
         f"{name}-labels",
-        members.join(found, "id", "left").withColumn("joined", F.coalesce("found", "id")).drop("found"),
+        members.join(found, "id", "left")
+        .withColumn("joined", F.coalesce("found", "id"))
+        .drop("found"),
     )
 
 
@@ -515,7 +527,7 @@ def near_duplicates(
         "classes",
         profiles.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("id")),
     )
-    named = scratch.write("components", components(links, scratch, "final"))
+    named = scratch.write("components", components(links, scratch, "final", links.count()))
     classes = scratch.write(
         "class-components",
         sets.join(named.withColumnRenamed("node", "id"), "id", "left").select(

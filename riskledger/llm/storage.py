@@ -12,6 +12,8 @@ from riskledger.session import materialise, remove_folder, shared_folder
 
 #: Largest side that is sent to every executor, as rows times bytes of a row.
 BROADCAST_BYTES = 32 << 20
+#: Rows of a few bytes that one task writes at least.
+ROWS_A_FILE = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,9 +32,12 @@ class Scratch:
         self.spark, self.purpose, self.paths = spark, purpose, {}
         atexit.register(self.close)
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
+    def write(self, name: str, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """Stores ``df``; with about ``rows`` small rows expected, by as few tasks as fit."""
         path = shared_folder(self.spark, f"{self.purpose}-{name}")
         self.paths[name] = path
+        if rows is not None:
+            df = df.coalesce(1 + rows // ROWS_A_FILE)
         return materialise(df, path)
 
     def drop(self, *names: str) -> None:
