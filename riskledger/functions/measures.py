@@ -1,8 +1,8 @@
 """Additive measures and the figures derived from them.
 
-Every report is built in two steps. ``summarise`` produces additive sums only (longs,
-so partial aggregation collapses a hot key inside each map task and the result does not
-depend on the order rows arrive in). ``present`` then turns the sums into the reported
+Every report is built in two steps. ``summarise`` produces additive sums only (longs and
+decimals, so partial aggregation collapses a hot key inside each map task and the result
+does not depend on the order rows arrive in). ``present`` then turns the sums into the reported
 figures. Because step two needs nothing but sums, the same figures can be read from a
 direct group-by or from a shared rollup.
 """
@@ -16,14 +16,16 @@ from pyspark.sql import functions as F
 
 from riskledger.schema import APPROVED, FAILED
 
-# What each payment adds to the sums, as whole numbers. Amounts carry two decimals, so whole
-# cents in a long sum exactly.
+# What each payment adds to the sums. Amounts keep six decimals, which sum exactly; only the
+# reported figures are rounded.
 INPUTS = {
-    "amount_cents": "cast(rint(transaction_amount * 100) AS bigint)",
+    "amount_total": "cast(transaction_amount AS decimal(24, 6))",
     "approved_transactions": f"cast(transaction_status = '{APPROVED}' AS int)",
     "failed_transactions": f"cast(transaction_status = '{FAILED}' AS int)",
     "fraud_transactions": "is_fraud",
     "chargeback_transactions": "is_chargeback",
+    "fraud_known": "cast(is_fraud IS NOT NULL AS int)",
+    "chargeback_known": "cast(is_chargeback IS NOT NULL AS int)",
     "response_ms_total": "processor_response_ms",
 }
 
@@ -59,13 +61,13 @@ def raw_rate_pct(part: str, whole: str = "total_transactions") -> Column:
 
 def average_sql(total: str, n: str = "total_transactions") -> str:
     """Two-decimal mean, rounded in decimal so that halves always round up."""
-    mean = f"cast(try_divide({total}, {n}) AS decimal(18, 8))"
+    mean = f"try_divide(cast({total} AS decimal(30, 6)), cast({n} AS decimal(19, 0)))"
     return f"cast(round({mean}, 2) AS double)"
 
 
 DERIVED = {
-    "total_payment_volume": "amount_cents / 100.0D",
-    "avg_transaction_amount": average_sql("amount_cents / 100.0D"),
+    "total_payment_volume": "cast(round(amount_total, 2) AS double)",
+    "avg_transaction_amount": average_sql("amount_total"),
     "avg_processor_response_ms": average_sql("response_ms_total"),
     "approval_rate_pct": rate_sql("approved_transactions"),
     "failure_rate_pct": rate_sql("failed_transactions"),

@@ -46,6 +46,14 @@ def feature_frame(txn: DataFrame, with_outcomes: bool = False) -> DataFrame:
     return txn.withColumn("risk_score", score_of(rules)).select(KEY, *FEATURES, LABEL)
 
 
+def complete(features: DataFrame) -> DataFrame:
+    """Rows that have all numeric features; models can't use the others.
+
+    ``incomplete_rows`` of the cleaning counters tells how many those are.
+    """
+    return features.na.drop(subset=NUMERIC_FEATURES)
+
+
 def feature_manifest(spark: SparkSession) -> DataFrame:
     rows = [(f, "numeric") for f in NUMERIC_FEATURES]
     rows += [(f, "categorical") for f in CATEGORICAL_FEATURES]
@@ -80,6 +88,33 @@ def match(rows: DataFrame, cuts: DataFrame, *columns: str) -> DataFrame:
     return rows.join(F.broadcast(cuts), same).drop(*[f"cut_{c}" for c in columns])
 
 
+def split_sizes(by_class: DataFrame, label: str, test_fraction: float) -> DataFrame:
+    """(label, test_n) from (label, n): test rows per class, ``ceil(test_fraction * all)`` in all.
+
+    Every class first gives the whole part of its share to training; the training rows still
+    missing come one each from the classes with the largest fractions, the lower label first.
+    The window sees one row per class.
+    """
+    total = F.sum("n").over(W.partitionBy())
+    train = total - F.ceil(total * F.lit(test_fraction)).cast("bigint")
+    # In whole numbers, as a quotient of doubles may fall short of the next integer.
+    whole = F.expr("(n * train) div total")
+    left = F.col("n") * F.col("train") - F.col("total") * F.col("whole")
+    missing = F.col("train") - F.sum("whole").over(W.partitionBy())
+    turn = F.row_number().over(W.partitionBy().orderBy(F.desc("left"), label))
+    return (
+        by_class.withColumns({"total": total, "train": train})
+        .withColumn("whole", whole)
+        .withColumn("left", left)
+        .select(
+            label,
+            (F.col("n") - F.col("whole") - F.when(turn <= missing, 1).otherwise(0)).alias(
+                "test_n"
+            ),
+        )
+    )
+
+
 def stratified_split(
     df: DataFrame,
     test_fraction: float = 0.2,
@@ -88,7 +123,7 @@ def stratified_split(
     key: str = KEY,
     bucket_digits: int = 3,
 ) -> DataFrame:
-    """Add ``split`` = train/test with the label shares kept exactly.
+    """Add ``split`` = train/test, ``ceil(test_fraction * rows)`` test rows in all, label shares kept.
 
     Rows are ordered by a hash of their key and the first ``test_fraction`` of each class
     is the test set. Ranking a class outright would put half the data into one task, so
@@ -104,12 +139,10 @@ def stratified_split(
         .withColumn("bucket", F.substring("key_hash", 1, bucket_digits))
     )
     by_bucket = hashed.groupBy(label, "bucket").agg(F.count("*").alias("n"))
-    total = by_bucket.agg(F.sum("n")).scalar()
-    class_n = F.sum("n").over(W.partitionBy(label))
-    in_train = (total - F.ceil(total * F.lit(test_fraction))) / total
-    test_n = class_n - F.floor(class_n * in_train + F.lit(0.5))
+    by_class = by_bucket.groupBy(label).agg(F.sum("n").alias("n"))
+    sizes = split_sizes(by_class, label, test_fraction)
     cut_bucket = where_running_total_reaches(
-        by_bucket.withColumn("test_n", test_n), label, ["bucket"], "test_n"
+        by_bucket.join(F.broadcast(sizes), label), label, ["bucket"], "test_n"
     )
     keys = (
         hashed.select(label, key, "key_hash", "bucket")
@@ -179,11 +212,13 @@ def standardised_numerics(features: DataFrame) -> DataFrame:
     """Each numeric feature as a z-score with the population deviation.
 
     The fitted scaler divides by the sample deviation; the factor between the two
-    depends on the row count alone.
+    depends on the row count alone. Fitting passes over ``features`` again, so give it a
+    stored table. A single row has deviation zero and z-scores of zero.
     """
+    features = complete(features)
     model = Pipeline(stages=numeric_scaling()).fit(features)
-    n = features.agg(F.count("*")).scalar()
-    factor = F.sqrt(n / (n - 1))
+    n = features.count()
+    factor = F.lit((n / (n - 1)) ** 0.5 if n > 1 else 1.0)
     scaled = model.transform(features).withColumn("z", vector_to_array("scaled"))
     return scaled.select(
         KEY,
@@ -197,27 +232,33 @@ def category_slots(features: DataFrame) -> DataFrame:
     index_model = indexer.fit(features)
     indexed = index_model.transform(features)
     encoded = encoder.fit(indexed).transform(indexed)
-    # The per-slot sums are one partial aggregate; the number of slots is the vocabulary.
-    sums = [
-        F.sum(vector_to_array(f"{c}_slots")[slot]).cast("bigint").alias(f"{c}:{slot}")
-        for c, labels in zip(CATEGORICAL_FEATURES, index_model.labelsArray)
-        for slot in range(len(labels))
-    ]
-    totals = encoded.agg(*sums)
-    names = features.sparkSession.createDataFrame(
-        [
-            (f"{c}:{slot}", c, value, slot)
-            for c, labels in zip(CATEGORICAL_FEATURES, index_model.labelsArray)
-            for slot, value in enumerate(labels)
-        ],
-        "slot_name STRING, feature STRING, value STRING, slot INT",
+    # One row per feature of a payment, whatever the vocabulary; the slot is where the one is.
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("feature"),
+                F.col(c).alias("value"),
+                (F.array_position(vector_to_array(f"{c}_slots"), 1.0) - 1)
+                .cast("int")
+                .alias("slot"),
+            )
+            for c in CATEGORICAL_FEATURES
+        ]
+    )
+    return (
+        encoded.select(F.inline(cells))
+        .filter("slot >= 0")
+        .groupBy("feature", "value", "slot")
+        .agg(F.count("*").alias("rows_set"))
     )
-    rows = totals.unpivot([], totals.columns, "slot_name", "rows_set")
-    return names.join(rows, "slot_name").select("feature", "value", "slot", "rows_set")
 
 
 def feature_vectors(features: DataFrame) -> DataFrame:
-    """The assembled vector of every row, with its width and how many slots are set."""
+    """The assembled vector of every row, with its width and how many slots are set.
+
+    Fitting passes over ``features`` again, so give it a stored table.
+    """
+    features = complete(features)
     ready = preprocessing().fit(features).transform(features)
     values = vector_to_array("features")
     slots = F.slice(values, len(NUMERIC_FEATURES) + 1, F.size(values))

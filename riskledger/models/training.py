@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -23,14 +22,28 @@ from riskledger.models.features import (
     KEY,
     LABEL,
     class_weight,
+    complete,
     feature_frame,
+    feature_manifest,
     preprocessing,
     stratified_split,
 )
-from riskledger.models.metrics import METRICS, best_by_recall, binary_metrics
+from riskledger.models.metrics import (
+    METRICS,
+    best_by_recall,
+    binary_metrics,
+    classification_report,
+    confusion_matrix,
+)
 from riskledger.session import materialise, remove_folder, shared_folder
+from riskledger.sinks import replace_table
 
 SEED = 42
+#: Labelled rows a classifier is fitted on at most, drawn by a hash of the key. All test rows
+#: are judged.
+MAX_TRAIN_ROWS = 1_000_000
+#: Rows of the training table that one task handles at least.
+ROWS_A_TASK = 5_000
 
 
 @dataclass(frozen=True)
@@ -47,10 +60,19 @@ class ModelSizes:
 
 @dataclass
 class TrainingResult:
+    """Small tables of figures, and the fitted models.
+
+    ``confusion`` has the true and predicted class, ``report`` the classes and averages of
+    each model; ``split_sizes`` the rows per class and side.
+    """
+
     comparison: DataFrame
     best_name: str
     best: PipelineModel
     models: dict[str, PipelineModel]
+    confusion: DataFrame
+    report: DataFrame
+    split_sizes: DataFrame
 
 
 def candidates(n_train: int, sizes: ModelSizes) -> dict:
@@ -99,6 +121,7 @@ def train(
     sizes: ModelSizes | None = None,
     with_outcomes: bool = False,
     only: Sequence[str] | None = None,
+    max_train_rows: int = MAX_TRAIN_ROWS,
 ) -> TrainingResult:
     """Split, preprocess once, fit every candidate, compare on the test rows, choose."""
     spark = txn.sparkSession
@@ -106,23 +129,41 @@ def train(
     path = shared_folder(spark, "training")
     try:
         # The many passes of training read this table, not the cleaning shuffle behind it.
-        rows = materialise(stratified_split(feature_frame(txn, with_outcomes)), path)
-        return fit_and_compare(rows, sizes or ModelSizes(), only)
+        frame = complete(feature_frame(txn, with_outcomes))
+        rows = materialise(stratified_split(frame), f"{path}/rows")
+        return fit_and_compare(rows, sizes or ModelSizes(), path, only, max_train_rows)
     finally:
         remove_folder(spark, path)
 
 
+def bounded_sample(rows: DataFrame, there: int, wanted: int) -> DataFrame:
+    """About ``wanted`` of the rows, the same ones every time; all of them if there are fewer."""
+    if there <= wanted:
+        return rows
+    part = F.pmod(F.xxhash64(KEY, F.lit("train")), F.lit(1_000_000))
+    return rows.filter(part < wanted * 1_000_000 // there)
+
+
 def fit_and_compare(
-    rows: DataFrame, sizes: ModelSizes, only: Sequence[str] | None = None
+    rows: DataFrame,
+    sizes: ModelSizes,
+    folder: str,
+    only: Sequence[str] | None = None,
+    max_train_rows: int = MAX_TRAIN_ROWS,
 ) -> TrainingResult:
-    """Train on the rows marked train, judge on those marked test."""
+    """Train on the rows marked train, judge on those marked test; ``folder`` is for scratch."""
     spark = rows.sparkSession
-    train_rows = rows.filter(F.col("split") == "train")
+    # Two rows per class.
+    sides = rows.groupBy(F.col(LABEL).alias("label"), "split").agg(F.count("*").alias("n"))
+    sides = spark.createDataFrame(sides.collect(), "label INT, split STRING, n BIGINT")
+    all_train = sum(r["n"] for r in sides.collect() if r["split"] == "train")
+    train_rows = bounded_sample(rows.filter(F.col("split") == "train"), all_train, max_train_rows)
     test_rows = rows.filter(F.col("split") == "test")
 
     n, positives = train_rows.agg(
         F.count("*"), F.coalesce(F.sum(LABEL), F.lit(0))
     ).first()
+    train_rows = train_rows.coalesce(1 + n // ROWS_A_TASK)
     prepared = preprocessing().fit(train_rows)
     # Not persisted: every classifier keeps its own packed copy of its input while fitting.
     train_vectors = prepared.transform(train_rows).select(
@@ -144,14 +185,15 @@ def fit_and_compare(
         )
 
     columns = {name: i for i, name in enumerate(candidates(n, sizes)) if name in models}
-    judged = judged.drop("features").persist(StorageLevel.MEMORY_AND_DISK)
+    judged = materialise(judged.drop("features"), f"{folder}/judged")
     metrics = binary_metrics(
         judged, [(name, F.col(f"prediction_{i}")) for name, i in columns.items()]
     )
     auc = {name: exact_auc(judged, f"probability_{i}") for name, i in columns.items()}
-    # One row per candidate model.
+    # One row per candidate model, at most four and five per model.
     results = metrics.collect()
-    judged.unpersist()
+    confusion = collected_per_model(judged, columns, confusion_matrix)
+    report = collected_per_model(judged, columns, classification_report)
 
     unrounded = spark.createDataFrame(results, metrics.schema)
     best_name = best_by_recall(unrounded).first()["model"]
@@ -163,7 +205,36 @@ def fit_and_compare(
         "model STRING, accuracy DOUBLE, precision DOUBLE, recall DOUBLE, "
         "f1_score DOUBLE, roc_auc DOUBLE",
     )
-    return TrainingResult(comparison, best_name, models[best_name], models)
+    return TrainingResult(
+        comparison, best_name, models[best_name], models, confusion, report, sides
+    )
+
+
+def collected_per_model(judged: DataFrame, columns: dict[str, int], figures) -> DataFrame:
+    """The few rows of ``figures`` for each model's predictions, as a local table."""
+    parts = [
+        figures(judged, LABEL, f"prediction_{i}").select(F.lit(name).alias("model"), "*")
+        for name, i in columns.items()
+    ]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    return judged.sparkSession.createDataFrame(union.collect(), union.schema)
+
+
+def store_training(result: TrainingResult, location: str) -> dict[str, DataFrame]:
+    """Tables of a training, by name, and the chosen model under ``location``/best_model."""
+    spark = result.comparison.sparkSession
+    tables = {
+        "model_comparison": result.comparison,
+        "model_features": feature_manifest(spark),
+        "model_confusion": result.confusion,
+        "model_report": result.report,
+    }
+    save_model(result.best, f"{location}/best_model")
+    return {
+        name: replace_table(df, name, f"{location}/{name}") for name, df in tables.items()
+    }
 
 
 def exact_auc(judged: DataFrame, score: str) -> float:

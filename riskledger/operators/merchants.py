@@ -54,10 +54,8 @@ def by_rates(*rates: str) -> list[Column | str]:
 
 
 BY_FRAUD = ("fraud_rate_pct", "chargeback_rate_pct")
-
-
-def worst_first(merchants: DataFrame) -> DataFrame:
-    return merchants.orderBy(*by_rates(*BY_FRAUD))
+#: The same order as names, descending ones with a minus sign.
+WORST_FIRST = (*[f"-{rate}" for rate in BY_FRAUD], "merchant_id", "merchant_category")
 
 
 def high_risk_merchants(merchants: DataFrame, n: int = 25) -> DataFrame:

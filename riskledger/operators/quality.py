@@ -9,21 +9,38 @@ from riskledger.functions.measures import rate_pct, summarise
 from riskledger.operators.cleaning import has_valid_amount, has_valid_status, is_true
 
 
-def cleaning_counters(raw: DataFrame) -> DataFrame:
+def cleaning_counters(raw: DataFrame, quarantined: DataFrame | None = None) -> DataFrame:
     """Rows removed by each cleaning step, in one pass over the raw rows.
 
-    Statuses are judged among rows whose amount already passed, as the steps run in that
-    order. A missing amount is dropped but is not counted as an invalid one.
+    Raw rows are quarantined ones (which never became payments), duplicates, missing and
+    invalid amounts, invalid statuses and clean rows; nothing else is lost. Statuses are
+    judged among rows whose amount already passed, as the steps run in that order. Of the
+    clean rows, ``incomplete_rows`` lack a number or a time and can't be used by models.
     """
     copies = raw.groupBy(*raw.columns).agg(F.count("*").alias("copies"))
     amount = F.col("transaction_amount")
     amount_passes, status_passes = is_true(has_valid_amount()), is_true(has_valid_status())
+    clean = amount_passes & status_passes
+    missing = amount.isNull() | F.isnan(amount)
+    incomplete = F.col("transaction_datetime").isNull() | F.col("processor_response_ms").isNull()
+    held = quarantined.agg(F.count("*")).scalar() if quarantined is not None else F.lit(0)
     return copies.agg(
-        F.sum("copies").alias("raw_rows"),
-        (F.sum("copies") - F.count("*")).alias("duplicates_removed"),
-        F.count_if(~F.isnan(amount) & (amount <= 0)).alias("invalid_amounts"),
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("readable_rows"),
+        (F.coalesce(F.sum("copies"), F.lit(0)) - F.count("*")).alias("duplicates_removed"),
+        F.count_if(missing).alias("missing_amounts"),
+        F.count_if(~missing & (amount <= 0)).alias("invalid_amounts"),
         F.count_if(amount_passes & ~status_passes).alias("invalid_statuses"),
-        F.count_if(amount_passes & status_passes).alias("clean_rows"),
+        F.count_if(clean).alias("clean_rows"),
+        F.count_if(clean & incomplete).alias("incomplete_rows"),
+    ).select(
+        (F.col("readable_rows") + held.cast("bigint")).alias("raw_rows"),
+        held.cast("bigint").alias("quarantined_rows"),
+        "duplicates_removed",
+        "missing_amounts",
+        "invalid_amounts",
+        "invalid_statuses",
+        "clean_rows",
+        "incomplete_rows",
     )
 
 
@@ -34,10 +51,11 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def overall_rates(df: DataFrame) -> DataFrame:
+    """Fraud and chargeback rates are over the rows that have the flag."""
     return summarise(df).select(
         rate_pct("approved_transactions").alias("approval_rate_pct"),
-        rate_pct("fraud_transactions").alias("fraud_rate_pct"),
-        rate_pct("chargeback_transactions").alias("chargeback_rate_pct"),
+        rate_pct("fraud_transactions", "fraud_known").alias("fraud_rate_pct"),
+        rate_pct("chargeback_transactions", "chargeback_known").alias("chargeback_rate_pct"),
     )
 
 
@@ -52,21 +70,25 @@ def raw_status_counts(raw: DataFrame) -> DataFrame:
 def raw_outcome_rates(raw: DataFrame) -> DataFrame:
     return summarise(raw).select(
         "total_transactions",
-        rate_pct("fraud_transactions").alias("fraud_rate_pct"),
-        rate_pct("chargeback_transactions").alias("chargeback_rate_pct"),
+        rate_pct("fraud_transactions", "fraud_known").alias("fraud_rate_pct"),
+        rate_pct("chargeback_transactions", "chargeback_known").alias("chargeback_rate_pct"),
     )
 
 
 def label_shares(df: DataFrame, label: str = "is_fraud") -> DataFrame:
-    """Share of each label value in percent."""
-    counts = df.groupBy(label).agg(F.count("*").alias("transactions"))
+    """Share of each label value in percent of the rows that have a label."""
+    known = df.filter(F.col(label).isNotNull())
+    counts = known.groupBy(label).agg(F.count("*").alias("transactions"))
     total = counts.agg(F.sum("transactions")).scalar()
     share = F.round(F.try_divide(F.lit(100.0) * F.col("transactions"), total), 2)
     return counts.select(label, share.alias("share_pct")).orderBy(F.desc("share_pct"), label)
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Sorted distinct non-null values of several text columns, in one pass."""
+    """Sorted distinct non-null values of several text columns, in one pass.
+
+    Copies of rows do not matter, so duplicates need not be removed before.
+    """
     return (
         df.select(*columns)
         .unpivot([], columns, "column_name", "value")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,14 +61,17 @@ def slice_payments(
 
 
 def slice_kpis(payments: DataFrame) -> DataFrame:
-    """Count, volume and unrounded rates; rates are null for an empty slice."""
+    """Count, volume and unrounded rates; rates are null for an empty slice.
+
+    Fraud and chargeback rates are means of the flags, over the rows that have the flag.
+    """
     return summarise(payments).select(
         "total_transactions",
-        (F.coalesce(F.col("amount_cents"), F.lit(0)) / F.lit(100.0)).alias("total_volume"),
+        F.coalesce(F.col("amount_total").cast("double"), F.lit(0.0)).alias("total_volume"),
         raw_rate_pct("approved_transactions").alias("approval_rate"),
         raw_rate_pct("failed_transactions").alias("failure_rate"),
-        raw_rate_pct("fraud_transactions").alias("fraud_rate"),
-        raw_rate_pct("chargeback_transactions").alias("chargeback_rate"),
+        raw_rate_pct("fraud_transactions", "fraud_known").alias("fraud_rate"),
+        raw_rate_pct("chargeback_transactions", "chargeback_known").alias("chargeback_rate"),
     )
 
 
@@ -124,9 +130,11 @@ def transaction_preview(payments: DataFrame, n: int = 100) -> DataFrame:
     return first_rows(payments.select(*PREVIEW_COLUMNS), n, "transaction_id")
 
 
-def cached_payments(scored: DataFrame) -> DataFrame:
-    """The columns slices need, kept for repeated questions; spills to executor disks.
-
-    The caller lets go of it with ``unpersist``.
-    """
-    return scored.select(*SLICE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+@contextlib.contextmanager
+def cached_payments(scored: DataFrame) -> Iterator[DataFrame]:
+    """The columns slices need, kept for repeated questions; spills to executor disks."""
+    kept = scored.select(*SLICE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

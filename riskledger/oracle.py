@@ -141,8 +141,14 @@ def mean(column: str, name: str) -> str:
 
 
 TOTAL = "COUNT(*) AS total_transactions"
-VOLUME = "CAST(SUM(CAST(transaction_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_payment_volume"
-AVG_AMOUNT = mean("transaction_amount", "avg_transaction_amount")
+EXACT = "SUM(CAST(transaction_amount AS DECIMAL(18,6)))"
+VOLUME = f"CAST(ROUND({EXACT}, 2) AS DOUBLE) AS total_payment_volume"
+# Whole millionths, halved upwards to hundredths: rounding without floating point.
+MICROS = f"CAST({EXACT} * 1000000 AS HUGEINT)"
+AVG_AMOUNT = (
+    f"CAST(({MICROS} * 2 + COUNT(*) * 10000) // (COUNT(*) * 20000) AS DOUBLE) / 100 "
+    "AS avg_transaction_amount"
+)
 COUNTS = ", ".join(
     [
         n(IS_FAILED, "failed_transactions"),
@@ -227,7 +233,7 @@ def share(condition: str) -> str:
 
 
 SLICE_FIGURES = f"""
-  SELECT {TOTAL}, {VOLUME.replace("total_payment_volume", "total_volume")},
+  SELECT {TOTAL}, CAST({EXACT} AS DOUBLE) AS total_volume,
          {share(IS_APPROVED)} AS approval_rate, {share(IS_FAILED)} AS failure_rate,
          {share(IS_FRAUD)} AS fraud_rate, {share(IS_CHARGEBACK)} AS chargeback_rate
   FROM sliced"""
@@ -244,12 +250,17 @@ FRAUD_RATE = (
 
 SPLIT = f"""{TXN},
 hashed AS (SELECT *, md5(concat(transaction_id, '42')) AS key_hash FROM txn),
-total AS (SELECT COUNT(*) AS all_n, COUNT(*) - CAST(ceil(COUNT(*) * 0.2E0) AS BIGINT) AS train_n
-          FROM txn),
+-- A fifth of all rows, rounded up, shared out by largest remainder.
+wanted AS (SELECT COUNT(*) AS all_n, (COUNT(*) + 4) // 5 AS test_rows FROM txn),
+shares AS (
+  SELECT is_fraud, COUNT(*) * any_value(test_rows) // any_value(all_n) AS sure,
+         COUNT(*) * any_value(test_rows) % any_value(all_n) AS rest, any_value(test_rows) AS test_rows
+  FROM txn, wanted GROUP BY is_fraud),
 classes AS (
-  SELECT is_fraud, COUNT(*) - CAST(floor(COUNT(*) * (any_value(train_n)
-         / CAST(any_value(all_n) AS DOUBLE)) + 0.5E0) AS BIGINT) AS test_n
-  FROM txn, total GROUP BY is_fraud),
+  SELECT is_fraud,
+         sure + CASE WHEN row_number() OVER (ORDER BY rest DESC, is_fraud DESC)
+                          <= test_rows - SUM(sure) OVER () THEN 1 ELSE 0 END AS test_n
+  FROM shares),
 numbered AS (
   SELECT transaction_id, is_fraud,
          row_number() OVER (PARTITION BY is_fraud ORDER BY key_hash, transaction_id) AS place
@@ -361,24 +372,62 @@ def row_counts(tables: dict[str, str]) -> str:
     )
 
 
-ANSWERS = {
-    "executive_payment_kpis": "(SELECT COUNT(*) FROM txn)",
-    "daily_payment_trend": "daily",
-    "top_failure_reasons": "failures",
-    "high_risk_merchants": (
-        "(SELECT * FROM merchants WHERE merchant_risk_level = 'High Risk' LIMIT 25)"
-    ),
-    "fraud_by_channel": "(SELECT DISTINCT channel FROM txn)",
-    "chargeback_by_category": "(SELECT DISTINCT merchant_category FROM txn)",
-    "weekend_vs_weekday_risk": "(SELECT DISTINCT is_weekend FROM txn)",
-    "slow_response_impact": "(SELECT DISTINCT slow_response FROM txn)",
-    "high_value_risk": "(SELECT DISTINCT high_value_txn FROM txn)",
-    "payment_method_performance": "(SELECT DISTINCT payment_method FROM txn)",
-    "monthly_risk_trend": "(SELECT DISTINCT month FROM txn)",
-    "location_based_risk": (
-        "(SELECT customer_location FROM txn GROUP BY 1 HAVING COUNT(*) >= 100)"
-    ),
+# What names a row of each report; all other columns but texts are figures.
+KEYS = {
+    "daily_payment_kpis": "transaction_date",
+    "merchant_risk_summary": "merchant_id || '|' || merchant_category",
+    "failure_reason_summary": "failure_reason",
+    "hourly_risk_summary": "CAST(hour AS VARCHAR)",
+    "executive_payment_kpis": "''",
+    "daily_payment_trend": "transaction_date",
+    "top_failure_reasons": "failure_reason",
+    "high_risk_merchants": "merchant_id || '|' || merchant_category",
+    "fraud_by_channel": "channel",
+    "chargeback_by_category": "merchant_category",
+    "weekend_vs_weekday_risk": "day_type",
+    "slow_response_impact": "response_type",
+    "high_value_risk": "transaction_value_type",
+    "payment_method_performance": "payment_method",
+    "monthly_risk_trend": "CAST(month AS VARCHAR)",
+    "location_based_risk": "customer_location",
 }
+KEY_COLUMNS = (
+    "transaction_date, merchant_id, merchant_category, merchant_risk_level, failure_reason, "
+    "hour, channel, day_type, response_type, transaction_value_type, payment_method, month, "
+    "customer_location"
+).split(", ")
+
+
+def figures(*reports: str) -> str:
+    """Every figure of reports as (table_name, row_key, column_name, number)."""
+    parts = []
+    for name in reports:
+        keys = [c for c in KEY_COLUMNS if c in KEYS[name] or c == "merchant_risk_level"]
+        has_tier = name in ("merchant_risk_summary", "high_risk_merchants")
+        drop = [c for c in keys if c != "merchant_risk_level" or has_tier]
+        exclude = f"EXCLUDE ({', '.join(drop)})" if drop else ""
+        parts.append(
+            f"""SELECT '{name}' AS table_name, row_key, column_name, number FROM (
+              UNPIVOT (SELECT row_key, CAST(COLUMNS(* EXCLUDE (row_key)) AS DOUBLE)
+                       FROM (SELECT {KEYS[name]} AS row_key, * {exclude} FROM ({SQL[name]})))
+              ON COLUMNS(* EXCLUDE (row_key)) INTO NAME column_name VALUE number)"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+MODELS = ("Logistic Regression", "Random Forest", "Gradient Boosted Trees")
+
+
+def comparison(*models: str) -> str:
+    """Rows per model and class that any comparison of fitted models must show."""
+    names = ", ".join(f"('{m}')" for m in models)
+    return f"""{SPLIT}, sides AS (
+      SELECT is_fraud AS label, COUNT(*) FILTER (WHERE split = 'train') AS train_rows,
+             COUNT(*) FILTER (WHERE split = 'test') AS test_rows FROM split GROUP BY is_fraud)
+    SELECT model, label, train_rows, test_rows, test_rows AS judged_rows,
+           true AS metrics_in_range
+    FROM sides, (VALUES {names}) AS models(model)"""
+
 
 SQL: dict[str, str] = {
     # Sources, sinks and tables.
@@ -397,16 +446,6 @@ SQL: dict[str, str] = {
             "hourly_risk_summary": "hourly",
         }
     ),
-    "exported_tables": f"{TXN}, {MART_TABLES} "
-    + row_counts(
-        {
-            "daily_payment_kpis": "daily",
-            "merchant_risk_summary": "merchants",
-            "failure_reason_summary": "failures",
-            "hourly_risk_summary": "hourly",
-        }
-    ),
-    "named_questions": f"{TXN}, {MART_TABLES} " + row_counts(ANSWERS),
     "merchant_mart_from_rollup": f"{TXN}, {MERCHANTS} SELECT * FROM merchants",
     "daily_mart_from_rollup": f"{TXN}, {DAILY} SELECT * FROM daily",
     "cached_slices": f"{SCORED} SELECT channel, risk_level, COUNT(*) AS transactions "
@@ -421,13 +460,44 @@ SQL: dict[str, str] = {
     "valid_statuses": f"""{UNIQUE} SELECT * FROM uniq
         WHERE transaction_status IN ('Approved', 'Failed')""",
     "cleaning_counters": f"""{UNIQUE}
-        SELECT (SELECT COUNT(*) FROM raw) AS raw_rows,
+        SELECT (SELECT COUNT(*) FROM raw) AS raw_rows, 0::BIGINT AS quarantined_rows,
                (SELECT COUNT(*) FROM raw) - COUNT(*) AS duplicates_removed,
+               COUNT(*) FILTER (WHERE transaction_amount IS NULL) AS missing_amounts,
                COUNT(*) FILTER (WHERE transaction_amount <= 0) AS invalid_amounts,
                COUNT(*) FILTER (WHERE transaction_amount > 0
                  AND transaction_status NOT IN ('Approved', 'Failed')) AS invalid_statuses,
                COUNT(*) FILTER (WHERE transaction_amount > 0
-                 AND transaction_status IN ('Approved', 'Failed')) AS clean_rows
+                 AND transaction_status IN ('Approved', 'Failed')) AS clean_rows,
+               COUNT(*) FILTER (WHERE transaction_amount > 0
+                 AND transaction_status IN ('Approved', 'Failed')
+                 AND (transaction_datetime IS NULL OR processor_response_ms IS NULL))
+                 AS incomplete_rows
+        FROM uniq""",
+    "quarantined_rows": f"""{RAW} SELECT transaction_id,
+        concat_ws(',', CASE WHEN transaction_id LIKE '%7' THEN 'transaction_datetime' END,
+                  CASE WHEN transaction_id LIKE '%5' OR transaction_id LIKE '%77'
+                       THEN 'transaction_amount' END) AS unreadable, COUNT(*) AS copies
+        FROM raw WHERE transaction_id LIKE '%5' OR transaction_id LIKE '%7' GROUP BY ALL""",
+    "damaged_csv_counters": f"""{RAW},
+        kept AS (SELECT * FROM raw
+                 WHERE transaction_id NOT LIKE '%5' AND transaction_id NOT LIKE '%7'),
+        uniq AS (SELECT DISTINCT * REPLACE (
+                   CASE WHEN transaction_id LIKE '%3' THEN NULL ELSE transaction_amount END
+                     AS transaction_amount,
+                   CASE WHEN transaction_id LIKE '%9' THEN NULL ELSE processor_response_ms END
+                     AS processor_response_ms) FROM kept)
+        SELECT (SELECT COUNT(*) FROM raw) AS raw_rows,
+               (SELECT COUNT(*) FROM raw) - (SELECT COUNT(*) FROM kept) AS quarantined_rows,
+               (SELECT COUNT(*) FROM kept) - COUNT(*) AS duplicates_removed,
+               COUNT(*) FILTER (WHERE transaction_amount IS NULL) AS missing_amounts,
+               COUNT(*) FILTER (WHERE transaction_amount <= 0) AS invalid_amounts,
+               COUNT(*) FILTER (WHERE transaction_amount > 0
+                 AND transaction_status NOT IN ('Approved', 'Failed')) AS invalid_statuses,
+               COUNT(*) FILTER (WHERE transaction_amount > 0
+                 AND transaction_status IN ('Approved', 'Failed')) AS clean_rows,
+               COUNT(*) FILTER (WHERE transaction_amount > 0
+                 AND transaction_status IN ('Approved', 'Failed')
+                 AND processor_response_ms IS NULL) AS incomplete_rows
         FROM uniq""",
     "null_profile_raw": f"{RAW} {NULL_COUNTS.format(table='raw')}",
     "null_profile_clean": f"{TXN} {NULL_COUNTS.format(table='txn')}",
@@ -613,3 +683,24 @@ SQL: dict[str, str] = {
     ),
 }
 SQL["model_feature_list"] = SQL["model_feature_list"].replace(TXN, IN_FLIGHT_FEATURES, 1)
+SQL["exported_tables"] = figures(
+    "daily_payment_kpis", "merchant_risk_summary", "failure_reason_summary", "hourly_risk_summary"
+)
+SQL["named_questions"] = figures(*list(KEYS)[4:])
+SQL["model_comparison"] = SQL["model_comparison_with_outcomes"] = comparison(*MODELS)
+SQL["logistic_regression"], SQL["random_forest"], SQL["gradient_boosted_trees"] = (
+    comparison(m) for m in MODELS
+)
+SQL["model_confusion"] = f"""{SPLIT}
+    SELECT model, is_fraud AS label, COUNT(*) AS transactions
+    FROM split, (VALUES {", ".join(f"('{m}')" for m in MODELS)}) AS models(model)
+    WHERE split = 'test' GROUP BY model, is_fraud"""
+SQL["model_report"] = f"""{SPLIT}, held AS (SELECT is_fraud FROM split WHERE split = 'test')
+    SELECT model, class, CASE class WHEN '0' THEN (SELECT COUNT(*) FROM held WHERE is_fraud = 0)
+             WHEN '1' THEN (SELECT COUNT(*) FROM held WHERE is_fraud = 1)
+             ELSE (SELECT COUNT(*) FROM held) END AS support
+    FROM (VALUES {", ".join(f"('{m}')" for m in MODELS)}) AS models(model),
+         (VALUES ('0'), ('1'), ('accuracy'), ('macro avg'), ('weighted avg')) AS classes(class)"""
+SQL["batch_predictions"] = f"""{SCORED}
+    SELECT transaction_id, pre_txn_risk_score AS risk_score,
+           {level("pre_txn_risk_score")} AS rule_risk_level, true AS consistent FROM pointed"""

@@ -12,7 +12,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskledger.models.training import ModelSizes, store_training, train
 from riskledger.operators.cleaning import clean_payments
+from riskledger.operators.quality import cleaning_counters, null_profile, overall_rates
 from riskledger.operators.scoring import score_transactions, top_risk_transactions
 from riskledger.plans.marts import EXPORT_ORDER, MARTS
 from riskledger.plans.questions import QUESTIONS, RISK_LEVELS
@@ -66,9 +68,9 @@ def build_marts(
 
     def build(name: str, report: Report) -> DataFrame:
         if from_rollup:
-            mart = report.over_rollup(spark.table(ROLLUP))
+            mart = report.unsorted().over_rollup(spark.table(ROLLUP))
         else:
-            mart = report.over_payments(spark.table(TRANSACTIONS))
+            mart = report.unsorted().over_payments(spark.table(TRANSACTIONS))
         return replace_table(mart, name, location and f"{location}/{name}")
 
     tables = together([lambda n=n, r=r: build(n, r) for n, r in MARTS.items()])
@@ -114,17 +116,50 @@ def risk_reports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return reports
 
 
+def cleaning_reports(
+    spark: SparkSession, raw: DataFrame, folder: str, quarantined: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """What cleaning removed and what is left, written as CSV."""
+    clean = spark.table(TRANSACTIONS)
+    reports = {
+        "cleaning_counters": cleaning_counters(raw, quarantined),
+        "null_profile": null_profile(clean),
+        "overall_rates": overall_rates(clean),
+    }
+    write_reports(reports, folder)
+    return reports
+
+
+def train_models(
+    spark: SparkSession, location: str, folder: str, sizes: ModelSizes | None = None
+) -> dict[str, DataFrame]:
+    """Fit, compare and store the classifiers over the stored payments; tables also as CSV."""
+    tables = store_training(train(spark.table(TRANSACTIONS), sizes), location)
+    write_reports(tables, folder)
+    return tables
+
+
 def run_batch(
     spark: SparkSession,
     raw: DataFrame,
     reports: str,
     location: str | None = None,
     exports: Iterable[str] = MART_NAMES,
+    quarantined: DataFrame | None = None,
+    models: str | None = None,
+    sizes: ModelSizes | None = None,
 ) -> dict[str, DataFrame]:
-    """Load, build marts, export them, answer every question, write the risk reports."""
+    """Load, build marts, export them, answer every question, write all reports.
+
+    With a folder for ``models``, classifiers are trained and stored there too.
+    """
     load_transactions(spark, raw, location)
     build_rollup(spark, location)
     build_marts(spark, location)
     export_tables(spark, exports, reports, EXPORT_ORDER)
     answers = run_questions(spark, f"{reports}/sql_outputs")
-    return {**answers, **risk_reports(spark, reports)}
+    answers |= risk_reports(spark, reports)
+    answers |= cleaning_reports(spark, raw, reports, quarantined)
+    if models:
+        answers |= train_models(spark, models, f"{reports}/model_results", sizes)
+    return answers

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskledger.functions.measures import present, share_pct
-from riskledger.operators.merchants import merchant_risk_tier, worst_first
+from riskledger.operators.merchants import WORST_FIRST, merchant_risk_tier
 from riskledger.plans.rollup import Report
 from riskledger.schema import DAILY, FAILED, FAILURE, HOURLY, MERCHANT
 
@@ -34,7 +34,7 @@ RISK_COUNTS = ["failed_transactions", "fraud_transactions", "chargeback_transact
 
 
 def present_daily(summary: DataFrame) -> DataFrame:
-    return present(summary, ["transaction_date", *KPI_COLUMNS]).orderBy("transaction_date")
+    return present(summary, ["transaction_date", *KPI_COLUMNS])
 
 
 def present_merchants(summary: DataFrame) -> DataFrame:
@@ -52,8 +52,7 @@ def present_merchants(summary: DataFrame) -> DataFrame:
             *RISK_RATES,
         ],
     )
-    tiered = figures.withColumn("merchant_risk_level", merchant_risk_tier())
-    return worst_first(tiered)
+    return figures.withColumn("merchant_risk_level", merchant_risk_tier())
 
 
 def failed_payments(txn: DataFrame) -> DataFrame:
@@ -66,25 +65,21 @@ def present_failures(summary: DataFrame) -> DataFrame:
     )
     return counts.withColumn(
         "pct_of_failed_transactions", share_pct("transaction_count", counts)
-    ).orderBy(F.desc("transaction_count"), "failure_reason")
+    )
 
 
 def present_hourly(summary: DataFrame) -> DataFrame:
     columns = ["hour", "total_transactions", *RISK_COUNTS, *RISK_RATES]
-    return present(summary, columns).orderBy("hour")
+    return present(summary, columns)
 
 
+MOST_FAILED = ("-transaction_count", "failure_reason")
 MARTS: dict[str, Report] = {
-    DAILY: Report("daily", present_daily),
-    MERCHANT: Report("merchant", present_merchants),
-    FAILURE: Report("reason", present_failures, rows=failed_payments),
-    HOURLY: Report("hourly", present_hourly),
+    DAILY: Report("daily", present_daily, order=("transaction_date",)),
+    MERCHANT: Report("merchant", present_merchants, order=WORST_FIRST),
+    FAILURE: Report("reason", present_failures, rows=failed_payments, order=MOST_FAILED),
+    HOURLY: Report("hourly", present_hourly, order=("hour",)),
 }
 
-# The order in which a stored mart is exported; files of a table have no order themselves.
-EXPORT_ORDER: dict[str, list[str]] = {
-    DAILY: ["transaction_date"],
-    MERCHANT: ["-fraud_rate_pct", "-chargeback_rate_pct", "merchant_id", "merchant_category"],
-    FAILURE: ["-transaction_count", "failure_reason"],
-    HOURLY: ["hour"],
-}
+# The order in which a stored mart is exported.
+EXPORT_ORDER: dict[str, list[str]] = {name: list(mart.order) for name, mart in MARTS.items()}

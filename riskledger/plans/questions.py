@@ -10,6 +10,7 @@ from riskledger.operators.merchants import high_risk_merchants
 from riskledger.operators.scoring import present_levels
 from riskledger.plans.marts import (
     KPI_COLUMNS,
+    MOST_FAILED,
     RISK_RATES,
     failed_payments,
     present_daily,
@@ -113,8 +114,10 @@ def location_based_risk(summary: DataFrame) -> DataFrame:
 
 QUESTIONS: dict[str, Report] = {
     "executive_payment_kpis": Report("overall", executive_payment_kpis),
-    "daily_payment_trend": Report("daily", daily_payment_trend),
-    "top_failure_reasons": Report("reason", present_failures, rows=failed_payments),
+    "daily_payment_trend": Report("daily", daily_payment_trend, order=("transaction_date",)),
+    "top_failure_reasons": Report(
+        "reason", present_failures, rows=failed_payments, order=MOST_FAILED
+    ),
     "high_risk_merchants": Report("merchant", top_high_risk_merchants),
     "fraud_by_channel": Report("channel", fraud_by_channel),
     "chargeback_by_category": Report("category", chargeback_by_category),

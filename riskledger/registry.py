@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskledger.functions.display import timestamp_text
 from riskledger.models import features as mf
@@ -21,27 +23,43 @@ from riskledger.schema import (
     HOURLY,
     MART_NAMES,
     MERCHANT,
+    RAW_COLUMNS,
     SCORED,
     TRANSACTIONS,
 )
-from riskledger.session import shared_folder
+from riskledger.session import materialise, temporary_folder
 from riskledger.sinks import (
     export_tables,
+    list_tables,
     replace_table,
     table_row_counts,
     write_csv,
     write_report_csv,
 )
-from riskledger.sources import payments_from_events, read_payments_csv
-from riskledger.streaming.payments import read_payment_stream, score_stream, write_stream
+from riskledger.sources import payments_from_events, read_payments_csv, scan_payments_csv
+from riskledger.streaming.payments import read_payment_stream, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Ensembles small enough to fit within a smoke run; training defaults to the full sizes.
-SMALL = mt.ModelSizes(
-    trees=10, tree_depth=5, boost_rounds=5, boost_depth=3, logistic_iterations=50
-)
-
+#: Columns that name a row of a report.
+REPORT_KEYS = {
+    DAILY: ["transaction_date"],
+    MERCHANT: ["merchant_id", "merchant_category"],
+    FAILURE: ["failure_reason"],
+    HOURLY: ["hour"],
+    "executive_payment_kpis": [],
+    "daily_payment_trend": ["transaction_date"],
+    "top_failure_reasons": ["failure_reason"],
+    "high_risk_merchants": ["merchant_id", "merchant_category"],
+    "fraud_by_channel": ["channel"],
+    "chargeback_by_category": ["merchant_category"],
+    "weekend_vs_weekday_risk": ["day_type"],
+    "slow_response_impact": ["response_type"],
+    "high_value_risk": ["transaction_value_type"],
+    "payment_method_performance": ["payment_method"],
+    "monthly_risk_trend": ["month"],
+    "location_based_risk": ["customer_location"],
+}
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payments_from_events(spark, sf_dir)
@@ -86,67 +104,104 @@ def travel_online(df: DataFrame) -> DataFrame:
 
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = shared_folder(spark, "raw-csv")
+    path = temporary_folder(spark, "raw-csv")
     write_csv(raw(spark, sf_dir), path)
     return read_payments_csv(spark, path)
 
 
+def damaged_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The payments as CSV in which cells of some transactions can't be read or are missing."""
+    path = temporary_folder(spark, "damaged-csv")
+    ends = F.col("transaction_id").endswith
+    text = raw(spark, sf_dir).select([F.col(c).cast("string").alias(c) for c in RAW_COLUMNS])
+    amount, at, ms = "transaction_amount", "transaction_datetime", "processor_response_ms"
+    damaged = text.withColumns(
+        {
+            amount: F.when(ends("5") | ends("77"), "12,5x")
+            .when(ends("3"), "n/a")
+            .otherwise(F.col(amount)),
+            at: F.when(ends("7"), "yesterday").otherwise(F.col(at)),
+            ms: F.when(ends("9"), "NA").otherwise(F.col(ms)),
+        }
+    )
+    write_csv(damaged, path)
+    return path
+
+
+def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, quarantined = scan_payments_csv(spark, damaged_csv(spark, sf_dir))
+    return quarantined.groupBy(
+        "transaction_id", F.array_join("unreadable", ",").alias("unreadable")
+    ).agg(F.count("*").alias("copies"))
+
+
+def damaged_csv_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    payments, quarantined = scan_payments_csv(spark, damaged_csv(spark, sf_dir))
+    return quality.cleaning_counters(payments, quarantined)
+
+
 def csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = marts.MARTS[DAILY].over_payments(txn(spark, sf_dir))
-    path = shared_folder(spark, "report-csv")
+    path = temporary_folder(spark, "report-csv")
     write_report_csv(report, path)
     return dates_as_text(spark.read.schema(report.schema).option("header", True).csv(path))
 
 
 def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     payments = txn(spark, sf_dir)
-    path = shared_folder(spark, "clean")
+    path = temporary_folder(spark, "clean")
     stored = replace_table(payments, "clean_payments_copy", path, ["year", "month"])
     return dates_as_text(stored.select(*payments.columns))
 
 
-def load_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    location = shared_folder(spark, "tables")
+def loaded(spark: SparkSession, sf_dir: str) -> str:
+    location = temporary_folder(spark, "tables")
     batch.load_transactions(spark, raw(spark, sf_dir), location)
     batch.build_rollup(spark, location)
-    batch.build_marts(spark, location)
-    return table_row_counts(spark, [TRANSACTIONS, SCORED, *MART_NAMES])
+    return location
+
+
+def load_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of the tables the batch makes, as the catalogue lists them."""
+    batch.build_marts(spark, loaded(spark, sf_dir))
+    made = [TRANSACTIONS, SCORED, *MART_NAMES]
+    return table_row_counts(spark, [t for t in list_tables(spark) if t in made])
+
+
+def figures_of(name: str, df: DataFrame, keys: list[str]) -> DataFrame:
+    """(table_name, row_key, column_name, number): every figure of a report, one per row."""
+    numbers = [c for c in df.columns if c not in keys and dict(df.dtypes)[c] != "string"]
+    row_key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    return (
+        df.select(row_key.alias("row_key"), *[F.col(c).cast("double").alias(c) for c in numbers])
+        .unpivot("row_key", numbers, "column_name", "number")
+        .select(F.lit(name).alias("table_name"), "row_key", "column_name", "number")
+    )
+
+
+def read_back(spark: SparkSession, reports: dict[str, tuple[str, T.StructType]]) -> DataFrame:
+    """The figures of reports as their CSV files have them."""
+    parts = []
+    for name, (path, schema) in reports.items():
+        df = spark.read.schema(schema).option("header", True).csv(path)
+        parts.append(figures_of(name, df, REPORT_KEYS[name]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def exported_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    location = shared_folder(spark, "tables")
-    batch.load_transactions(spark, raw(spark, sf_dir), location)
-    built = batch.build_marts(spark, location, from_rollup=False)
-    written = export_tables(spark, MART_NAMES, shared_folder(spark, "exports"), marts.EXPORT_ORDER)
-    counts = [
-        spark.read.schema(built[name].schema)
-        .option("header", True)
-        .csv(path)
-        .agg(F.count("*").alias("row_count"))
-        .select(F.lit(name).alias("table_name"), "row_count")
-        for name, path in written.items()
-    ]
-    union = counts[0]
-    for count in counts[1:]:
-        union = union.unionByName(count)
-    return union
+    """The four reporting tables, stored, exported as CSV and read back."""
+    built = batch.build_marts(spark, loaded(spark, sf_dir), from_rollup=False)
+    folder = temporary_folder(spark, "exports")
+    written = export_tables(spark, MART_NAMES, folder, marts.EXPORT_ORDER)
+    return read_back(spark, {n: (path, built[n].schema) for n, path in written.items()})
 
 
 def named_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    location = shared_folder(spark, "tables")
-    batch.load_transactions(spark, raw(spark, sf_dir), location)
-    batch.build_rollup(spark, location)
-    answers = batch.run_questions(spark, shared_folder(spark, "answers"))
-    counts = [
-        answer.agg(F.count("*").alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"
-        )
-        for name, answer in answers.items()
-    ]
-    union = counts[0]
-    for count in counts[1:]:
-        union = union.unionByName(count)
-    return union
+    """The answers to all named questions, written as CSV and read back."""
+    loaded(spark, sf_dir)
+    folder = temporary_folder(spark, "answers")
+    answers = batch.run_questions(spark, folder)
+    return read_back(spark, {n: (f"{folder}/{n}", df.schema) for n, df in answers.items()})
 
 
 def from_rollup(table: str) -> Query:
@@ -163,14 +218,13 @@ def question(name: str) -> Query:
 
 def cached_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several slices read from one kept copy of the scored payments."""
-    kept = slices.cached_payments(scored(spark, sf_dir))
-    parts = [
-        slices.slice_payments(kept, channel=channel)
-        .groupBy("channel", "risk_level")
-        .agg(F.count("*").alias("transactions"))
-        for channel in ("Online", "In-Store", "Mobile App")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    out = temporary_folder(spark, "slices")
+    with slices.cached_payments(scored(spark, sf_dir)) as kept:
+        for channel in ("Online", "In-Store", "Mobile App"):
+            slices.slice_payments(kept, channel=channel).groupBy("channel", "risk_level").agg(
+                F.count("*").alias("transactions")
+            ).write.mode("append").parquet(out)
+    return spark.read.parquet(out)
 
 
 # Cleaning.
@@ -216,6 +270,11 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mf.feature_frame(txn(spark, sf_dir))
 
 
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features behind one cleaning shuffle, however often they are passed over."""
+    return materialise(features(spark, sf_dir), temporary_folder(spark, "features"))
+
+
 def rounded_zscores(df: DataFrame) -> DataFrame:
     z = mf.standardised_numerics(df)
     # Adding zero turns a rounded negative zero into zero.
@@ -264,38 +323,99 @@ def feature_vector_shape(df: DataFrame) -> DataFrame:
     return mf.feature_vectors(df).drop("features")
 
 
+_trained: dict[tuple, mt.TrainingResult] = {}
+
+
+def trained(spark: SparkSession, sf_dir: str, with_outcomes: bool = False) -> mt.TrainingResult:
+    """All candidates at full size; once per session, folder and feature set."""
+    key = (spark.sparkContext.applicationId, sf_dir, with_outcomes)
+    if key not in _trained:
+        _trained[key] = mt.train(txn(spark, sf_dir), with_outcomes=with_outcomes)
+    return _trained[key]
+
+
+def exact_figures(result: mt.TrainingResult) -> DataFrame:
+    """What must hold of a comparison whatever the classifiers make of the data.
+
+    Training and judged rows per model and class, and whether all metrics are in their range.
+    """
+    sizes = result.split_sizes.groupBy("label").pivot("split", ["train", "test"]).sum("n")
+    judged = result.confusion.groupBy("model", "label").agg(
+        F.sum("transactions").alias("judged_rows")
+    )
+    metrics = [*mm.METRICS, "roc_auc"]
+    fair = F.forall(F.array(*metrics), lambda x: (x >= 0) & (x <= 1))
+    ranges = result.comparison.select("model", fair.alias("metrics_in_range"))
+    return (
+        judged.join(sizes, "label")
+        .join(ranges, "model")
+        .select(
+            "model",
+            "label",
+            F.col("train").alias("train_rows"),
+            F.col("test").alias("test_rows"),
+            "judged_rows",
+            "metrics_in_range",
+        )
+    )
+
+
 def fitted(name: str) -> Query:
-    """Fit one candidate and report its test metrics."""
-    return lambda spark, sf_dir: mt.train(txn(spark, sf_dir), SMALL, only=[name]).comparison
+    """One candidate of the comparison."""
+    return lambda spark, sf_dir: exact_figures(trained(spark, sf_dir)).filter(
+        F.col("model") == name
+    )
 
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mt.train(txn(spark, sf_dir), SMALL).comparison
+    return exact_figures(trained(spark, sf_dir))
 
 
 def model_comparison_with_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mt.train(
-        txn(spark, sf_dir), SMALL, with_outcomes=True, only=["Logistic Regression"]
-    ).comparison
+    return exact_figures(trained(spark, sf_dir, with_outcomes=True))
+
+
+def model_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per true class of each model's confusion matrix, read from the stored table."""
+    stored = mt.store_training(trained(spark, sf_dir), temporary_folder(spark, "models"))
+    return (
+        stored["model_confusion"].groupBy("model", "label")
+        .agg(F.sum("transactions").alias("transactions"))
+    )
+
+
+def model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes, averages and support of each model's report, read from the stored table."""
+    stored = mt.store_training(trained(spark, sf_dir), temporary_folder(spark, "models"))
+    return stored["model_report"].select("model", "class", "support")
 
 
 def batch_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train, store, load again and score every payment."""
-    payments = txn(spark, sf_dir)
-    result = mt.train(payments, SMALL, only=["Logistic Regression"])
-    path = shared_folder(spark, "model")
-    mt.save_model(result.best, path)
-    return mt.predict(mt.load_model(path), payments)
+    """Every payment scored by the chosen model, stored and loaded again.
+
+    ``consistent`` tells whether the class goes by the probability.
+    """
+    path = temporary_folder(spark, "model")
+    mt.save_model(trained(spark, sf_dir).best, path)
+    probability = F.col("fraud_probability")
+    return mt.predict(mt.load_model(path), txn(spark, sf_dir)).select(
+        mf.KEY,
+        "risk_score",
+        "rule_risk_level",
+        (
+            probability.between(0, 1)
+            & ((F.col("fraud_prediction") == 1) == (probability > 0.5))
+        ).alias("consistent"),
+    )
 
 
 def streamed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments arriving as files, cleaned and scored by the streaming operators."""
-    arriving = shared_folder(spark, "arriving")
-    raw(spark, sf_dir).write.parquet(arriving)
-    out = shared_folder(spark, "stream-out")
-    stream = score_stream(read_payment_stream(spark, arriving), allowed_delay="400 days")
-    write_stream(stream, out).awaitTermination()
-    return dates_as_text(spark.read.schema(stream.schema).parquet(out))
+    arriving = temporary_folder(spark, "arriving")
+    raw(spark, sf_dir).repartition(8).write.parquet(arriving)
+    out = temporary_folder(spark, "stream") + "/scored"
+    write_stream(read_payment_stream(spark, arriving, files_per_batch=3), out).awaitTermination()
+    return dates_as_text(spark.read.parquet(out).drop("batch"))
 
 
 QUERIES: dict[str, Query] = {
@@ -316,6 +436,8 @@ QUERIES: dict[str, Query] = {
     "positive_amounts": over(unique, cleaning.keep_positive_amounts),
     "valid_statuses": over(unique, cleaning.keep_valid_statuses),
     "cleaning_counters": over(raw, quality.cleaning_counters),
+    "quarantined_rows": quarantined_rows,
+    "damaged_csv_counters": damaged_csv_counters,
     "null_profile_raw": over(raw, quality.null_profile),
     "null_profile_clean": over(txn, quality.null_profile),
     "time_features": over(unique, time_features),
@@ -388,7 +510,9 @@ QUERIES: dict[str, Query] = {
     "slice_failure_counts": over(scored, travel_online, slices.slice_failure_counts),
     "slice_risk_distribution": over(scored, travel_online, slices.slice_risk_distribution),
     "distinct_values": over(
-        txn, lambda df: quality.distinct_values(df, slices.OPTION_COLUMNS)
+        raw,
+        cleaning.repair_and_derive,
+        lambda df: quality.distinct_values(df, slices.OPTION_COLUMNS),
     ),
     # Whole-table figures.
     "target_distribution": over(txn, quality.label_shares),
@@ -403,9 +527,9 @@ QUERIES: dict[str, Query] = {
         mf.stratified_split,
         lambda df: df.select("transaction_id", "is_fraud", "split"),
     ),
-    "standardised_numerics": over(features, rounded_zscores),
-    "category_slots": over(features, mf.category_slots),
-    "feature_vectors": over(features, feature_vector_shape),
+    "standardised_numerics": over(stored_features, rounded_zscores),
+    "category_slots": over(stored_features, mf.category_slots),
+    "feature_vectors": over(stored_features, feature_vector_shape),
     "class_weights": over(txn, weights_of_training_rows),
     "roc_auc_rules": over(scored, roc_auc_rules),
     "rule_model_metrics": over(scored, rule_model_metrics),
@@ -418,6 +542,8 @@ QUERIES: dict[str, Query] = {
     "gradient_boosted_trees": fitted("Gradient Boosted Trees"),
     "model_comparison": model_comparison,
     "model_comparison_with_outcomes": model_comparison_with_outcomes,
+    "model_confusion": model_confusion,
+    "model_report": model_report,
     "batch_predictions": batch_predictions,
     "streamed_scores": streamed_scores,
 }

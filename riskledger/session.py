@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -78,6 +80,21 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def temporary_folder(spark: SparkSession, purpose: str) -> str:
+    """A ``shared_folder`` that is deleted when the process ends.
+
+    For results that are read lazily, so nobody else knows when they are done with.
+    """
+    path = shared_folder(spark, purpose)
+    atexit.register(_forget, spark, path)
+    return path
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone already
+        remove_folder(spark, path)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote, on whatever file system it is."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -26,10 +26,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:
-    """One ordered part file, for aggregated reports only.
+    """Part files in the order of the report, the first rows in the first file.
 
-    AQE already merges the few rows of a report into one partition, so no ``coalesce``
-    is needed, which would also pull the aggregation below it into a single task.
+    AQE merges the rows of a small report into one partition and so into one file. A large
+    one, such as merchants by the million, stays in several files on purpose.
     """
     write_csv(df, path)
 

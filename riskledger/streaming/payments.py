@@ -1,12 +1,17 @@
 """The batch operators applied to arriving payment files.
 
-Cleaning after duplicate removal, scoring and prediction are narrow, so the batch
-functions are used unchanged. Only duplicate removal needs state, which the watermark
-bounds.
+Every micro-batch is cleaned, scored or predicted by the batch functions and appended to a
+Parquet table. Copies are recognised by a digest of the raw row: within the batch, and by an
+anti-join against the digests stored for the same days. So no row is ever too late, memory
+does not grow with the stream, and the result does not depend on how files fall into
+batches. A batch that runs again after a failure replaces its own part of the table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,7 +21,8 @@ from riskledger.operators.scoring import score_transactions
 from riskledger.schema import RAW_COLUMNS, RAW_SCHEMA
 from riskledger.session import shared_folder
 
-EVENT_TIME = "event_time"
+BATCH, ROW_KEY, DAY = "batch", "row_key", "row_day"
+KEY_SCHEMA = f"{ROW_KEY} STRING, {DAY} DATE, {BATCH} BIGINT"
 
 
 def read_payment_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -28,28 +34,56 @@ def read_payment_stream(spark: SparkSession, path: str, files_per_batch: int = 1
     )
 
 
-def clean_stream(raw: DataFrame, allowed_delay: str = "1 day") -> DataFrame:
-    """Exact copies that arrive within the allowed delay are dropped, then batch cleaning."""
-    return (
-        raw.withColumn(EVENT_TIME, F.col("transaction_datetime").cast("timestamp"))
-        .withWatermark(EVENT_TIME, allowed_delay)
-        .dropDuplicatesWithinWatermark(RAW_COLUMNS)
-        .drop(EVENT_TIME)
-        .transform(repair_and_derive)
+def scored_payments(raw: DataFrame) -> DataFrame:
+    return score_transactions(repair_and_derive(raw))
+
+
+def not_seen(batch: DataFrame, number: int, keys: str) -> DataFrame:
+    """Rows of a batch with their digest and day, without copies and rows of other batches."""
+    spark = batch.sparkSession
+    cells = F.to_json(F.struct(*RAW_COLUMNS), {"ignoreNullFields": "false"})
+    new = batch.withColumns(
+        {ROW_KEY: F.sha2(cells, 256), DAY: F.to_date("transaction_datetime")}
+    ).dropDuplicates([ROW_KEY])
+    days = new.select(F.col(DAY).alias("day")).distinct()
+    seen = (
+        spark.read.schema(KEY_SCHEMA)
+        .parquet(keys)
+        .filter(F.col(BATCH) != number)
+        .join(days, F.col(DAY).eqNullSafe(F.col("day")), "left_semi")
     )
+    return new.join(seen, ROW_KEY, "left_anti")
+
 
+def write_stream(
+    raw: DataFrame,
+    path: str,
+    checkpoint: str | None = None,
+    shape: Callable[[DataFrame], DataFrame] = scored_payments,
+) -> StreamingQuery:
+    """Append what is available now, shaped, and stop; a restart resumes where it ended.
 
-def score_stream(raw: DataFrame, allowed_delay: str = "1 day") -> DataFrame:
-    return score_transactions(clean_stream(raw, allowed_delay))
+    ``shape`` turns raw payments into the rows to store. Digests go to ``path`` + ``-keys``.
+    """
+    spark = raw.sparkSession
+    keys = f"{path}-keys"
+    spark.createDataFrame([], f"{ROW_KEY} STRING, {DAY} DATE").write.mode("overwrite").parquet(
+        f"{keys}/{BATCH}=-1"
+    )
 
+    def append(batch: DataFrame, number: int) -> None:
+        new = not_seen(batch, number, keys).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            shape(new.select(*RAW_COLUMNS)).write.mode("overwrite").parquet(
+                f"{path}/{BATCH}={number}"
+            )
+            new.select(ROW_KEY, DAY).write.mode("overwrite").parquet(f"{keys}/{BATCH}={number}")
+        finally:
+            new.unpersist()
 
-def write_stream(df: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Append what is available now to Parquet and stop; restart resumes where it ended."""
-    location = checkpoint or shared_folder(df.sparkSession, "stream-checkpoint")
     return (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", location)
+        raw.writeStream.foreachBatch(append)
+        .option("checkpointLocation", checkpoint or shared_folder(spark, "stream-checkpoint"))
         .trigger(availableNow=True)
-        .start(path)
+        .start()
     )

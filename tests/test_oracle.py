@@ -18,6 +18,7 @@ SAME_TYPE = {
     "DOUBLE": "double",
     "VARCHAR": "string",
     "TIMESTAMP": "timestamp_ntz",
+    "BOOLEAN": "boolean",
 }
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from riskledger.operators import merchants, quality, scoring, slices
 from riskledger.plans.marts import MARTS
 from riskledger.plans.questions import QUESTIONS, RISK_LEVELS
-from riskledger.plans.rollup import GRAINS, at_grain, grouping_number, kpi_rollup
+from riskledger.plans.rollup import DIMENSIONS, GRAINS, at_grain, grouping_number, kpi_rollup
 from riskledger.registry import QUERIES, scored, txn
 from riskledger.schema import DAILY, FAILURE, HOURLY, MERCHANT
 
@@ -116,7 +116,7 @@ def test_rollup_gives_the_same_reports(small):
 
 
 def test_grains_are_told_apart():
-    numbers = [grouping_number(keys) for keys in GRAINS.values()]
+    numbers = [grouping_number(keys, DIMENSIONS) for keys in GRAINS.values()]
     assert len(set(numbers)) == len(GRAINS)
 
 
