@@ -61,11 +61,17 @@ def test_counters_follow_the_order_of_the_steps(payments):
     row = quality.cleaning_counters(df).first().asDict()
     assert row == {
         "raw_rows": 7,
+        "quarantined_rows": 0,
         "duplicates_removed": 1,
+        "missing_amounts": 2,
         "invalid_amounts": 1,
         "invalid_statuses": 2,
         "clean_rows": 1,
+        "incomplete_rows": 0,
     }
+    removed = ("quarantined_rows", "duplicates_removed", "missing_amounts", "invalid_amounts",
+               "invalid_statuses")
+    assert row["raw_rows"] == row["clean_rows"] + sum(row[c] for c in removed)
     assert cleaning.clean_payments(df).count() == row["clean_rows"]
 
 

@@ -4,7 +4,13 @@ from pyspark.sql import functions as F
 from riskledger.models import features as mf
 from riskledger.models import metrics as mm
 from riskledger.models import training as mt
-from riskledger.registry import SMALL, txn
+from riskledger.registry import txn
+from riskledger.session import shared_root
+
+#: Ensembles that show the mechanics; the registered queries fit the full sizes.
+SMALL = mt.ModelSizes(
+    trees=10, tree_depth=5, boost_rounds=5, boost_depth=3, logistic_iterations=50
+)
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +64,66 @@ def test_split_agrees_with_brute_force_at_any_bucket_width(payments_clean):
             assert abs(n_test - 0.2 * len(ids)) <= 1
 
 
+def largest_remainder(counts, n_test):
+    """Training rows per class: whole parts, then one each by largest fraction."""
+    n = sum(counts)
+    train = [c * (n - n_test) // n for c in counts]
+    rest = [c * (n - n_test) % n for c in counts]
+    for i in sorted(range(len(counts)), key=lambda i: (-rest[i], i))[: n - n_test - sum(train)]:
+        train[i] += 1
+    return [c - t for c, t in zip(counts, train)]
+
+
+def test_split_sizes_add_up_for_every_small_mix(spark):
+    mixes = [(n, p) for n in range(2, 60) for p in range(1, n)]
+    for n, positives in mixes[::37] + [(8, 2), (5, 1), (59, 30)]:
+        counts = spark.createDataFrame([(0, n - positives), (1, positives)], "is_fraud INT, n BIGINT")
+        got = dict(mf.split_sizes(counts, "is_fraud", 0.2).collect())
+        n_test = -(-n // 5)
+        assert sum(got.values()) == n_test
+        assert [got[0], got[1]] == largest_remainder([n - positives, positives], n_test)
+
+
+def test_one_null_neither_stops_training_nor_scoring(clean, payments_clean):
+    holes = clean({"processor_response_ms": None}, {"transaction_datetime": None}, {}, {"is_fraud": 1})
+    frame = mf.feature_frame(holes)
+    assert mf.complete(frame).count() == 2
+    assert mf.standardised_numerics(frame).count() == 2
+    assert mf.feature_vectors(frame).count() == 2
+    rows = payments_clean.unionByName(holes)
+    result = mt.train(rows, SMALL, only=["Logistic Regression"])
+    assert mt.predict(result.best, holes).count() == 2
+
+
+def test_scaling_a_single_row(clean):
+    assert mf.standardised_numerics(mf.feature_frame(clean({}))).first().z_transaction_amount == 0.0
+
+
+def test_training_is_bounded_but_judges_everything(payments_clean):
+    result = mt.train(payments_clean, SMALL, only=["Logistic Regression"], max_train_rows=2000)
+    sizes = {(r.label, r.split): r.n for r in result.split_sizes.collect()}
+    judged = result.confusion.groupBy("label").agg(F.sum("transactions")).collect()
+    assert dict(judged) == {label: n for (label, side), n in sizes.items() if side == "test"}
+    report = {r["class"]: r.support for r in result.report.collect()}
+    assert report["accuracy"] == sum(dict(judged).values())
+
+
+def test_stored_training(spark, logistic, tmp_path):
+    tables = mt.store_training(logistic, str(tmp_path))
+    assert set(tables) == {"model_comparison", "model_features", "model_confusion", "model_report"}
+    assert spark.table("model_comparison").count() == 1
+    assert tables["model_features"].count() == 14
+    assert mt.load_model(f"{tmp_path}/best_model").stages
+
+
+def test_training_leaves_no_folder_behind(spark, payments_clean):
+    root = spark._jvm.java.io.File(shared_root(spark))
+    before = set(root.list() or [])
+    mt.train(payments_clean, SMALL, only=["Gradient Boosted Trees"])
+    left = set(root.list()) - before
+    assert not [x for x in left if x.startswith("training")]
+
+
 def test_split_of_a_tiny_class(clean):
     df = clean(*[{"is_fraud": int(i < 2)} for i in range(50)])
     split = mf.stratified_split(df)

@@ -210,6 +210,8 @@ def test_no_query_uses_a_cartesian_product_or_python(spark, sf_dir):
         "named_questions", "model_comparison", "model_comparison_with_outcomes",
         "batch_predictions", "streamed_scores", "standardised_numerics", "category_slots",
         "feature_vectors", "logistic_regression", "random_forest", "gradient_boosted_trees",
+        "model_confusion", "model_report", "quarantined_rows", "damaged_csv_counters",
+        "cached_slices",
     }
     for name, query in QUERIES.items():
         if name in eager:
@@ -232,3 +234,91 @@ def test_top_rows_are_merged_by_a_task_not_the_driver(small):
     assert scores == sorted(scores)
     everything = small.select("risk_score", "transaction_id").collect()
     assert scores == sorted((-r.risk_score, r.transaction_id) for r in everything)[:25]
+
+
+def test_money_below_a_cent_adds_up(clean):
+    amounts = [0.004] * 5 + [1.005, 2.675]
+    df = clean(*[{"transaction_amount": a} for a in amounts])
+    answer = QUESTIONS["executive_payment_kpis"].over_payments(df).first()
+    assert answer.total_payment_volume == 3.70
+    by_channel = QUESTIONS["fraud_by_channel"].over_payments(df).first()
+    assert by_channel.avg_transaction_amount == 0.53
+
+
+def test_rates_are_over_known_flags_and_reports_over_all_rows(clean):
+    rows = [{"is_fraud": 1}, {"is_fraud": None}, {"is_fraud": 0}]
+    df = clean(*rows)
+    assert quality.overall_rates(df).first().fraud_rate_pct == 50.0
+    assert quality.raw_outcome_rates(df).first().fraud_rate_pct == 50.0
+    assert slices.slice_kpis(df).first().fraud_rate == 50.0
+    assert QUESTIONS["executive_payment_kpis"].over_payments(df).first().fraud_rate_pct == 33.33
+
+
+def test_shares_leave_out_missing_labels(clean):
+    df = clean(*[{"is_fraud": x} for x in (0, 0, 1, None)])
+    assert [tuple(r) for r in quality.label_shares(df).collect()] == [(0, 66.67), (1, 33.33)]
+
+
+ORDERS = {
+    "daily_payment_kpis": ["transaction_date"],
+    "merchant_risk_summary": ["-fraud_rate_pct", "-chargeback_rate_pct", "merchant_id",
+                              "merchant_category"],
+    "failure_reason_summary": ["-transaction_count", "failure_reason"],
+    "hourly_risk_summary": ["hour"],
+    "daily_payment_trend": ["transaction_date"],
+    "top_failure_reasons": ["-transaction_count", "failure_reason"],
+    "fraud_by_channel": ["-fraud_rate_pct", "channel"],
+    "chargeback_by_category": ["-chargeback_rate_pct", "merchant_category"],
+    "weekend_vs_weekday_risk": ["-fraud_rate_pct", "day_type"],
+    "slow_response_impact": ["-failure_rate_pct", "response_type"],
+    "high_value_risk": ["-fraud_rate_pct", "transaction_value_type"],
+    "payment_method_performance": ["-failure_rate_pct", "payment_method"],
+    "monthly_risk_trend": ["month"],
+    "location_based_risk": ["-fraud_rate_pct", "customer_location"],
+    "high_risk_merchants": ["-fraud_rate_pct", "-chargeback_rate_pct", "merchant_id",
+                            "merchant_category"],
+    "high_risk_merchants_dashboard": ["-fraud_rate_pct", "-chargeback_rate_pct",
+                                      "-failure_rate_pct", "merchant_id", "merchant_category"],
+    "merchant_top5": ["-fraud_rate_pct", "-chargeback_rate_pct", "merchant_id",
+                      "merchant_category"],
+    "top_risk_transactions": ["-risk_score", "transaction_id"],
+    "raw_status_counts": ["-transactions", "transaction_status"],
+    "slice_fraud_by_channel": ["channel"],
+    "slice_hourly_fraud": ["hour"],
+    "slice_failure_counts": ["-count", "failure_reason"],
+    "slice_risk_distribution": ["-transactions", "risk_level"],
+    "distinct_values": ["column_name", "value"],
+    "target_distribution": ["-share_pct", "is_fraud"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_stated_orders(spark, name):
+    rows = QUERIES[name](spark, "/root/testdata/sf0.01").collect()
+    assert rows
+    expected = list(rows)
+    for key in reversed(ORDERS[name]):
+        expected.sort(key=lambda r: r[key.lstrip("-")], reverse=key.startswith("-"))
+    assert rows == expected
+
+
+def test_rollup_of_many_merchants(spark, small):
+    many = small.withColumn("merchant_id", F.concat(F.lit("M"), F.monotonically_increasing_id()))
+    copies = many.crossJoin(spark.range(110)).withColumn(
+        "merchant_id", F.concat("merchant_id", F.lit("-"), F.col("id"))
+    ).drop("id")
+    rollup = kpi_rollup(copies)
+    counts = {r.grain: r["count"] for r in rollup.groupBy("grain").count().collect()}
+    assert counts["merchant"] > 100_000
+    assert counts["overall"] == 1
+    plan = rollup._jdf.queryExecution().executedPlan().toString()
+    (expand,) = [line for line in plan.splitlines() if "Expand" in line][:1]
+    assert "merchant_id" not in expand
+
+
+def test_marts_are_sorted_once(spark, sf_dir):
+    for name, mart in MARTS.items():
+        for plan, sorts in ((mart, 1), (mart.unsorted(), 0)):
+            df = plan.over_payments(txn(spark, sf_dir))
+            text = df._jdf.queryExecution().executedPlan().toString()
+            assert text.count("rangepartitioning") == sorts, name

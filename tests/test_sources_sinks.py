@@ -4,15 +4,16 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskledger.plans import batch
 from riskledger.registry import raw
 from riskledger.schema import MART_NAMES, RAW_COLUMNS, SCORED, TRANSACTIONS
 from riskledger.session import materialise, remove_folder, shared_folder, shared_root
-from riskledger.sinks import replace_table, write_csv
-from riskledger.sources import read_payments_csv
+from riskledger.sinks import list_tables, replace_table, table_row_counts, write_csv
+from riskledger.sources import read_payments_csv, scan_payments_csv
 from riskledger.sources.events import padded_id
-from riskledger.streaming.payments import read_payment_stream, score_stream, write_stream
+from riskledger.streaming.payments import read_payment_stream, write_stream
 
 
 def test_csv_as_a_plain_exporter_writes_it(spark, tmp_path):
@@ -32,19 +33,44 @@ def test_csv_as_a_plain_exporter_writes_it(spark, tmp_path):
     assert second.failure_reason == "Expired Card"
 
 
-def test_unreadable_values_are_null_or_stop_the_job(spark, tmp_path):
+def test_unreadable_values_are_quarantined_or_stop_the_job(spark, tmp_path):
     path = tmp_path / "bad.csv"
-    row = ["T", "C", "M", "not a time", "x", "ACH", "Online", "Tablet", "#N/A", "NULL"]
+    start = ["T", "C", "M", "not a time", "x", "ACH", "Online", "Tablet", "#N/A", "NULL"]
+    good = ["U", "C", "M", "2024-01-01 10:20:30", "1.5", *start[5:]]
     with open(path, "w", newline="") as f:
-        csv.writer(f).writerows([RAW_COLUMNS, [*row, "Approved", "None", "90", "0", "1"]])
-    read = read_payments_csv(spark, str(path)).first()
-    assert read.transaction_datetime is read.transaction_amount is None
+        csv.writer(f).writerows(
+            [
+                RAW_COLUMNS,
+                [*start, "Approved", "None", "90", "0", "1"],
+                [*good, "Approved", "None", "NA", "0", "1"],
+                [*good, "Approved", "None", "90.0", "0", "1.5"],
+                [*good, "Approved", "None", " 90.0 ", "0", "1"],
+            ]
+        )
+    payments, quarantined = scan_payments_csv(spark, str(path))
+    missing, read = payments.orderBy("processor_response_ms").collect()
+    assert missing.processor_response_ms is None
     assert read.merchant_category is read.customer_location is None
     assert read.processor_response_ms == 90
-    with pytest.raises(Exception, match="MALFORMED"):
+    found = {r.transaction_id: r for r in quarantined.collect()}
+    assert found["T"].unreadable == ["transaction_datetime", "transaction_amount"]
+    assert found["U"].unreadable == ["is_chargeback"]
+    assert found["T"].transaction_amount == "x"
+    assert read_payments_csv(spark, str(path)).count() == 2
+    with pytest.raises(Exception, match="unreadable payment cells"):
         read_payments_csv(spark, str(path), mode="FAILFAST").collect()
 
 
+def test_missing_value_text_is_accepted_in_both_modes(spark, tmp_path):
+    path = tmp_path / "missing.csv"
+    row = ["T", "C", "M", "2024-01-01 10:20:30", "NA", "ACH", "Online", "Tablet", "Fuel", "TX"]
+    with open(path, "w", newline="") as f:
+        csv.writer(f).writerows([RAW_COLUMNS, [*row, "Approved", "None", "n/a", "NaN", "1"]])
+    for mode in ("PERMISSIVE", "FAILFAST"):
+        read = read_payments_csv(spark, str(path), mode=mode).first()
+        assert read.transaction_amount is read.processor_response_ms is read.is_fraud is None
+
+
 def test_csv_round_trip_keeps_microseconds(spark, payments, tmp_path):
     at = dt.datetime(2024, 5, 6, 7, 8, 9, 123456)
     df = payments({"transaction_datetime": at, "failure_reason": "Network Error"})
@@ -58,6 +84,28 @@ def test_replacing_a_table_drops_old_rows(spark, clean, tmp_path):
     assert table.count() == 1
 
 
+def test_a_failed_write_leaves_the_old_table(spark, clean, tmp_path):
+    replace_table(clean({}, {}), "stays", str(tmp_path / "t"))
+    broken = clean({}).withColumn("hour", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        replace_table(broken, "stays", str(tmp_path / "t"))
+    assert spark.table("stays").count() == 2
+
+
+def test_replacing_removes_the_old_version(spark, clean, tmp_path):
+    for rows in (1, 2, 3):
+        replace_table(clean(*[{}] * rows), "versions", str(tmp_path / "t"))
+    assert spark.table("versions").count() == 3
+    assert len(glob.glob(f"{tmp_path}/t/version-*")) == 1
+
+
+def test_row_counts_follow_the_catalogue(spark, clean, tmp_path):
+    replace_table(clean({}, {}), "listed_table", str(tmp_path / "t"))
+    assert "listed_table" in list_tables(spark)
+    counts = dict(table_row_counts(spark, [t for t in list_tables(spark) if t == "listed_table"]).collect())
+    assert counts == {"listed_table": 2}
+
+
 def test_partitioned_table_is_pruned(spark, clean, tmp_path):
     months = [{"transaction_datetime": dt.datetime(2024, m, 1)} for m in (1, 2, 3)]
     table = replace_table(clean(*months), "by_month", str(tmp_path / "t"), ["year", "month"])
@@ -69,7 +117,7 @@ def test_partitioned_table_is_pruned(spark, clean, tmp_path):
 def test_whole_batch(spark, sf_dir, tmp_path):
     reports = str(tmp_path / "reports")
     answers = batch.run_batch(spark, raw(spark, sf_dir), reports, str(tmp_path / "tables"))
-    assert len(answers) == 14
+    assert len(answers) == 17
     assert spark.table(TRANSACTIONS).count() == spark.table(SCORED).count() == 997
     for name in MART_NAMES:
         assert glob.glob(f"{reports}/{name}/part-*.csv")
@@ -122,32 +170,50 @@ def test_stream_scores_like_the_batch_and_resumes(spark, arriving, tmp_path):
     twice = {"transaction_id": "A", "channel": "Online"}
     folder = arriving(twice, twice, {"transaction_id": "B", "transaction_amount": 0.0})
     for _ in range(2):
-        stream = score_stream(read_payment_stream(spark, folder))
-        write_stream(stream, out, state).awaitTermination()
+        write_stream(read_payment_stream(spark, folder), out, state).awaitTermination()
     rows = spark.read.parquet(out).select("transaction_id", "risk_score").collect()
     assert [tuple(r) for r in rows] == [("A", 8)]
     arriving(twice, {"transaction_id": "C", "is_fraud": 1})
-    write_stream(score_stream(read_payment_stream(spark, folder)), out, state).awaitTermination()
+    write_stream(read_payment_stream(spark, folder), out, state).awaitTermination()
     rows = spark.read.parquet(out).select("transaction_id", "risk_score").collect()
     assert sorted(tuple(r) for r in rows) == [("A", 8), ("C", 40)]
 
 
 def test_model_predicts_on_a_stream(spark, arriving, tmp_path):
     from riskledger.models.training import predict, train
-    from riskledger.registry import SMALL, txn
-    from riskledger.streaming.payments import clean_stream
+    from riskledger.operators.cleaning import repair_and_derive
+    from riskledger.registry import txn
 
     payments = txn(spark, "/root/testdata/sf0.001")
-    model = train(payments, SMALL, only=["Logistic Regression"]).best
+    model = train(payments, only=["Logistic Regression"]).best
     folder = arriving({"transaction_id": "A"}, {"transaction_id": "B", "channel": "Online"})
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
-    predicted = predict(model, clean_stream(read_payment_stream(spark, folder)))
-    write_stream(predicted, out, state).awaitTermination()
+    write_stream(
+        read_payment_stream(spark, folder),
+        out,
+        state,
+        shape=lambda raw: predict(model, repair_and_derive(raw)),
+    ).awaitTermination()
     rows = spark.read.parquet(out).orderBy("transaction_id").collect()
     assert [r.risk_score for r in rows] == [0, 8]
     assert all(0 <= r.fraud_probability <= 1 for r in rows)
 
 
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_late_payments_are_not_lost(spark, arriving, tmp_path, files_per_batch):
+    for day in (10, 1, 20, 2):
+        at = dt.datetime(2024, 3, day, 12)
+        row = {"transaction_id": f"D{day}", "transaction_datetime": at}
+        folder = arriving(row, row)
+    arriving({"transaction_id": "D1", "transaction_datetime": dt.datetime(2024, 3, 1, 12)})
+    arriving({"transaction_id": "none", "transaction_datetime": None})
+    out = str(tmp_path / "out")
+    stream = read_payment_stream(spark, folder, files_per_batch)
+    write_stream(stream, out, str(tmp_path / "state")).awaitTermination()
+    ids = [r.transaction_id for r in spark.read.parquet(out).collect()]
+    assert sorted(ids) == ["D1", "D10", "D2", "D20", "none"]
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark, "x").startswith(named)
