@@ -10,7 +10,8 @@ parts of at most 255), ``card`` (14 to 19 digits passing the Luhn check), ``phon
 sign and 10 to 15 digits). A failing candidate is dropped and not tried again. The method
 adds two kinds: ``login``, the user part of ``scheme://user:password@host``, and ``account``,
 the identifier that follows a cue such as ``IBAN`` or ``passport no`` (6 to 34 letters and
-digits, four digits at least). Added spans never touch base spans.
+digits, four digits at least). Base spans stay as they are: an account never touches one,
+and a login may overlap the email that password and host look like.
 
 Defined cases: null and empty texts have no spans; offsets are code points, ends exclusive;
 order is by start, then kind as listed. Repeated rows are judged each by itself. Texts are
@@ -207,7 +208,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
         elif (at == 0 or not folded[at - 1].isalnum()) and (span := _account(text, last + 1)):
             added.append(("account", *span))
     for kind, start, end in added:
-        if all(end <= s or e <= start for _, s, e in found if s < end):
+        if kind == "login" or all(end <= s or e <= start for _, s, e in found if s < end):
             found.append((kind, start, end))
     return sorted(set(found), key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
