@@ -2,6 +2,8 @@ import csv
 import datetime as dt
 import glob
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,3 +219,20 @@ def test_late_payments_are_not_lost(spark, arriving, tmp_path, files_per_batch):
 def test_shared_folder_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark, "x").startswith(named)
+
+
+def test_no_folder_is_left_behind(tmp_path, sf_dir):
+    """A process that reads lazily returned results and ends leaves its shared folder empty."""
+    code = f"""
+from riskledger.registry import QUERIES
+from riskledger.session import build_session
+
+spark = build_session("x", "local[2]", 2, **{{
+    "spark.checkpoint.dir": "{tmp_path}/shared", "spark.sql.warehouse.dir": "{tmp_path}/wh"}})
+for name in ("csv_sink", "cached_slices", "standardised_numerics", "damaged_csv_counters"):
+    assert QUERIES[name](spark, "{sf_dir}").count()
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=300)
+    left = [f for _, _, files in os.walk(tmp_path / "shared") for f in files]
+    assert not left
