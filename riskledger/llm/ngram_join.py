@@ -408,7 +408,7 @@ def near_duplicate_links(
     )
     found = scratch.write("searchable", _searchable(sets, scratch, percent))
     n_found = found.count()
-    clusters = scratch.write("clusters", _clusters(found, scratch, percent, n_found), 4 * n_found)
+    clusters = scratch.write("clusters", _clusters(found, scratch, percent, n_found), 20 * n_found)
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
     large = scratch.write("large-clusters", sizes.filter(F.col("size") > GROUP), n_found // GROUP)
     n_large = large.count()
@@ -422,7 +422,7 @@ def near_duplicate_links(
     placed = found.join(placed, "id").withColumn("unit", unit)
     columns = ["unit", "id", "n", "shingles"]
     small = placed.filter(F.col("size").isNull()).select(*columns)
-    links = scratch.write("links", _links(small, percent), n_found)
+    links = scratch.write("links", _links(small, percent))
     if n_large:
         links = _finish_large(placed.filter(F.col("size").isNotNull()), links, scratch, percent)
     return profiles, links
@@ -434,7 +434,7 @@ def _finish_large(
     """``links`` and those of clusters that are larger than a group."""
     placed = scratch.write("large", placed.select("unit", "cluster", "id", "n", "shingles"))
     rows = placed.count()
-    own = scratch.write("links-0", _links(placed.drop("cluster"), percent), rows)
+    own = scratch.write("links-0", _links(placed.drop("cluster"), percent))
     members = placed.drop("unit")
     level = 0
     while True:
@@ -461,7 +461,7 @@ def _finish_large(
         unit = F.xxhash64("cluster", F.pmod(F.xxhash64("joined", F.lit(level)), groups))
         columns = ["unit", "id", "n", "shingles", "joined"]
         more = scratch.write(
-            f"links-{level}", _links(delegates.withColumn("unit", unit).select(*columns), percent), rows
+            f"links-{level}", _links(delegates.withColumn("unit", unit).select(*columns), percent)
         )
         if more.isEmpty():
             break
@@ -499,7 +499,7 @@ def _finish_large(
     square = asked.unionByName(listed).select(
         F.xxhash64("cluster", "r", "c").alias("unit"), "id", "n", "shingles", "asked", "joined"
     )
-    last = scratch.write("links-outside", _links(square, percent), rows)
+    last = scratch.write("links-outside", _links(square, percent))
     return links.unionByName(own).unionByName(last)
 
 
