@@ -108,6 +108,8 @@ def build_index(docs: DataFrame, vocabulary=None) -> DataFrame:
 def _term_counts(known):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = known.value
+        if not len(terms):  # an empty block of windows
+            return
         total = np.zeros(len(terms) + 1, np.int64)
         for batch in batches:
             values = batch.column("terms").flatten().to_numpy(zero_copy_only=False)
@@ -195,7 +197,8 @@ def _search_batch(batch: pa.RecordBatch, look: _Lookup, slack: int) -> pa.Record
     sizes = batch.column("terms").value_lengths().to_numpy()
     number = np.searchsorted(look.vocabulary, terms)
     number[number == len(look.vocabulary)] = 0
-    own = np.flatnonzero(look.vocabulary[number] == terms) if len(look.vocabulary) else []
+    none = np.zeros(0, np.int64)
+    own = np.flatnonzero(look.vocabulary[number] == terms) if len(look.vocabulary) else none
     glob = (np.repeat(base, sizes) + places)[own]
     lists = np.sort((number[own].astype(np.uint64) << _SHIFT) | glob.astype(np.uint64))
     spans: list[list[list[int]]] = [[] for _ in range(n)]

@@ -37,11 +37,13 @@ from riskledger.llm.blocks import Block, blocks, hash_spans, mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Bytes of text per block, and of distinct segments per suffix array.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 SUFFIX_BYTES = 1 << 19
+#: Texts whose ids are put together at a time.
+TEXTS_AT_A_TIME = 1000
 #: Frequent segments remembered by a worker, and the size of its table of pairs of pieces.
 KEPT_SEGMENTS = 150_000
-PAIR_BITS = 21
+PAIR_BITS = 20
 
 _END = 0xFF
 
@@ -153,6 +155,13 @@ class Codec:
 
     def encode(self, texts: pa.Array) -> pa.Array:
         """Lists of ids of an array of texts."""
+        parts = [
+            self._encode_some(texts.slice(at, TEXTS_AT_A_TIME))
+            for at in range(0, len(texts), TEXTS_AT_A_TIME)
+        ]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
+    def _encode_some(self, texts: pa.Array) -> pa.Array:
         nulls = np.asarray(pc.is_null(texts))
         spaced = pc.replace_substring(texts.fill_null(""), SPACE, " ")
         empty = np.asarray(pc.equal(spaced, ""))
