@@ -8,8 +8,9 @@ Features are the distinct words of the whole text and their first four and five
 64-bit hashes; present or not, so one toxic word counts the same in a short and a long text.
 Models are logistic regressions with an L1 penalty, which leaves a few hundred features.
 Fitting takes a bounded sample of the labelled rows (``TRAIN_ROWS``, drawn by a hash of the
-id, with up to half of it from rows of the last category) and the ``FEATURES`` most frequent
-features that ``MIN_ROWS`` rows of the sample have. Prediction is one pass without a shuffle.
+id, up to half of it rows of the last category, weighted back) and, chosen on that sample,
+the ``FEATURES`` features of ``MIN_ROWS`` rows or more that tell most (by chi-square).
+Prediction is one pass without a shuffle.
 
 Defined cases: a null or empty text has no features and is never flagged; a null label keeps
 the row out of that category's model; a document labelled twice has a category if one label
@@ -26,21 +27,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskledger.llm.blocks import Block, arrow_lists, blocks, hash_spans, words
 from riskledger.llm.storage import Scratch
+from riskledger.plans.batch import together
 
-TRAIN_ROWS = 16_000
-FEATURES = 60_000
+TRAIN_ROWS = 12_000
+FEATURES = 16_000
 MIN_ROWS = 5
-FOLDS = 3
+FOLDS = 2
 PREFIXES = (4, 5)
-PENALTY = 2e-4
+PENALTY = 5e-5
 THRESHOLD = 0.5
+#: A training row weighs as much as so many plain rows when tasks are formed.
+DENSE = 25
 
 _LETTERS = np.zeros(256, dtype=bool)
 _LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -138,15 +141,20 @@ def fit(
         part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1_000_000))
         return part < F.lit(wanted * 1_000_000 // max(there, 1) + 1)
 
-    chosen = known.filter(
-        (last & drawn(half, sizes["positive"]))
-        | (~last & drawn(train_rows - min(half, sizes["positive"]), rest))
+    positive = min(half, sizes["positive"])
+    negative = train_rows - positive
+    # Weights undo the unequal shares, so probabilities stay those of the labelled rows.
+    weight = F.when(last, sizes["positive"] / max(positive, 1)).otherwise(
+        max(1.0, rest / max(negative, 1))
     )
+    chosen = known.filter(
+        (last & drawn(positive, sizes["positive"])) | (~last & drawn(negative, rest))
+    ).withColumn("weight", weight.cast("double"))
     # At most about ``train_rows`` rows of a few bytes.
     texts = docs.select("doc_id", F.lower("text").alias("text")).join(
         F.broadcast(chosen), "doc_id"
     )
-    columns = ["doc_id", *categories]
+    columns = ["doc_id", *categories, "weight"]
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.select(columns).schema)
     rows = scratch.write(
         "sample",
@@ -154,16 +162,7 @@ def fit(
             _sample_features(columns), f"{kinds}, hashes array<bigint>"
         ),
     )
-    frequent = (
-        rows.select(F.explode("hashes").alias("hash"))
-        .groupBy("hash")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= MIN_ROWS)
-        .orderBy(F.desc("n"), "hash")
-        .limit(FEATURES)
-        .toPandas()
-    )
-    vocabulary = np.sort(frequent["hash"].to_numpy(dtype=np.int64))
+    vocabulary = _telling_features(rows, categories)
     shared = spark.sparkContext.broadcast(vocabulary)
 
     @F.udf(VectorUDT())
@@ -175,42 +174,71 @@ def fit(
         places = at[known_[at] == own] if len(known_) else at[:0]
         return Vectors.sparse(max(1, len(known_)), np.sort(places), np.ones(len(places)))
 
+    n_rows = rows.count()
+    if n_rows == 0:
+        scratch.close()
+        return Chain([_link(0.0, c, vocabulary, 0) for c in categories])
     data = scratch.write(
         "vectors",
         rows.select(
             *columns,
+            "hashes",
             vector("hashes").alias("words"),
             F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold"),
         ),
+        DENSE * n_rows,
     )
     chain, earlier = Chain(), []
     for i, category in enumerate(categories):
         name = f"__p{i}"
-        assembled = VectorAssembler(inputCols=["words", *earlier], outputCol="features").transform(
-            data.filter(F.col(category).isNotNull())
-        )
-        chain.links.append(_link(assembled, category, vocabulary, len(earlier)))
+        rows = VectorAssembler(inputCols=["words", *earlier], outputCol="features").transform(data)
+        known_rows = rows.filter(F.col(category).isNotNull())
+        parts = [known_rows]
         if i + 1 < len(categories):
+            parts += [known_rows.filter(F.col("fold") != fold) for fold in range(FOLDS)]
+        # The models of a category are independent and small: fitted side by side.
+        model, *others = together([lambda p=p: _model(p, category) for p in parts])
+        chain.links.append(_link(model, category, vocabulary, len(earlier)))
+        if others:
+            links = [_link(other, category, vocabulary, len(earlier)) for other in others]
             data = scratch.write(
-                f"vectors-{i}", _out_of_fold(data, category, ["words", *earlier], name)
+                f"vectors-{i}", _out_of_fold(data, links, earlier, name), DENSE * n_rows
             )
             earlier.append(name)
     scratch.close()
     return chain
 
 
+def _telling_features(rows: DataFrame, categories: list[str]) -> np.ndarray:
+    """The ``FEATURES`` features whose rows differ most from all rows in some category."""
+    shares = rows.agg(*(F.avg(c).alias(c) for c in categories)).first()
+    found = (
+        rows.select(*categories, F.explode("hashes").alias("hash"))
+        .groupBy("hash")
+        .agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in categories))
+        .filter(F.col("n") >= MIN_ROWS)
+    )
+    differ = [F.lit(0.0), F.lit(0.0)]
+    for c in categories:
+        p = shares[c] or 0.0
+        if 0 < p < 1:
+            off = F.coalesce(F.col(c), F.lit(0)) - F.col("n") * p
+            differ.append(off * off / (F.col("n") * (p * (1 - p))))
+    best = found.orderBy(F.desc(F.greatest(*differ)), "hash").limit(FEATURES).select("hash")
+    return np.sort(best.toPandas()["hash"].to_numpy(dtype=np.int64))
+
+
 def _model(rows: DataFrame, category: str):
     """A fitted model, or the constant probability if there are not two classes."""
     classes = {r[category]: r["count"] for r in rows.groupBy(category).count().collect()}
     if len(classes) < 2:
         return float(next(iter(classes), 0))
     return LogisticRegression(
-        labelCol=category, elasticNetParam=1.0, regParam=PENALTY, maxIter=30, standardization=False
+        labelCol=category, weightCol="weight", elasticNetParam=1.0, regParam=PENALTY, maxIter=20, standardization=False
     ).fit(rows)
 
 
-def _link(rows: DataFrame, category: str, vocabulary: np.ndarray, n_earlier: int) -> Link:
-    model = _model(rows, category)
+def _link(model, category: str, vocabulary: np.ndarray, n_earlier: int) -> Link:
     none = np.zeros(0)
     if isinstance(model, float):
         return Link(category, none.astype(np.int64), none, none, 500.0 if model else -500.0)
@@ -223,24 +251,25 @@ def _link(rows: DataFrame, category: str, vocabulary: np.ndarray, n_earlier: int
     )
 
 
-def _out_of_fold(data: DataFrame, category: str, inputs: list[str], name: str) -> DataFrame:
-    """``data`` with the probability that models of the other folds give each row."""
-    rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(data)
-    out = None
-    for fold in range(FOLDS):
-        inside = F.col("fold") == fold
-        model = _model(rows.filter(~inside & F.col(category).isNotNull()), category)
-        own = rows.filter(inside)
-        if isinstance(model, float):
-            part = own.withColumn(name, F.lit(model)).drop("features")
-        else:
-            part = (
-                model.transform(own)
-                .withColumn(name, vector_to_array("probability")[1])
-                .drop("features", "rawPrediction", "probability", "prediction")
-            )
-        out = part if out is None else out.unionByName(part)
-    return out
+def _out_of_fold(data: DataFrame, links: list[Link], earlier: list[str], name: str) -> DataFrame:
+    """``data`` with the probability that the model of the other folds gives each row."""
+    context = data.sparkSession.sparkContext
+    result = F.lit(None).cast("double")
+    for fold, link in enumerate(links):
+        result = F.when(F.col("fold") == fold, _probability(context.broadcast(link), earlier)).otherwise(
+            result
+        )
+    return data.withColumn(name, result)
+
+
+def _probability(shared, earlier: list[str]) -> Column:
+    def judge(hashes: pa.Array, *before: pa.Array) -> pa.Array:
+        sizes = hashes.value_lengths().to_numpy(zero_copy_only=False)
+        features = hashes.flatten().to_numpy(zero_copy_only=False)
+        done = [x.to_numpy(zero_copy_only=False) for x in before]
+        return pa.array(shared.value.probability(np.cumsum(np.r_[0, sizes]), features, done))
+
+    return F.arrow_udf(judge, "double")("hashes", *earlier)
 
 
 def predict(docs: DataFrame, chain: Chain, text: str = "text") -> Column:
