@@ -4,7 +4,8 @@ A rule names a host, which stands for its subdomains too, and the beginning of a
 longest rule that fits decides. Pages that no rule decides go by their host. Hosts most of
 whose pages rules allow are trusted seeds, hosts most of whose pages rules block are blocked
 seeds. Trust is a personalised PageRank from the trusted seeds along links; distrust is one
-from the blocked seeds against the links, since who links to bad hosts is suspect. Both run
+from the blocked seeds against the links, since who links to bad hosts is suspect, the more the larger the share of
+its links that do. Both run
 in one loop of a join and a sum per host, each round stored, until nothing moves. A host is
 blocked if its distrust, in units of what a blocked seed starts with, reaches
 ``DISTRUST`` and exceeds its trust in units of a trusted seed.
@@ -109,11 +110,16 @@ def propagate(edges: DataFrame, seeds: DataFrame, scratch: Scratch) -> DataFrame
             F.lit(BLOCK).alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "pages"
         )
     )
-    out = both.groupBy("kind", "host").agg(F.sum("pages").alias("all"))
+    # Distrust goes to a linking host by the share of its links that point here.
+    links = edges.groupBy("src").agg(F.sum("pages").alias("links"))
+    both = both.join(links.withColumnRenamed("src", "to"), "to", "left").withColumn(
+        "force", F.when(F.col("kind") == ALLOW, F.col("pages")).otherwise(F.col("pages") / F.col("links"))
+    )
+    out = both.groupBy("kind", "host").agg(F.sum("force").alias("all"))
     weights = scratch.write(
         "weights",
         both.join(out, ["kind", "host"]).select(
-            "kind", "host", "to", (F.col("pages") / F.col("all")).alias("weight")
+            "kind", "host", "to", (F.col("force") / F.col("all")).alias("weight")
         ),
     )
     sizes = {r["kind"]: r["count"] for r in seeds.groupBy("kind").count().collect()}
