@@ -7,6 +7,7 @@ block size or by the longest single text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,6 +16,11 @@ import pyarrow as pa
 
 BLOCK_BYTES = 1 << 19
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except AttributeError:  # a C library without it
+    _trim = None
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -49,6 +55,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def release_memory() -> None:
+    """Gives memory that arrays no longer use back to the machine.
+
+    Workers live on from task to task; without this each keeps what its largest batch took.
+    """
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 @dataclass
 class Block:
     """Texts ``first .. first + len(offsets) - 1`` of a batch, as bytes."""

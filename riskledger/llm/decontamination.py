@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskledger.llm.blocks import ALNUM, arrow_lists, blocks, words
+from riskledger.llm.blocks import ALNUM, arrow_lists, blocks, release_memory, words
 from riskledger.llm.storage import Scratch, broadcast_if_small
 
 WINDOW = 10
@@ -92,6 +92,7 @@ def _postings(vocabulary):
                     ],
                     ["doc_id", "n_words", "terms", "positions"],
                 )
+            release_memory()
 
     return make
 
@@ -183,6 +184,7 @@ def _search(lookup, slack: int):
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_A_TIME):
                 yield _search_batch(batch.slice(at, ROWS_AT_A_TIME), look, slack)
+        release_memory()
 
     return search
 

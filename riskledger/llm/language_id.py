@@ -27,7 +27,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskledger.llm.blocks import Block, arrow_lists, blocks
+from riskledger.llm.blocks import Block, arrow_lists, blocks, release_memory
 from riskledger.llm.storage import Scratch
 
 BINS = 4096
@@ -214,6 +214,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> Column:
             found, score = shared.value.predict(trigram_shares(block))
             languages += found.tolist()
             scores.append(score)
+        release_memory()
         return pa.StructArray.from_arrays(
             [
                 pa.array(languages, pa.string()),

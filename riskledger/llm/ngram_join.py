@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskledger.llm.blocks import NOT_SPACE, arrow_lists, blocks, mix, words
+from riskledger.llm.blocks import NOT_SPACE, arrow_lists, blocks, mix, release_memory, words
 from riskledger.llm.components import components
 from riskledger.llm.storage import Scratch, broadcast_if_small
 
@@ -45,6 +45,8 @@ SHINGLE = 5
 PERCENT = 75
 #: Documents searched together in one task.
 GROUP = 512
+#: Documents whose postings are combined before the shuffle.
+COMBINED = 3000
 #: Components of at least this size send that many delegates to the next level.
 DELEGATING, DELEGATES = 32, 8
 #: Steepness of the rule that divides short from long lists.
@@ -107,6 +109,7 @@ def _profiles(width: int, percent: int):
                     ],
                     ["doc_id", "n", "d1", "d2", "prefix"],
                 )
+        release_memory()
 
     return make
 
@@ -120,7 +123,8 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = 0: a shingle (key) that one document of the batch has; n = -1: one that several
     have; n > 0: that many shingles of a document are repeated within the batch.
     """
-    for batch in batches:
+    pieces = (b.slice(at, COMBINED) for b in batches for at in range(0, b.num_rows, COMBINED))
+    for batch in pieces:
         lists = batch.column("prefix")
         keys = lists.flatten().to_numpy(zero_copy_only=False)
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -146,6 +150,7 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ],
             ["key", "doc", "n"],
         )
+    release_memory()
 
 
 def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,6 +177,8 @@ def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         ],
         ["doc", "n"],
     )
+    del keys, docs, order, new, starts, sizes
+    release_memory()
 
 
 def _whole_sets(width: int):

@@ -32,13 +32,14 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskledger.llm.blocks import Block, blocks, hash_spans, mix
+from riskledger.llm.blocks import Block, blocks, hash_spans, mix, release_memory
+from riskledger.llm.storage import bound_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Bytes of text per block, and of distinct segments per suffix array.
-BLOCK_BYTES = 3 << 20
-SUFFIX_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 20
+SUFFIX_BYTES = 1 << 18
 #: Texts whose ids are put together at a time.
 TEXTS_AT_A_TIME = 1000
 #: Frequent segments remembered by a worker, and the size of its table of pairs of pieces.
@@ -161,6 +162,19 @@ class Codec:
         ]
         return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
+    def encode_and_check(self, texts: pa.Array) -> pa.Array:
+        """Structs of the ids and whether they decode to the text, blanks for U+2581."""
+        parts = []
+        for at in range(0, len(texts), TEXTS_AT_A_TIME):
+            some = texts.slice(at, TEXTS_AT_A_TIME)
+            ids = self._encode_some(some)
+            same = pc.equal(self.decode(ids), pc.replace_substring(some, SPACE, " "))
+            parts.append(pa.StructArray.from_arrays([ids, same], ["ids", "round_trip"]))
+        kind = pa.struct([("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
+        out = pa.concat_arrays(parts) if parts else pa.array([], kind)
+        release_memory()
+        return out
+
     def _encode_some(self, texts: pa.Array) -> pa.Array:
         nulls = np.asarray(pc.is_null(texts))
         spaced = pc.replace_substring(texts.fill_null(""), SPACE, " ")
@@ -405,6 +419,7 @@ class Tokenizer:
     """Column functions of one vocabulary, which is sent to the executors once."""
 
     def __init__(self, spark: SparkSession, path: str = MODEL):
+        bound_batches(spark)
         self.vocabulary = spark.sparkContext.broadcast(Vocabulary(path))
         self.name = uuid.uuid4().hex
 
@@ -423,6 +438,13 @@ class Tokenizer:
         codec = self._worker()
         return F.arrow_udf(lambda x: codec().encode(x), "array<int>")(text)
 
+    def encode_and_check(self, text: Column) -> Column:
+        """A struct of the ids and whether decoding them gives the text back."""
+        codec = self._worker()
+        return F.arrow_udf(
+            lambda x: codec().encode_and_check(x), "struct<ids:array<int>,round_trip:boolean>"
+        )(text)
+
     def decode(self, ids: Column) -> Column:
         codec = self._worker()
         return F.arrow_udf(lambda x: codec().decode(x), "string")(ids)
@@ -434,11 +456,11 @@ def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
     ``round_trip`` tells whether decoding the ids gives the text back, U+2581 as blanks.
     """
     tokenizer = Tokenizer(docs.sparkSession, path)
-    encoded = docs.select("doc_id", "text", tokenizer.encode(F.col("text")).alias("ids"))
-    same = tokenizer.decode(F.col("ids")) == F.replace("text", F.lit(SPACE), F.lit(" "))
+    # Both directions in one function: one worker per task, one copy of the vocabulary.
+    encoded = docs.select("doc_id", tokenizer.encode_and_check(F.col("text")).alias("e"))
     return encoded.select(
         "doc_id",
-        F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_tokens"),
-        "ids",
-        F.coalesce(same, F.col("text").isNull()).alias("round_trip"),
+        F.coalesce(F.size("e.ids"), F.lit(0)).cast("bigint").alias("n_tokens"),
+        F.col("e.ids").alias("ids"),
+        F.coalesce("e.round_trip", F.lit(True)).alias("round_trip"),
     )

@@ -16,7 +16,19 @@ BROADCAST_BYTES = 32 << 20
 ROWS_A_FILE = 100_000
 
 
+#: Bytes of rows that Spark hands to a Python worker at a time, where the session says nothing.
+BATCH_BYTES = 8 << 20
+_BATCH, _SPARKS_OWN = "spark.sql.execution.arrow.maxBytesPerBatch", {"67108864b", "64m", "64MB"}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches than Spark's 64 MB, which a worker holds several times over."""
+    if spark.conf.get(_BATCH) in _SPARKS_OWN:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -29,6 +41,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, purpose: str):
+        bound_batches(spark)
         self.spark, self.purpose, self.paths = spark, purpose, {}
         atexit.register(self.close)
 

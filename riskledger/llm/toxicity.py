@@ -31,7 +31,14 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskledger.llm.blocks import Block, arrow_lists, blocks, hash_spans, words
+from riskledger.llm.blocks import (
+    Block,
+    arrow_lists,
+    blocks,
+    hash_spans,
+    release_memory,
+    words,
+)
 from riskledger.llm.storage import Scratch
 from riskledger.plans.batch import together
 
@@ -281,6 +288,7 @@ def predict(docs: DataFrame, chain: Chain, text: str = "text") -> Column:
         found = [shared.value.predict(block) for block in blocks(texts)]
         p = np.concatenate([np.zeros((len(names), 0)), *(x for x, _ in found)], axis=1)
         some = np.concatenate([np.zeros(0, bool), *(x for _, x in found)])
+        release_memory()
         return pa.StructArray.from_arrays(
             [*(pa.array(row) for row in p), pa.array(some)], [*names, "any_word"]
         )
