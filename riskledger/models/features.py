@@ -181,7 +181,8 @@ def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 def numeric_scaling() -> list:
     return [
-        VectorAssembler(inputCols=NUMERIC_FEATURES, outputCol="numeric"),
+        # Fitting sees complete rows only; prediction leaves the others without a figure.
+        VectorAssembler(inputCols=NUMERIC_FEATURES, outputCol="numeric", handleInvalid="keep"),
         StandardScaler(inputCol="numeric", outputCol="scaled", withMean=True, withStd=True),
     ]
 

@@ -21,6 +21,7 @@ from riskledger.models.features import (
     FEATURES,
     KEY,
     LABEL,
+    NUMERIC_FEATURES,
     class_weight,
     complete,
     feature_frame,
@@ -254,12 +255,18 @@ def load_model(path: str) -> PipelineModel:
 
 
 def predict(model: PipelineModel, txn: DataFrame) -> DataFrame:
-    """Fraud prediction and probability beside the in-flight rule level, batch or stream."""
+    """Fraud prediction and probability beside the in-flight rule level, batch or stream.
+
+    Payments that lack a numeric feature keep their rule level and have no prediction.
+    """
     ready = txn.withColumn("risk_score", score_of(PRE_TXN)).select(KEY, *FEATURES)
+    usable = F.forall(
+        F.array(*[F.col(c).isNotNull() for c in NUMERIC_FEATURES]), lambda known: known
+    )
     return model.transform(ready).select(
         KEY,
         "risk_score",
         level_of("risk_score").alias("rule_risk_level"),
-        F.col("prediction").cast("int").alias("fraud_prediction"),
-        vector_to_array("probability")[1].alias("fraud_probability"),
+        F.when(usable, F.col("prediction").cast("int")).alias("fraud_prediction"),
+        F.when(usable, vector_to_array("probability")[1]).alias("fraud_probability"),
     )

@@ -92,7 +92,8 @@ def test_one_null_neither_stops_training_nor_scoring(clean, payments_clean):
     assert mf.feature_vectors(frame).count() == 2
     rows = payments_clean.unionByName(holes)
     result = mt.train(rows, SMALL, only=["Logistic Regression"])
-    assert mt.predict(result.best, holes).count() == 2
+    predicted = mt.predict(result.best, holes).orderBy("transaction_id").collect()
+    assert [r.fraud_probability is None for r in predicted] == [True, True, False, False]
 
 
 def test_scaling_a_single_row(clean):
