@@ -8,7 +8,7 @@ outnumber the input. Nothing is collected but the count and a checksum per round
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskledger.llm.storage import Scratch
@@ -17,13 +17,16 @@ from riskledger.llm.storage import Scratch
 def _stored(
     scratch: Scratch, name: str, edges: DataFrame, rows: int | None
 ) -> tuple[DataFrame, tuple[int, int]]:
-    """``edges`` as stored, with their number and a checksum, taken while they are written."""
-    seen = Observation()
-    counted = edges.observe(
-        seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("sum")
-    )
-    stored = scratch.write(name, counted, rows)
-    return stored, (seen.get["n"], seen.get["sum"])
+    """``edges`` as stored, with their number and a checksum.
+
+    Counted from the files, not by an observation while writing: a session that has made an
+    observation can no longer serialise the fitted models that hold on to it.
+    """
+    stored = scratch.write(name, edges, rows)
+    seen = stored.agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("sum")
+    ).first()
+    return stored, (seen["n"], seen["sum"])
 
 
 def components(
