@@ -162,14 +162,13 @@ def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     parts.clear()
     local = n > 0
     known_docs, known = docs[local], n[local]
-    keys, docs = keys[~local], docs[~local]
+    keys, docs, named = keys[~local], docs[~local], n[~local] == 0
     order = np.argsort(keys, kind="stable")
-    keys, docs = keys[order], docs[order]
+    keys, docs, named = keys[order], docs[order], named[order]
     new = np.r_[True, keys[1:] != keys[:-1]][: len(keys)]
     starts = np.flatnonzero(new)
     sizes = np.diff(np.r_[starts, len(keys)])
-    docs = docs[np.repeat(sizes > 1, sizes)]
-    docs = docs[docs >= 0]
+    docs = docs[np.repeat(sizes > 1, sizes) & named]
     yield pa.RecordBatch.from_arrays(
         [
             pa.array(np.concatenate([docs, known_docs])),
@@ -177,7 +176,7 @@ def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         ],
         ["doc", "n"],
     )
-    del keys, docs, order, new, starts, sizes
+    del keys, docs, named, order, new, starts, sizes
     release_memory()
 
 

@@ -62,6 +62,20 @@ def test_equals_all_pairs(documents, monkeypatch, group):
     assert result(nj.near_duplicates(documents(rows))) == expected_of(rows)
 
 
+def test_near_copies_with_negative_ids(spark, documents):
+    rnd = random.Random(8)
+    rows = []
+    for i in range(12):
+        text = [rnd.choice(WORDS) for _ in range(80)]
+        rows += [(k, " ".join([*text[:-1], f"end{k}"])) for k in (-1 - i, -100 - i, 500 + i)]
+    # Every row is a piece of its own.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    try:
+        assert result(nj.near_duplicates(documents(rows))) == expected_of(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_keeps_one_of_each_group(documents):
     rows = [(4, "a b c d e f"), (2, "a b c d e f"), (9, "x"), (8, None), (None, "a b c d e f"), (7, "")]
     docs = documents(rows)
