@@ -23,9 +23,13 @@ similarity of at least ``PERCENT`` per cent. Every step below is exact:
    found then meet, level by level, and finally all documents outside the cluster's largest
    component are searched against the whole cluster.
 
+Sets are searched under numbers of their own, one row per distinct set, however many rows or
+ids have it and however many sets an id has.
+
 Defined cases: a null or blank text has an empty set and no links; fewer than ``SHINGLE``
-words form one shingle; rows with the same id are the same document; rows with a null id
-link with nothing and have a null component; an empty table gives an empty result.
+words form one shingle; rows with the same id are the same document, which links by each of
+its texts; rows with a null id link with nothing and have a null component; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -85,17 +89,23 @@ def _prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + max(1, -(-n // 12))
 
 
+def _digests(sets: list[np.ndarray]) -> np.ndarray:
+    """128 bits of each set, in two rows."""
+    digests = np.zeros((2, len(sets)), np.int64)
+    with np.errstate(over="ignore"):
+        for i, x in enumerate(sets):
+            u = x.view(np.uint64)
+            digests[0, i] = mix(u).sum(dtype=np.uint64).view(np.int64)
+            digests[1, i] = mix(u ^ _STEP).sum(dtype=np.uint64).view(np.int64)
+    return digests
+
+
 def _profiles(width: int, percent: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, sets in shingle_sets(batch.column("text"), width):
                 prefixes = [x[: _prefix_size(len(x), percent)] if len(x) else x for x in sets]
-                digests = np.zeros((2, len(sets)), np.int64)
-                with np.errstate(over="ignore"):
-                    for i, x in enumerate(sets):
-                        u = x.view(np.uint64)
-                        digests[0, i] = mix(u).sum(dtype=np.uint64).view(np.int64)
-                        digests[1, i] = mix(u ^ _STEP).sum(dtype=np.uint64).view(np.int64)
+                digests = _digests(sets)
                 bounds = np.cumsum([0, *map(len, prefixes)])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -180,15 +190,35 @@ def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     release_memory()
 
 
+def _digested(width: int):
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, sets in shingle_sets(batch.column("text"), width):
+                some, digests = batch.slice(first, len(sets)), _digests(sets)
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("id"), some.column("text"), *map(pa.array, digests)],
+                    ["id", "text", "d1", "d2"],
+                )
+
+    return make
+
+
 def _whole_sets(width: int):
+    """(id, n, shingles) of the texts whose set has the digest that ``id`` stands for."""
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, sets in shingle_sets(batch.column("text"), width):
+                some, digests = batch.slice(first, len(sets)), _digests(sets)
+                named = (digests[0] == some.column("d1").to_numpy()) & (
+                    digests[1] == some.column("d2").to_numpy()
+                )
+                sets = [x for x, own in zip(sets, named.tolist()) if own]
                 bounds = np.cumsum([0, *map(len, sets)])
                 flat = np.concatenate([np.zeros(0, np.int64), *sets])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("id").slice(first, len(sets)),
+                        some.column("id").filter(pa.array(named)),
                         pa.array(np.diff(bounds)),
                         arrow_lists(flat, bounds, pa.int64()),
                     ],
@@ -334,7 +364,7 @@ def _links(groups: DataFrame, percent: int) -> DataFrame:
 
 
 def _survivors(profiles: DataFrame, percent: int) -> DataFrame:
-    """(id, d1, d2): one document per distinct set that may have a partner of another set."""
+    """(d1, d2, doc_id): the distinct sets that may have a partner, and who has them first."""
     counts = (
         profiles.select("doc_id", "prefix")
         .filter(F.size("prefix") > 0)
@@ -352,10 +382,53 @@ def _survivors(profiles: DataFrame, percent: int) -> DataFrame:
         .join(counts, "doc_id")
         .filter(F.col("shared") >= needed)
         .groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("id"))
+        .agg(F.min("doc_id").alias("doc_id"))
     )
 
 
+def _distinct_sets(
+    docs: DataFrame, named: DataFrame, scratch: Scratch, width: int
+) -> DataFrame:
+    """(id, n, shingles): each set of ``named`` (id, d1, d2, doc_id) once."""
+    n_named = named.count()
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    columns = ["id", "d1", "d2", "text"]
+    several = scratch.write(
+        "several-sets",
+        named.groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1").select("doc_id"),
+    )
+    n_several = several.count()
+    if n_several:
+        # Ids with several sets: their texts are told apart by digest.
+        several = broadcast_if_small(several, n_several, 16)
+        others = (
+            texts.join(several, "doc_id")
+            .withColumnRenamed("doc_id", "id")
+            .mapInArrow(_digested(width), "id bigint, text string, d1 bigint, d2 bigint")
+            .withColumnRenamed("id", "doc_id")
+            .join(broadcast_if_small(named, n_named, 32), ["doc_id", "d1", "d2"])
+            .select(*columns)
+        )
+        named = named.join(several, "doc_id", "left_anti")
+    found = texts.join(broadcast_if_small(named, n_named, 32), "doc_id").select(*columns)
+    if n_several:
+        found = found.unionByName(others)
+    sets = scratch.write(
+        "sets",
+        found.mapInArrow(_whole_sets(width), "id bigint, n bigint, shingles array<bigint>"),
+    )
+    again = scratch.write(
+        "repeated-sets",
+        sets.groupBy("id").agg(F.count("*").alias("k")).filter("k > 1").select("id"),
+    )
+    n_again = again.count()
+    if not n_again:
+        return sets
+    again = broadcast_if_small(again, n_again, 16)
+    once = sets.join(again, "id").dropDuplicates(["id"])
+    return sets.join(again, "id", "left_anti").unionByName(once)
+
+
 def _searchable(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """(id, n, shingles): shingles that others have, rarest first; hopeless documents gone."""
     rows = sets.select("id", "n", F.explode("shingles").alias("shingle"))
@@ -391,7 +464,10 @@ def _clusters(found: DataFrame, scratch: Scratch, percent: int, rows: int) -> Da
 def near_duplicate_links(
     docs: DataFrame, scratch: Scratch, percent: int = PERCENT, width: int = SHINGLE
 ) -> tuple[DataFrame, DataFrame]:
-    """(profiles, links): set sizes and digests of all rows, and links between distinct sets."""
+    """(profiles, links): set sizes and digests of all rows, and links between documents.
+
+    A set's links are those of the least id that has it.
+    """
     spark = docs.sparkSession
     profiles = scratch.write(
         "profiles",
@@ -402,16 +478,11 @@ def near_duplicate_links(
             "doc_id bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>",
         ),
     )
-    ids = scratch.write("survivors", _survivors(profiles, percent).select("id").distinct())
-    n_ids = ids.count()
-    ids = broadcast_if_small(ids, n_ids, 16)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    sets = scratch.write(
-        "sets",
-        texts.join(ids, "id").mapInArrow(
-            _whole_sets(width), "id bigint, n bigint, shingles array<bigint>"
-        ),
+    named = scratch.write(
+        "survivors",
+        _survivors(profiles, percent).withColumn("id", F.monotonically_increasing_id()),
     )
+    sets = _distinct_sets(docs, named, scratch, width)
     found = scratch.write("searchable", _searchable(sets, scratch, percent))
     n_found = found.count()
     clusters = scratch.write("clusters", _clusters(found, scratch, percent, n_found), 20 * n_found)
@@ -431,7 +502,10 @@ def near_duplicate_links(
     links = scratch.write("links", _links(small, percent))
     if n_large:
         links = _finish_large(placed.filter(F.col("size").isNotNull()), links, scratch, percent)
-    return profiles, links
+    for side in ("a", "b"):
+        owners = named.select(F.col("id").alias(side), F.col("doc_id").alias("owner"))
+        links = links.join(owners, side).drop(side).withColumnRenamed("owner", side)
+    return profiles, scratch.write("document-links", links)
 
 
 def _finish_large(
@@ -533,6 +607,21 @@ def near_duplicates(
         "classes",
         profiles.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("id")),
     )
+    # A document of several sets is linked to the least document of each.
+    several = scratch.write(
+        "several-texts",
+        profiles.filter("n > 0")
+        .groupBy("doc_id")
+        .agg(*(f(x).alias(f"{f.__name__}_{x}") for x in ("d1", "d2") for f in (F.min, F.max)))
+        .filter("min_d1 <> max_d1 OR min_d2 <> max_d2")
+        .select("doc_id"),
+    )
+    n_several = several.count()
+    if n_several:
+        own = profiles.filter("n > 0").select("doc_id", "d1", "d2")
+        own = own.join(broadcast_if_small(several, n_several, 16), "doc_id").distinct()
+        own = own.join(sets, ["d1", "d2"]).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+        links = scratch.write("all-links", links.unionByName(own))
     named = scratch.write("components", components(links, scratch, "final", links.count()))
     classes = scratch.write(
         "class-components",

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from brute import least_roots, shingle_set
 from brute import near_duplicates as expected_of
 from riskledger.llm import ngram_join as nj
 
@@ -76,6 +77,42 @@ def test_near_copies_with_negative_ids(spark, documents):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def rows_brute(rows):
+    """Rows (doc_id, size, component) where an id may have several texts."""
+    own = list(enumerate(t for _, t in rows))
+    sets = {k: shingle_set(t) for k, t in own}
+    links = [
+        (rows[a][0], rows[b][0])
+        for a in sets
+        for b in sets
+        if a < b and sets[a] and 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b])
+    ]
+    roots = least_roots([i for i, _ in rows], links)
+    return sorted((i, len(sets[k]), roots[i] if sets[k] else i) for k, (i, _) in enumerate(rows))
+
+
+def test_repeated_rows(documents):
+    rnd = random.Random(9)
+
+    def text(n):
+        return [rnd.choice(WORDS) for _ in range(n)]
+
+    rows = []
+    for i in range(0, 60, 2):
+        # A quarter of all shingles in common, and rows twice or three times.
+        both = text(44)
+        for k in (i, i + 1):
+            rows += [(k, " ".join(both + text(60)))] * rnd.choice((2, 2, 3))
+    for i in range(100, 140, 4):
+        # Two texts under one id, near copies of either, and one text that only it has.
+        one, other = text(50), text(70)
+        rows += [(i, " ".join(one)), (i, " ".join(other))] * rnd.choice((1, 2))
+        rows += [(i + 1, " ".join(one[1:])), (i + 2, " ".join(other[1:])), (i + 3, " ".join(text(60)))]
+        rows += [(i + 3, " ".join(other[2:])), (i - 1000, " ".join(text(30)))]
+    got = sorted(map(tuple, nj.near_duplicates(documents(rows)).collect()))
+    assert got == rows_brute(rows)
+
+
 def test_keeps_one_of_each_group(documents):
     rows = [(4, "a b c d e f"), (2, "a b c d e f"), (9, "x"), (8, None), (None, "a b c d e f"), (7, "")]
     docs = documents(rows)
@@ -90,7 +127,6 @@ def test_search_finds_every_link_of_a_group():
     ids = np.arange(120) * 7
     sizes = np.array([len(s) for s in sets])
     links = nj.divide_skip(ids, sizes, sets)
-    from brute import least_roots
 
     exact = []
     for a in range(120):
