@@ -21,6 +21,8 @@ and seeds decide; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +31,9 @@ from riskledger.llm.storage import Scratch, broadcast_if_small
 ALLOW, BLOCK = "allow", "block"
 RULES = ((BLOCK, "net/"), (ALLOW, "example.net/en/"), (BLOCK, "example.com/de/"), (ALLOW, "org/fr/"))
 DAMPING = 0.85
-ROUNDS = 30
 TOLERANCE = 1e-7
+#: A round moves at most ``DAMPING`` times what the one before it moved, the first two a kind.
+ROUNDS = 2 + math.ceil(math.log(TOLERANCE / 4) / math.log(DAMPING))
 DISTRUST = 0.1
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -161,8 +164,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, scratch: Scratch) -> DataFrame
         ranks = now.drop("was")
         scratch.drop(f"flow-{i}", *([f"ranks-{i - 1}"] if i else []))
         if moved < TOLERANCE:
-            break
-    return ranks
+            return ranks
+    raise RuntimeError(f"ranks still move by {moved} after {ROUNDS} rounds")
 
 
 def blocked_hosts(ranks: DataFrame, sizes: dict[str, int], distrust: float = DISTRUST) -> DataFrame:

@@ -96,6 +96,17 @@ def test_ranks_equal_power_iteration(spark):
         assert ranks.get(key, 0.0) == pytest.approx(value, abs=1e-6)
 
 
+def test_rounds_run_until_nothing_moves(spark, monkeypatch):
+    """Two hosts that link to each other: what is left to move shrinks by the damping only."""
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, pages long")
+    seeds = spark.createDataFrame([("allow", "a")], "kind string, host string")
+    ranks = {r.host: r["rank"] for r in uf.propagate(edges, seeds, Scratch(spark, "test")).collect()}
+    assert ranks == pytest.approx({"a": 0.15 / (1 - 0.85**2), "b": 0.85 * 0.15 / (1 - 0.85**2)}, abs=1e-6)
+    monkeypatch.setattr(uf, "ROUNDS", 2)
+    with pytest.raises(RuntimeError, match="still move"):
+        uf.propagate(edges, seeds, Scratch(spark, "test"))
+
+
 def test_host_pattern_against_plain_python():
     pattern = re.compile(uf._HREF.replace("(?i)", ""), re.I)
     html = "<A title='x' HREF = http://A.b/c> <a href='//d.e'> <a href='/f'> <link href='http://no.no'>"
