@@ -10,11 +10,14 @@ from riskledger.llm import (
     chat_format,
     decontamination,
     embedding_dedup,
+    fill_middle,
     language_id,
     line_dedup,
     ngram_join,
     pii,
     sentencepiece_codec,
+    token_alignment,
+    token_files,
     toxicity,
     url_filter,
 )
@@ -72,6 +75,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_report(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_report(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language_id": op2_language_id,
@@ -83,9 +98,13 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_pii": op9_pii,
     "op10_decontamination": op10_decontamination,
+    "op11_token_files": op11_token_files,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 SQL: dict[str, str] = {
     "op1_line_dedup": line_dedup.SQL,
     "op5_chat_format": chat_format.SQL,
+    "op12_fill_middle": fill_middle.SQL,
 }
