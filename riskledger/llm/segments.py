@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,10 @@ from pyspark.sql import SparkSession
 from riskledger.llm.blocks import Block
 from riskledger.llm.storage import bound_batches
 
-#: Bytes that one call into a library encodes as one text.
-JOINED_BYTES = 1 << 16
+#: Bytes that a library encodes as one text.
+JOINED_BYTES = 1500
+#: Segments that a worker remembers from block to block, and the longest it remembers.
+KEPT, KEPT_BYTES = 200_000, 40
 
 #: ASCII characters that are neither white space nor control characters.
 _SOLID = np.zeros(256, dtype=bool)
@@ -89,6 +92,9 @@ class Encoder:
         self.sizes = np.array([len(s) for s in spellings], np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.spelled = np.frombuffer(b"".join(spellings), np.uint8)
+        self.known = pa.array([], pa.binary())
+        self.known_ids = np.zeros(0, np.int32)
+        self.known_bounds = np.zeros(1, np.int64)
 
     def _encode(self, joined: list[bytes]) -> list[list[int]]:
         raise NotImplementedError
@@ -97,10 +103,38 @@ class Encoder:
         return gather(self.spelled, self.begins[ids], self.sizes[ids])
 
     def encode(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all segments, where each one's begin, and which are spelled by their ids.
+        """Ids of distinct segments, where each one's begin, and which are spelled by their ids.
 
-        Ids of a segment that isn't are left out. Segments are joined where a cut would be safe;
-        those that begin or end otherwise (a text's first and last) are encoded by themselves.
+        Ids of a segment that isn't are left out.
+        """
+        at = pc.index_in(segments, self.known)
+        new = at.is_null().to_numpy(zero_copy_only=False)
+        at = at.fill_null(0).to_numpy(zero_copy_only=False)
+        fresh = segments.filter(pa.array(new))
+        ids, bounds, fits = self._encode_new(fresh)
+        right = np.ones(len(segments), bool)
+        right[new] = fits
+        begins, counts = np.zeros(len(segments), np.int64), np.zeros(len(segments), np.int64)
+        begins[~new] = self.known_bounds[at[~new]]
+        counts[~new] = np.diff(self.known_bounds)[at[~new]]
+        begins[new], counts[new] = bounds[:-1] + len(self.known_ids), np.diff(bounds)
+        out = gather(np.concatenate([self.known_ids, ids]), begins, counts)
+        self._remember(fresh, ids, bounds, fits)
+        return out, np.r_[0, np.cumsum(counts)], right
+
+    def _remember(self, fresh: pa.Array, ids, bounds, fits) -> None:
+        short = pc.binary_length(fresh).to_numpy(zero_copy_only=False) <= KEPT_BYTES
+        keep = np.flatnonzero(fits & short)[: max(0, KEPT - len(self.known))]
+        if not len(keep):
+            return
+        counts = np.diff(bounds)[keep]
+        self.known = pa.concat_arrays([self.known, fresh.take(pa.array(keep))])
+        self.known_bounds = np.r_[self.known_bounds, self.known_bounds[-1] + np.cumsum(counts)]
+        self.known_ids = np.r_[self.known_ids, gather(ids, bounds[:-1][keep], counts)]
+
+    def _encode_new(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Segments are joined where a cut would be safe; those that begin or end otherwise (a
+        text's first and last) are encoded by themselves.
         """
         n = len(segments)
         data, places = flat_bytes(segments)
@@ -109,52 +143,51 @@ class Encoder:
         )
         order = np.r_[np.flatnonzero(joins), np.flatnonzero(~joins)]
         data, places = flat_bytes(segments.take(pa.array(order)))
-        groups, at = [], 0
-        while at < n:
-            to = at + 1
-            if joins[order[at]]:
-                to = int(np.searchsorted(places, places[at] + JOINED_BYTES, side="right")) - 1
-                to = min(max(to, at + 1), int(joins.sum()))
-            groups.append((at, to))
-            at = to
-        found = self._encode([data[places[a] : places[b]].tobytes() for a, b in groups])
-        parts, counts, right = [np.zeros(0, np.int32)], np.zeros(n, np.int64), np.ones(n, bool)
-        for (a, b), ids in zip(groups, found):
-            ids, own, fits = self._shares(np.array(ids, np.int32), data, places[a : b + 1])
-            if not fits.all() and b - a > 1:
-                # One segment threw the others off: each by itself.
-                alone = self._encode([data[places[i] : places[i + 1]].tobytes() for i in range(a, b)])
-                each = [
-                    self._shares(np.array(x, np.int32), data, places[a + i : a + i + 2])
-                    for i, x in enumerate(alone)
-                ]
-                ids = np.concatenate([x[0] for x in each])
-                own, fits = (np.concatenate([x[k] for x in each]) for k in (1, 2))
-            parts.append(ids)
-            counts[a:b], right[a:b] = own, fits
+        # Where each text to encode begins, in numbers of segments.
+        joined = int(joins.sum())
+        starts = np.r_[
+            np.flatnonzero(np.diff(np.r_[-1, places[:joined] // JOINED_BYTES])), np.arange(joined, n)
+        ]
+        ids, counts, right = self._encode_groups(data, places, starts)
+        if not right.all():
+            # A segment that isn't spelled by its ids throws those off it is joined with.
+            group = np.cumsum(np.isin(np.arange(n), starts)) - 1
+            wrong = np.bincount(group, ~right, len(starts)) > 0
+            starts = np.flatnonzero(np.isin(np.arange(n), starts) | wrong[group])
+            ids, counts, right = self._encode_groups(data, places, starts)
         back = np.argsort(order)
-        begins = (np.cumsum(counts) - counts)[back]
-        counts = counts[back]
-        return (
-            gather(np.concatenate(parts), begins, counts),
-            np.r_[0, np.cumsum(counts)],
-            right[back],
-        )
+        begins, counts = (np.cumsum(counts) - counts)[back], counts[back]
+        return gather(ids, begins, counts), np.r_[0, np.cumsum(counts)], right[back]
 
-    def _shares(self, ids, data, places) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens of each of the segments at ``places``, if the ids spell exactly these."""
-        n = len(places) - 1
-        ends = np.cumsum(self.sizes[ids]) + places[0]
-        bounds = np.searchsorted(ends, places[1:], side="right")
-        spelled = (
-            (ends[-1] if len(ends) else places[0]) == places[-1]
-            and np.array_equal(self.bytes_of(ids), data[places[0] : places[-1]])
-            and np.array_equal(ends[bounds[places[1:] > places[:-1]] - 1],
-                               places[1:][places[1:] > places[:-1]])
-        )
-        if not spelled:
-            return np.zeros(0, np.int32), np.zeros(n, np.int64), np.zeros(n, bool)
-        return ids, np.diff(np.r_[0, bounds]), np.ones(n, bool)
+    def _encode_groups(self, data, places, starts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all segments, how many each has, and whether they spell it.
+
+        Segments from one of ``starts`` to the next are encoded as one text; if its ids spell
+        anything else, or a token reaches across segments, none of these has ids.
+        """
+        n, edges = len(places) - 1, np.r_[starts, len(places) - 1]
+        cuts = places[edges]
+        found = self._encode([data[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])])
+        sizes = np.array([len(x) for x in found], np.int64)
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+        group = np.repeat(np.arange(len(found)), sizes)
+        right = np.bincount(group, self.sizes[ids], len(found)).astype(np.int64) == np.diff(cuts)
+        ids, group = ids[right[group]], group[right[group]]
+        ends = np.cumsum(self.sizes[ids])
+        first = np.searchsorted(group, np.arange(len(found)))
+        ends += (cuts[:-1] - np.r_[0, ends][first])[group]
+        # Byte by byte, in the groups of the right size.
+        spelled = self.bytes_of(ids)
+        given = gather(data, cuts[:-1][right], np.diff(cuts)[right])
+        if len(given) and not np.array_equal(spelled, given):
+            owner = np.repeat(np.flatnonzero(right), np.diff(cuts)[right])
+            right[owner[spelled != given]] = False
+        of = np.searchsorted(edges, np.arange(n), side="right") - 1
+        last = np.searchsorted(ends, places[1:], side="right") - 1
+        meets = (last >= 0) & (np.r_[ends, -1][last] == places[1:])
+        right[of[~meets]] = False
+        counts = np.diff(np.r_[0, np.where(last >= 0, last + 1, 0)]) * right[of]
+        return ids[right[group]], counts, right[of]
 
 
 def _byte_letters() -> dict[str, int]:
