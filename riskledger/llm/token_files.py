@@ -6,9 +6,12 @@ the stream as one Arrow file (a stream of record batches with an index behind it
 batch is one sequence:
 
     ids        fixed_size_list<uint16 or uint32>[length]   the narrowest type for the vocabulary
-    mask       fixed_size_list<uint8>[length]              0 padding, 1 token, 3 a document's last
+    mask       fixed_size_list<bool>[length]               whether it is a token or padding
+    last       fixed_size_list<bool>[length]               whether it is a document's last token
     documents  list<int64>                                 doc_ids whose last token is in this row
 
+Masks are packed, a bit a token.
+
 All batches but the last have the same number of rows and nothing is compressed, so sequence i
 is row i % rows of batch i // rows: ``TokenFile`` maps the file and returns views of the mapped
 memory, without a copy. A task's last sequence is padded; documents go on from row to row and
@@ -48,7 +51,6 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 LENGTH = 2048
 ROWS = 128
 END_ID = 2
-PADDING, TOKEN, LAST = 0, 1, 3
 #: Bytes of text whose distinct segments are encoded together.
 BLOCK_BYTES = 4 << 20
 
@@ -66,7 +68,8 @@ def schema_of(length: int, ids: pa.DataType) -> pa.Schema:
     return pa.schema(
         [
             ("ids", pa.list_(ids, length)),
-            ("mask", pa.list_(pa.uint8(), length)),
+            ("mask", pa.list_(pa.bool_(), length)),
+            ("last", pa.list_(pa.bool_(), length)),
             ("documents", pa.list_(pa.int64())),
         ]
     )
@@ -80,7 +83,7 @@ class _Writer:
         self.name = f"part-{part:06d}-{uuid.uuid4().hex}.arrow"
         self.schema, self.length, self.rows = schema, length, rows
         self.dtype = schema.field("ids").type.value_type.to_pandas_dtype()
-        self.ids, self.mask = [], []  # not yet written, with self.waiting ids in all
+        self.ids = []  # not yet written, self.waiting ids in all
         self.documents, self.ends = [], []  # their doc_ids, and where each ends in what waits
         self.waiting = self.sequences = self.tokens = self.n_documents = 0
         self.sink = None
@@ -88,10 +91,7 @@ class _Writer:
     def add(self, doc_ids: np.ndarray, known: np.ndarray, ids: np.ndarray, sizes: np.ndarray):
         """Whole documents: their ids one after the other, and how many each has."""
         ends = np.cumsum(sizes)
-        mask = np.full(len(ids), TOKEN, np.uint8)
-        mask[ends - 1] = LAST
         self.ids.append(ids.astype(self.dtype))
-        self.mask.append(mask)
         self.ends.append(ends + self.waiting)
         self.documents.append(pa.array(doc_ids, pa.int64(), mask=~known))
         self.waiting += len(ids)
@@ -106,19 +106,19 @@ class _Writer:
             self.fs.create_dir(self.folder, recursive=True)
             self.sink = self.fs.open_output_stream(f"{self.folder}/{self.name}")
             self.file = pa.ipc.new_file(self.sink, self.schema)
-        ids, mask, ends = (np.concatenate(x) for x in (self.ids, self.mask, self.ends))
+        ids, ends = (np.concatenate(x) for x in (self.ids, self.ends))
         documents = pa.concat_arrays(self.documents)
         n = sequences * self.length
         ready = int(np.searchsorted(ends, n, side="right"))
-        self.ids, self.mask, self.ends = [ids[n:]], [mask[n:]], [ends[ready:] - n]
+        self.ids, self.ends = [ids[n:]], [ends[ready:] - n]
         self.waiting, self.documents = max(0, len(ids) - n), [documents[ready:]]
-        if len(ids) < n:
-            gap = n - len(ids)
-            ids, mask = np.r_[ids, np.zeros(gap, ids.dtype)], np.r_[mask, np.zeros(gap, np.uint8)]
+        mask, last = np.arange(n) < len(ids), np.zeros(n, bool)
+        last[ends[:ready] - 1] = True
+        ids = np.r_[ids[:n], np.zeros(n - min(n, len(ids)), ids.dtype)]
         bounds = np.searchsorted(ends[:ready], np.arange(sequences + 1) * self.length, side="right")
         listed = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), documents[:ready])
         fields = [
-            pa.FixedSizeListArray.from_arrays(pa.array(x[:n]), self.length) for x in (ids, mask)
+            pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask, last)
         ]
         batch = pa.record_batch([*fields, listed], schema=self.schema)
         for at in range(0, sequences, self.rows):
@@ -233,21 +233,17 @@ class TokenFile:
     def __len__(self) -> int:
         return self.sequences
 
-    def batch(self, k: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-        """Ids and mask of a batch, as views of one row per sequence, and its documents."""
-        batch = self.file.get_batch(k)
-        ids, mask = (
-            batch.column(c).values.to_numpy(zero_copy_only=True).reshape(-1, self.length)
-            for c in ("ids", "mask")
-        )
-        return ids, mask, batch.column("documents")
-
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence ``i``, as views of the file."""
+    def batch(self, k: int) -> pa.RecordBatch:
+        """Batch ``k``, in the memory of the file."""
+        return self.file.get_batch(k)
+
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and (packed) mask of sequence ``i``, as views of the file."""
         if not 0 <= i < self.sequences:
             raise IndexError(i)
-        ids, mask, _ = self.batch(i // self.rows)
-        return ids[i % self.rows], mask[i % self.rows]
+        batch, at = self.batch(i // self.rows), i % self.rows * self.length
+        ids, mask = (batch.column(c).values.slice(at, self.length) for c in ("ids", "mask"))
+        return ids.to_numpy(zero_copy_only=True), mask
 
     def tokens(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from place ``start`` of the file on, over as many sequences as that takes."""
@@ -259,14 +255,16 @@ class TokenFile:
         """(doc_id, ids, CRC-32 of the ids as 32-bit integers) of every document, in order."""
         crc = size = 0
         for k in range(self.file.num_record_batches):
-            ids, mask, owners = self.batch(k)
-            ids, mask = ids.reshape(-1).astype("<u4"), mask.reshape(-1)
-            at = 0
-            for owner, end in zip(owners.flatten().to_pylist(), np.flatnonzero(mask == LAST).tolist()):
+            batch = self.batch(k)
+            ids, mask, last = (
+                batch.column(c).values.to_numpy(zero_copy_only=False) for c in ("ids", "mask", "last")
+            )
+            ids, owners, at = ids.astype("<u4"), batch.column("documents").flatten(), 0
+            for owner, end in zip(owners.to_pylist(), np.flatnonzero(last).tolist()):
                 yield owner, size + end + 1 - at, zlib.crc32(ids[at : end + 1], crc)
                 crc = size = 0
                 at = end + 1
-            to = int(np.count_nonzero(mask != PADDING))
+            to = int(np.count_nonzero(mask))
             if to > at:
                 crc, size = zlib.crc32(ids[at:to], crc), size + to - at
 
