@@ -52,7 +52,7 @@ from riskledger.llm.storage import Scratch
 FIRST = "/opt/tokenizers/byte_bpe_50k.json"
 SECOND = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text in a block.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 19
 #: Bits of the second tokenizer's id in the number of a pair.
 SHIFT = 32
 
@@ -258,7 +258,8 @@ def alignments(
                     }
                 )
                 number += 1
-            release_memory()
+                del found, codes, held, bounds
+                release_memory()
 
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return scratch.write("documents", source.mapInArrow(run, _DOCUMENTS))
