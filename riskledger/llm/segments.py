@@ -24,20 +24,24 @@ from riskledger.llm.blocks import Block
 from riskledger.llm.storage import bound_batches
 
 #: Bytes that a library encodes as one text.
-JOINED_BYTES = 1500
+JOINED_BYTES = 800
 #: Segments that a worker remembers from block to block, and the longest it remembers.
-KEPT, KEPT_BYTES = 200_000, 40
+KEPT, KEPT_BYTES = 400_000, 40
 
 #: ASCII characters that are neither white space nor control characters.
 _SOLID = np.zeros(256, dtype=bool)
 _SOLID[0x21:0x7F] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 
-def borders(block: Block, before: bytes = b" ") -> np.ndarray:
+def borders(block: Block, before: bytes = b" ", marks: bytes = b"") -> np.ndarray:
     """Places where segments begin, and the end of the block; texts always begin one.
 
     A segment begins at a byte of ``before`` that follows a printable ASCII character or a
     two-byte character from U+00C0 on: none of these is white space in any vocabulary's eyes.
+    With ``marks``, also at one of these bytes that follows an ASCII letter (for vocabularies
+    that never join the two).
     """
     data = block.data
     solid = _SOLID[data]
@@ -46,6 +50,10 @@ def borders(block: Block, before: bytes = b" ") -> np.ndarray:
     begins = np.zeros(256, dtype=bool)
     begins[list(before)] = True
     cut[1:-1] = begins[data[1:]] & solid[:-1]
+    if marks:
+        mark = np.zeros(256, dtype=bool)
+        mark[list(marks)] = True
+        cut[1:-1] |= mark[data[1:]] & _LETTER[data[:-1]]
     cut[block.offsets] = True
     return np.flatnonzero(cut)
 

@@ -51,6 +51,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 LENGTH = 2048
 ROWS = 128
 END_ID = 2
+#: Marks that a byte-level vocabulary never joins to a letter before them.
+MARKS = b".,;:!?"
 #: Bytes of text whose distinct segments are encoded together.
 BLOCK_BYTES = 4 << 20
 
@@ -200,7 +202,7 @@ def write_tokens(
 
 def encode_block(encoder: ByteLevel, block, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the block's texts, each closed by ``end_id``, and how many each text has."""
-    places = borders(block, b" \n")
+    places = borders(block, b" \n", MARKS)
     which, segments = distinct(block.data, places)
     ids, bounds, right = encoder.encode(segments)
     if not right.all():
