@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskledger.functions.risk_rules import POST_TXN, PRE_TXN, score_of
+from riskledger.models.scaling import PopulationScaler
 
 # Label, key and features, in order.
 LABEL = "is_fraud"
@@ -179,12 +180,9 @@ def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     return counts.select(label, "n", (total / (F.lit(2.0) * F.col("n"))).alias("class_weight"))
 
 
-def numeric_scaling() -> list:
-    return [
-        # Fitting sees complete rows only; prediction leaves the others without a figure.
-        VectorAssembler(inputCols=NUMERIC_FEATURES, outputCol="numeric", handleInvalid="keep"),
-        StandardScaler(inputCol="numeric", outputCol="scaled", withMean=True, withStd=True),
-    ]
+def numeric_scaling() -> PopulationScaler:
+    """Fitting sees complete rows only; prediction leaves the others without a figure."""
+    return PopulationScaler(inputCols=NUMERIC_FEATURES, outputCol="scaled")
 
 
 def category_encoding() -> list:
@@ -205,26 +203,23 @@ def category_encoding() -> list:
 
 def preprocessing() -> Pipeline:
     slots = [f"{c}_slots" for c in CATEGORICAL_FEATURES]
+    # The assembler asks the first row for a size that is not declared; a stream has none.
+    size = VectorSizeHint(
+        inputCol="scaled", size=len(NUMERIC_FEATURES), handleInvalid="optimistic"
+    )
     assembled = VectorAssembler(inputCols=["scaled", *slots], outputCol="features")
-    return Pipeline(stages=[*numeric_scaling(), *category_encoding(), assembled])
+    return Pipeline(stages=[numeric_scaling(), size, *category_encoding(), assembled])
 
 
 def standardised_numerics(features: DataFrame) -> DataFrame:
     """Each numeric feature as a z-score with the population deviation.
 
-    The fitted scaler divides by the sample deviation; the factor between the two
-    depends on the row count alone. Fitting passes over ``features`` again, so give it a
-    stored table. A single row has deviation zero and z-scores of zero.
+    The same stage as in the fitted models. Fitting passes over ``features`` again, so give it
+    a stored table. A single row has deviation zero and z-scores of zero.
     """
     features = complete(features)
-    model = Pipeline(stages=numeric_scaling()).fit(features)
-    n = features.count()
-    factor = F.lit((n / (n - 1)) ** 0.5 if n > 1 else 1.0)
-    scaled = model.transform(features).withColumn("z", vector_to_array("scaled"))
-    return scaled.select(
-        KEY,
-        *[(F.col("z")[i] * factor).alias(f"z_{c}") for i, c in enumerate(NUMERIC_FEATURES)],
-    )
+    scores = numeric_scaling().fit(features).z_scores()
+    return features.select(KEY, *[z.alias(f"z_{c}") for z, c in zip(scores, NUMERIC_FEATURES)])
 
 
 def category_slots(features: DataFrame) -> DataFrame:

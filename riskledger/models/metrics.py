@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -153,8 +154,8 @@ def roc_auc(df: DataFrame, scores: Mapping[str, str], label: str = "is_fraud") -
 
     ``scores`` maps a scorer's name to its column. Rows are first counted per scorer and
     score (rule scores take at most a few hundred integer values), so the ordered running
-    sum sees that many rows and no more. Ties count half. For continuous model scores use
-    the distributed evaluator in ``training``.
+    sum sees that many rows and no more. Ties count half. ``roc_auc_scores`` is for
+    continuous scores.
     """
     pairs = F.array(
         *[
@@ -178,3 +179,74 @@ def roc_auc(df: DataFrame, scores: Mapping[str, str], label: str = "is_fraud") -
         .groupBy("scorer")
         .agg(F.try_divide(F.sum("wins"), all_pairs).alias("roc_auc"))
     )
+
+
+def roc_auc_scores(
+    df: DataFrame, scores: Mapping[str, str], label: str = "is_fraud", parts: int = 200
+) -> DataFrame:
+    """Exact areas under the ROC curves of any scores, of all scorers at once.
+
+    Quantiles cut each scorer's scores into ranges; scores and labels are shuffled once, by
+    range, and ranked inside their range. A range adds the pairs won inside it and, for each of
+    its positives, all negatives of lower ranges: running sums over at most 2 x ``parts`` rows a
+    scorer. A score that many rows share (it is several quantiles) is a range of its own, whose
+    rows are only counted, so no task receives them. Ties count half; rows without a score are
+    left out, a scorer without both classes has no area.
+    """
+    shares = [k / parts for k in range(1, parts)]
+    # At most ``parts`` numbers per scorer.
+    quantiles = df.agg(
+        *[F.percentile_approx(F.col(c).cast("double"), shares, 100 * parts) for c in scores.values()]
+    ).first()
+    wide, structs = df, []
+    for i, (name, column) in enumerate(scores.items()):
+        own = quantiles[i] or [0.0]
+        cuts, shared = sorted(set(own)), sorted({x for x in own if own.count(x) > 1})
+        wide = wide.withColumn(f"__score_{i}", F.col(column).cast("double"))
+        wide = Bucketizer(
+            splits=[-float("inf"), *cuts, float("inf")],
+            inputCol=f"__score_{i}",
+            outputCol=f"__range_{i}",
+            handleInvalid="keep",
+        ).transform(wide)
+        score = F.col(f"__score_{i}")
+        is_shared = score.isin(shared) if shared else F.lit(False)
+        structs.append(
+            F.struct(
+                F.lit(name).alias("scorer"),
+                score.alias("score"),
+                # Of equal quantile, the shared score comes before those above it.
+                (F.col(f"__range_{i}").cast("int") * 2 + (~is_shared).cast("int")).alias("range"),
+                is_shared.alias("shared"),
+            )
+        )
+    rows = (
+        wide.filter(F.col(label).isNotNull())
+        .select((F.col(label) == 1).alias("positive"), F.inline(F.array(*structs)))
+        .filter("score IS NOT NULL")
+    )
+    positives, negatives = F.count_if("positive"), F.count_if(~F.col("positive"))
+    below = F.sum("negatives").over(W.partitionBy("scorer", "range").orderBy("score"))
+    ranked = (
+        rows.filter("NOT shared")
+        .repartition("scorer", "range")
+        .groupBy("scorer", "range", "score")
+        .agg(positives.alias("positives"), negatives.alias("negatives"))
+        .withColumn("wins", F.col("positives") * (below - F.col("negatives") / F.lit(2.0)))
+        .groupBy("scorer", "range")
+        .agg(*[F.sum(c).alias(c) for c in ("positives", "negatives", "wins")])
+    )
+    counted = (
+        rows.filter("shared")
+        .groupBy("scorer", "range")
+        .agg(positives.alias("positives"), negatives.alias("negatives"))
+        .withColumn("wins", F.col("positives") * F.col("negatives") / F.lit(2.0))
+    )
+    lower = F.sum("negatives").over(W.partitionBy("scorer").orderBy("range")) - F.col("negatives")
+    all_pairs = F.sum("positives").cast("double") * F.sum("negatives")
+    return (
+        ranked.unionByName(counted)
+        .withColumn("wins", F.col("wins") + F.col("positives").cast("double") * lower)
+        .groupBy("scorer")
+        .agg(F.try_divide(F.sum("wins"), all_pairs).alias("roc_auc"))
+    )

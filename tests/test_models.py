@@ -9,7 +9,8 @@ from riskledger.session import shared_root
 
 #: Ensembles that show the mechanics; the registered queries fit the full sizes.
 SMALL = mt.ModelSizes(
-    trees=10, tree_depth=5, boost_rounds=5, boost_depth=3, logistic_iterations=50
+    trees=10, tree_depth=5, boost_rounds=5, boost_depth=3, logistic_iterations=50,
+    second_order_rounds=2,
 )
 
 
@@ -231,6 +232,7 @@ def test_all_candidates_in_order(payments_clean):
         "Logistic Regression",
         "Random Forest",
         "Gradient Boosted Trees",
+        "Second-Order Boosted Trees",
     ]
     best = max(result.comparison.collect(), key=lambda r: r.recall)
     assert result.best_name == best.model

@@ -211,7 +211,8 @@ def test_no_query_uses_a_cartesian_product_or_python(spark, sf_dir):
         "batch_predictions", "streamed_scores", "standardised_numerics", "category_slots",
         "feature_vectors", "logistic_regression", "random_forest", "gradient_boosted_trees",
         "model_confusion", "model_report", "quarantined_rows", "damaged_csv_counters",
-        "cached_slices",
+        "cached_slices", "fitted_metrics", "fitted_confusion", "fitted_report", "fitted_predictions",
+        "model_parameters", "table_predictions", "model_certificates", "second_order_boosting",
     }
     for name, query in QUERIES.items():
         if name in eager:
