@@ -101,3 +101,11 @@ def base_spans(text):
         if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
             found.append(("phone", *m.span()))
     return sorted(found, key=lambda s: (s[1], kinds.index(s[0])))
+
+
+def mirrored_words():
+    """Two words of 1,024 letters that swap a and b: powers of an odd base modulo 2^64 cancel."""
+    word = "abba"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
