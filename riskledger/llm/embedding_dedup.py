@@ -18,9 +18,9 @@ spanning forest of its links, never pairs. Counting the links of a group of near
 every pair of different vectors in it; these products are dense matrix products.
 
 Defined cases: a vector that is null, zero, or holds null or non-finite components links
-with nothing and is its own component, as does one whose length is not the most frequent
-one; rows with equal ids are one vector with several rows; a null id has a null component
-and is not kept; an empty table gives an empty result.
+with nothing and is its own component; vectors of different lengths do not link; rows with
+equal ids are one vector with several rows; a null id has a null component and is not kept;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -107,6 +107,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
     n = len(column)
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     vectors = flat.reshape(n, -1) if n else np.zeros((0, 1))
+    # The largest component first, as squares of large ones have no double.
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
@@ -207,24 +209,17 @@ def _rerank(tables, threshold: float):
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
-    """Finite, non-zero vectors with an id, of the most frequent length."""
+    """Finite, non-zero vectors with an id."""
     value = F.col("embedding")
     finite = F.forall(
         value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     )
-    good = vectors.select(
+    return vectors.select(
         F.col("vec_id").cast("bigint").alias("vec_id"), "embedding"
     ).filter(
         F.col("vec_id").isNotNull()
         & F.coalesce(finite & F.exists(value, lambda x: x != 0), F.lit(False))
     )
-    length = (
-        good.groupBy(F.size("embedding").alias("length"))
-        .count()
-        .orderBy(F.desc("count"), "length")
-        .first()
-    )
-    return good.filter(F.size("embedding") == (length["length"] if length else -1))
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -241,10 +236,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
             F.first("embedding").alias("embedding"),
         ),
     )
-    n = classes.count()
-    found = _links(classes, n, scratch, threshold) if n > 1 else None
-    if found is None:
-        found = spark.createDataFrame([], "a bigint, b bigint, n bigint")
+    # Vectors of different lengths have no cosine: each length has tables of its own. A length
+    # is a model's, so there are a few.
+    lengths = classes.groupBy(F.size("embedding").alias("length")).count().orderBy("length").collect()
+    found = spark.createDataFrame([], "a bigint, b bigint, n bigint")
+    for length, n in lengths:
+        if n > 1:
+            own = classes.filter(F.size("embedding") == length)
+            found = found.unionByName(_links(own, n, scratch, threshold, length))
     found = scratch.write("links", found)
     counts = found.filter(F.col("b").isNull()).groupBy("a").agg(F.sum("n").alias("others"))
     named = components(found.filter(F.col("b").isNotNull()), scratch, "component")
@@ -275,8 +274,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     return linked.unionByName(alone).unionByName(nameless).withColumn("kept", kept)
 
 
-def _links(classes: DataFrame, n: int, scratch: Scratch, threshold: float) -> DataFrame:
-    """(a, b, n): links of a spanning forest, and rows without b with numbers of links."""
+def _links(
+    classes: DataFrame, n: int, scratch: Scratch, threshold: float, length: int
+) -> DataFrame:
+    """(a, b, n) of the ``n`` classes, all of one length: links of a spanning forest, and rows without b with numbers of links."""
     spark = classes.sparkSession
     share = min(1.0, SAMPLE / n)
     drawn = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000) + 1
@@ -292,7 +293,7 @@ def _links(classes: DataFrame, n: int, scratch: Scratch, threshold: float) -> Da
         .groupBy("t", "key")
         .agg(F.count("*").alias("size"))
     )
-    hot = scratch.write("hot", sizes.filter(F.col("size") > CHUNK))
+    hot = scratch.write(f"hot-{length}", sizes.filter(F.col("size") > CHUNK))
     hot = broadcast_if_small(hot, hot.count(), 32)
     kind = data.schema["embedding"].dataType.simpleString()
     entries = data.mapInArrow(

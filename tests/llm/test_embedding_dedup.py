@@ -81,3 +81,26 @@ def test_tiny_tables(spark):
     assert [tuple(r) for r in ed.near_duplicates(table(spark, [(1, [1.0, 2.0])])).collect()] == [(1, 0, 1, True)]
     two = ed.near_duplicates(table(spark, [(4, [1.0, 2.0]), (3, [1.0, 2.0])]))
     assert sorted(map(tuple, two.collect())) == [(3, 1, 3, True), (4, 1, 3, False)]
+
+
+def test_each_length_links_among_itself(spark):
+    rnd = np.random.default_rng(8)
+    rows = [(i, rnd.normal(size=16).tolist()) for i in range(40)]
+    rows += [(100 + i, [1.0, 2.0 + 0.01 * i]) for i in range(3)] + [(200, [1.0, 2.0, 3.0])]
+    rows += [(300 + i, rnd.normal(size=8).tolist()) for i in range(20)] + [(320, [2.0, 4.0, 6.0])]
+    got = {r.vec_id: r for r in ed.near_duplicates(table(spark, rows)).collect()}
+    assert [got[100 + i].n_links for i in range(3)] == [2, 2, 2]
+    assert {got[100 + i].component_id for i in range(3)} == {100}
+    assert [(got[i].n_links, got[i].component_id) for i in (200, 320)] == [(1, 200)] * 2
+    for n in (16, 8):
+        own = [(i, np.array(v, np.float32).astype(float)) for i, v in rows if len(v) == n]
+        x = np.array([v / np.linalg.norm(v) for _, v in own])
+        wanted = (x @ x.T >= 0.9).sum(axis=1) - 1
+        assert [got[i].n_links for i, _ in own] == wanted.tolist()
+
+
+def test_large_components_have_no_square(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1.1e200]), (3, [1e-300, 1e-300]), (4, [1.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in ed.near_duplicates(df).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
