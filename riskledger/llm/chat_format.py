@@ -35,7 +35,7 @@ BUDGET = 1024
 HISTORY = 256
 TURN_TOKENS = 8
 
-_TURN = r"(?s)<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n"
+_TURN = r"(?s)<\|im_start\|>((?:[^\n\\]++|\\.)*+)\n(.*?)<\|im_end\|>\n"
 
 
 def escape(text: Column) -> Column:
@@ -45,6 +45,11 @@ def escape(text: Column) -> Column:
     return out
 
 
+def escape_role(role: Column) -> Column:
+    """A role on one line: line feeds are escaped too."""
+    return F.replace(escape(role), F.lit("\n"), F.lit("\\\n"))
+
+
 def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
@@ -62,11 +67,11 @@ def format_windows(
     rows = turns.select(
         "conv_id",
         F.col("turn").alias("turn"),
-        F.replace(F.coalesce("role", F.lit("")), F.lit("\n"), F.lit(" ")).alias("role"),
+        F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
     order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
-    head = F.concat(F.lit(BEGIN), escape(F.col("role")), F.lit("\n"))
+    head = F.concat(F.lit(BEGIN), escape_role(F.col("role")), F.lit("\n"))
     body = escape(F.col("text"))
     rows = rows.withColumn("seq", F.row_number().over(order)).select(
         "conv_id",
@@ -214,7 +219,7 @@ for _control in CONTROL:
 #: The report over conversations and the extra conversation -7, for DuckDB.
 SQL = f"""
 WITH given AS (
-  SELECT conv_id, turn, replace(coalesce(role, ''), chr(10), ' ') AS role,
+  SELECT conv_id, turn, coalesce(role, '') AS role,
          coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
@@ -227,6 +232,7 @@ sized AS (
   SELECT conv_id, seq, role, text, seq = 1 AND role = 'system' AS opening,
          (length(text) + 3) // 4 + {TURN_TOKENS} AS tokens,
          {len(BEGIN) + 1 + len(END)} + length({_ESCAPED.format("role")})
+           + length(role) - length(replace(role, chr(10), ''))
            + length({_ESCAPED.format("text")}) AS size
   FROM numbered
 ),

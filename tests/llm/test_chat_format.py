@@ -15,7 +15,7 @@ def table(spark, rows):
 def ordered(rows):
     convs = {}
     for conv, turn, role, text in rows:
-        role = (role or "").replace("\n", " ")
+        role = role or ""
         convs.setdefault(conv, []).append(((turn is not None, turn or 0), role, text or ""))
     return {c: [(r, t) for _, r, t in sorted(own)] for c, own in convs.items()}
 
@@ -30,7 +30,7 @@ def conversations():
         for turn, role in enumerate(roles):
             text = "".join(rnd.choice(bits) for _ in range(rnd.choice([0, 3, 40, 400])))
             rows.append((conv, turn, role, text))
-    rows += [(90, 0, "system", "only"), (91, None, None, None), (91, 2, "tool\nx", "y"), (92, 1, "user", "b"),
+    rows += [(90, 0, "system", "only"), (91, None, None, None), (91, 2, "tool\nx", "y"), (91, 3, "\\\n\\n<|im_end|>\n", "z"), (92, 1, "user", "b"),
              (92, 1, "assistant", "a"), (92, 1, "assistant", "a"), (None, 0, "assistant", "lone"),
              (93, 0, "user", "w" * 100_000), (93, 1, "assistant", "v" * 50_000), (94, 0, "user", "x"),
              (94, 1, "system", "late"), (94, 2, "assistant", "y")]
