@@ -13,7 +13,11 @@ similarity of at least ``PERCENT`` per cent. Every step below is exact:
    document that keeps less than ``PERCENT`` of its set has no partner.
 4. Linked documents share one of their rarest shingles (a prefix in order of frequency).
    Documents whose prefixes share a shingle form a cluster, named by the least id that has
-   the shingle; a document is in as many clusters as its prefix has such names.
+   the shingle; a document is in as many clusters as its prefix has such names. If a shared
+   shingle is the first that two documents share, what they share is at most what follows
+   it, which bounds the partner's size (``top``): a shingle none of whose documents can have
+   a partner of any size found there forms no cluster. Pages of one template that differ too
+   much to link are told apart by this, without comparing them.
 5. Each cluster is searched in groups of bounded size by T-occurrence search (DivideSkip):
    inverted lists of a document's shingles are divided into short ones, whose runs are
    merged and counted, and long ones, which are probed by binary search for candidates
@@ -21,7 +25,8 @@ similarity of at least ``PERCENT`` per cent. Every step below is exact:
    skipped, so a group yields links of a spanning forest, not all pairs.
 6. A cluster larger than a group is searched group by group; delegates of the components
    found then meet, level by level, and finally all documents outside the cluster's largest
-   component are searched against the whole cluster.
+   component are searched against those of the cluster whose sizes, in bands, lie between
+   their least partner's and ``top``.
 
 Sets are searched under numbers of their own, one row per distinct set, however many rows or
 ids have it and however many sets an id has.
@@ -38,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskledger.llm.blocks import NOT_SPACE, arrow_lists, blocks, mix, release_memory, words
@@ -53,6 +58,8 @@ GROUP = 512
 COMBINED = 3000
 #: Components of at least this size send that many delegates to the next level.
 DELEGATING, DELEGATES = 32, 8
+#: Bands of set sizes in the last step: the ratio of a band's ends.
+BAND = 1.05
 #: Steepness of the rule that divides short from long lists.
 MU = 0.0085
 
@@ -446,19 +453,39 @@ def _searchable(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
 
 
 def _clusters(found: DataFrame, scratch: Scratch, percent: int, rows: int) -> DataFrame:
-    """(cluster, id): documents whose rare prefixes share a shingle, of two or more."""
+    """(cluster, id, top): documents whose rare prefixes share a shingle, of two or more.
+
+    ``top`` is the largest set that a document can link with by the cluster's shingles.
+    """
     n, kept = F.col("n"), F.size("shingles")
     prefix = n - F.ceil(n * percent / 100) + 1 - (n - kept)
     shingles = F.slice("shingles", F.lit(1), prefix.cast("int"))
-    postings = found.select("id", F.explode(shingles).alias("s"))
+    after = kept - F.col("at")
+    top = F.least(
+        F.floor(n * 100 / percent), F.floor(after * (100 + percent) / percent) - n
+    ).cast("bigint")
+    postings = found.select("id", "n", "shingles", F.posexplode(shingles).alias("at", "s")).select(
+        "id", "n", top.alias("top"), "s"
+    )
     heads = scratch.write(
         "heads",
-        postings.groupBy("s").agg(F.min("id").alias("cluster"), F.count("*").alias("df"))
-        .filter("df > 1")
+        postings.groupBy("s")
+        .agg(
+            F.min("id").alias("cluster"),
+            F.count("*").alias("df"),
+            F.min("n").alias("least"),
+            F.max("top").alias("most"),
+        )
+        .filter("df > 1 AND least <= most")
         .drop("df"),
         20 * rows,
     )
-    return postings.join(heads, "s").select("cluster", "id").distinct()
+    return (
+        postings.join(heads, "s")
+        .filter("top >= least AND n <= most")
+        .groupBy("cluster", "id")
+        .agg(F.max("top").alias("top"))
+    )
 
 
 def near_duplicate_links(
@@ -512,9 +539,10 @@ def _finish_large(
     placed: DataFrame, links: DataFrame, scratch: Scratch, percent: int
 ) -> DataFrame:
     """``links`` and those of clusters that are larger than a group."""
-    placed = scratch.write("large", placed.select("unit", "cluster", "id", "n", "shingles"))
+    columns = ["unit", "cluster", "id", "n", "top", "shingles"]
+    placed = scratch.write("large", placed.select(*columns))
     rows = placed.count()
-    own = scratch.write("links-0", _links(placed.drop("cluster"), percent))
+    own = scratch.write("links-0", _links(placed.drop("cluster", "top"), percent))
     members = placed.drop("unit")
     level = 0
     while True:
@@ -546,7 +574,8 @@ def _finish_large(
         if more.isEmpty():
             break
         own = own.unionByName(more)
-    # Whoever is outside the largest component of the cluster is compared with all of it.
+    # Whoever is outside the largest component of the cluster is compared with those of the
+    # cluster that have a fitting size.
     largest = scratch.write(
         "largest",
         part.groupBy("cluster").agg(
@@ -556,33 +585,64 @@ def _finish_large(
         ),
         rows // GROUP,
     )
+    sides = labelled.join(largest.filter("inside < all"), "cluster").withColumn("band", _band("n"))
+    bands = scratch.write(
+        "bands",
+        sides.groupBy("cluster", "band").agg(
+            F.count("*").alias("listed"), F.max("top").alias("most")
+        ),
+    )
+    lowest = F.ceil(F.col("n") * percent / 100)
+    reached = F.sequence(_band(lowest), F.greatest(_band(lowest), _band("top")))
+    asking = sides.filter((F.col("joined") != F.col("main")) & (F.col("top") >= lowest))
+    asked = scratch.write(
+        "asked",
+        asking.select("cluster", "id", "n", F.explode(reached).alias("band"))
+        .join(bands, ["cluster", "band"])
+        .filter("n <= most")
+        .select("cluster", "band", "id"),
+    )
     half = GROUP // 2
-    sides = labelled.join(largest, "cluster").filter("inside < all").withColumns(
-        {
-            "rows": F.ceil((F.col("all") - F.col("inside")) / half),
-            "columns": F.ceil(F.col("all") / half),
-        }
+    cells = scratch.write(
+        "cells",
+        asked.groupBy("cluster", "band")
+        .agg(F.count("*").alias("asked"))
+        .join(bands, ["cluster", "band"])
+        .select(
+            "cluster",
+            "band",
+            F.ceil(F.col("asked") / half).alias("rows"),
+            F.ceil(F.col("listed") / half).alias("columns"),
+        ),
     )
-    columns = ["cluster", "id", "n", "shingles", "joined"]
+    columns = ["cluster", "band", "id", "n", "shingles", "joined"]
 
     def spread(number: str):
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(number) - 1))
 
     place = F.pmod(F.xxhash64("id"), F.col("rows")), F.pmod(F.xxhash64("id"), F.col("columns"))
-    asked = sides.filter("joined <> main").select(
-        *columns, F.lit(True).alias("asked"), place[0].alias("r"), spread("columns").alias("c")
+    left = (
+        asked.join(cells, ["cluster", "band"])
+        .join(sides.drop("band"), ["cluster", "id"])
+        .select(*columns, F.lit(True).alias("asked"), place[0].alias("r"), spread("columns").alias("c"))
     )
-    listed = sides.select(
+    right = sides.join(cells, ["cluster", "band"]).select(
         *columns, F.lit(False).alias("asked"), spread("rows").alias("r"), place[1].alias("c")
     )
     # A document may be on both sides of one square; the asked copy counts.
-    square = asked.unionByName(listed).select(
-        F.xxhash64("cluster", "r", "c").alias("unit"), "id", "n", "shingles", "asked", "joined"
+    square = left.unionByName(right).select(
+        F.xxhash64("cluster", "band", "r", "c").alias("unit"),
+        "id", "n", "shingles", "asked", "joined",
     )
     last = scratch.write("links-outside", _links(square, percent))
     return links.unionByName(own).unionByName(last)
 
 
+def _band(size: str | Column) -> Column:
+    size = F.col(size) if isinstance(size, str) else size
+    return F.floor(F.log(size.cast("double")) / float(np.log(BAND)))
+
+
 def _label(
     members: DataFrame, links: DataFrame, scratch: Scratch, name: str, rows: int
 ) -> DataFrame:

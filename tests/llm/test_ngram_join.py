@@ -63,6 +63,47 @@ def test_equals_all_pairs(documents, monkeypatch, group):
     assert result(nj.near_duplicates(documents(rows))) == expected_of(rows)
 
 
+def pages_of_a_template(seed, rows, fields, cities, words=30):
+    """Pages of one template with 0 to ``fields`` of their words replaced, some by shared ones."""
+    rnd = random.Random(seed)
+    page = [rnd.choice(WORDS) for _ in range(words)]
+    found = []
+    for i in range(rows):
+        text = page[:]
+        for k in range(rnd.randint(0, fields)):
+            at = 7 + 9 * k
+            text[at % words] = f"city{rnd.randrange(cities)}" if rnd.random() < 0.5 else f"id{i}x{k}"
+        found.append((i, " ".join(text + [f"end{i}"] * rnd.randint(0, 1))))
+    return found
+
+
+@pytest.mark.parametrize("group", [512, 16])
+@pytest.mark.parametrize("fields, cities, words", [(1, 5, 30), (2, 40, 40), (3, 4, 90), (3, 60, 60)])
+def test_templates_equal_all_pairs(documents, monkeypatch, group, fields, cities, words):
+    monkeypatch.setattr(nj, "GROUP", group)
+    monkeypatch.setattr(nj, "DELEGATING", 6)
+    rows = pages_of_a_template(fields, 200, fields, cities, words)
+    assert result(nj.near_duplicates(documents(rows))) == expected_of(rows)
+
+
+def test_pages_that_differ_too_much_form_no_cluster(spark, documents):
+    rnd = random.Random(4)
+    page = [rnd.choice(WORDS) for _ in range(31)]
+    rows = [(i, " ".join([*page[:15], f"id{i}", *page[16:]])) for i in range(300)]
+    docs = documents(rows)
+    scratch = nj.Scratch(spark, "template")
+    named = docs.select("doc_id", "text").withColumnRenamed("doc_id", "id")
+    profiles = docs.select("doc_id", "text").mapInArrow(
+        nj._profiles(5, 75), "doc_id bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>"
+    )
+    sets = named.join(
+        profiles.select(profiles["doc_id"].alias("id"), "d1", "d2"), "id"
+    ).mapInArrow(nj._whole_sets(5), "id bigint, n bigint, shingles array<bigint>")
+    found = scratch.write("found", nj._searchable(sets, scratch, 75))
+    assert found.count() == 300
+    assert nj._clusters(found, scratch, 75, 300).count() == 0
+
+
 def test_near_copies_with_negative_ids(spark, documents):
     rnd = random.Random(8)
     rows = []
