@@ -127,6 +127,28 @@ IS_APPROVED = "transaction_status = 'Approved'"
 IS_FRAUD = "is_fraud = 1"
 IS_CHARGEBACK = "is_chargeback = 1"
 
+# Weeks are joined with the four weeks before them.
+SPIKES = """weeks AS (
+  SELECT merchant_id,
+         CAST(floor(date_diff('day', DATE '1970-01-01', CAST(transaction_datetime AS DATE)) / 7)
+              AS BIGINT) AS window_number,
+         COUNT(*) AS payments, COUNT(*) FILTER (WHERE is_fraud = 1) AS frauds
+  FROM txn WHERE transaction_datetime IS NOT NULL AND is_fraud IS NOT NULL
+  GROUP BY ALL),
+pasts AS (
+  SELECT w.merchant_id, w.window_number, w.payments, w.frauds,
+         SUM(p.payments) AS past_payments, SUM(p.frauds) AS past_frauds
+  FROM weeks w JOIN weeks p ON p.merchant_id IS NOT DISTINCT FROM w.merchant_id
+    AND p.window_number BETWEEN w.window_number - 4 AND w.window_number - 1
+  GROUP BY ALL),
+spikes AS (
+  SELECT merchant_id, window_number,
+         strftime(DATE '1970-01-01' + CAST(7 * window_number AS INT), '%Y-%m-%d') AS window_start,
+         payments, frauds,
+         ROUND(100.0E0 * frauds / payments, 2) AS fraud_rate_pct,
+         ROUND(100.0E0 * past_frauds / past_payments, 2) AS past_fraud_rate_pct
+  FROM pasts WHERE frauds >= 3 AND frauds * past_payments >= 2 * past_frauds * payments)"""
+
 
 def n(condition: str, name: str) -> str:
     return f"COUNT(*) FILTER (WHERE {condition}) AS {name}"
@@ -634,6 +656,8 @@ SQL: dict[str, str] = {
     "raw_outcome_rates": f"""{RAW} SELECT {TOTAL}, {rate(IS_FRAUD, "fraud_rate_pct")},
         {rate(IS_CHARGEBACK, "chargeback_rate_pct")} FROM raw""",
     "streamed_scores": f"{SCORED} SELECT * FROM scored",
+    "spike_alerts": f"{TXN}, {SPIKES} SELECT * FROM spikes",
+    "streamed_spike_alerts": f"{TXN}, {SPIKES} SELECT * FROM spikes",
     # Model preparation and evaluation.
     "model_feature_rows": f"""{IN_FLIGHT_FEATURES}
         SELECT transaction_id, {", ".join(NUMERICS + CATEGORIES)}, is_fraud FROM features""",

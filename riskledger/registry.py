@@ -15,6 +15,7 @@ from riskledger.models import features as mf
 from riskledger.models import metrics as mm
 from riskledger.models import training as mt
 from riskledger.operators import cleaning, merchants, quality, scoring, slices
+from riskledger.operators import spikes as sp
 from riskledger.operators.ranking import first_rows
 from riskledger.plans import batch, marts, questions
 from riskledger.plans.rollup import kpi_rollup
@@ -39,6 +40,7 @@ from riskledger.sinks import (
 )
 from riskledger.sources import payments_from_events, read_payments_csv, scan_payments_csv
 from riskledger.streaming.payments import read_payment_stream, write_stream
+from riskledger.streaming.spikes import current_spikes, write_window_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -491,6 +493,22 @@ def streamed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates_as_text(spark.read.parquet(out).drop("batch"))
 
 
+def spike_alerts(df: DataFrame) -> DataFrame:
+    found = sp.spikes(sp.window_counts(df))
+    return found.withColumn("window_start", F.col("window_start").cast("string"))
+
+
+def streamed_spike_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``spike_alerts`` of payments that arrive as files in no order of time."""
+    arriving = temporary_folder(spark, "arriving")
+    raw(spark, sf_dir).repartition(8).write.parquet(arriving)
+    out = temporary_folder(spark, "stream") + "/counts"
+    stream = read_payment_stream(spark, arriving, files_per_batch=3)
+    write_window_counts(stream, out).awaitTermination()
+    found = current_spikes(spark, out)
+    return found.withColumn("window_start", F.col("window_start").cast("string"))
+
+
 QUERIES: dict[str, Query] = {
     # Sources, sinks and tables.
     "csv_scan": csv_scan,
@@ -628,4 +646,6 @@ QUERIES: dict[str, Query] = {
     "model_certificates": model_certificates,
     "second_order_boosting": second_order_boosting,
     "streamed_scores": streamed_scores,
+    "spike_alerts": over(txn, spike_alerts),
+    "streamed_spike_alerts": streamed_spike_alerts,
 }

@@ -213,6 +213,7 @@ def test_no_query_uses_a_cartesian_product_or_python(spark, sf_dir):
         "model_confusion", "model_report", "quarantined_rows", "damaged_csv_counters",
         "cached_slices", "fitted_metrics", "fitted_confusion", "fitted_report", "fitted_predictions",
         "model_parameters", "table_predictions", "model_certificates", "second_order_boosting",
+        "streamed_spike_alerts",
     }
     for name, query in QUERIES.items():
         if name in eager:
