@@ -5,11 +5,15 @@ Parquet table. Copies are recognised by a digest of the raw row: within the batc
 anti-join against the digests stored for the same days. So no row is ever too late, memory
 does not grow with the stream, and the result does not depend on how files fall into
 batches. A batch that runs again after a failure replaces its own part of the table.
+
+Digests lie in a folder per day and batch. A batch lists and reads the folders of its own days
+only, so what it reads grows with the payments of those days, not with the stream. The driver
+holds the days of one batch, a few bytes for each day of the calendar that it touches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +23,12 @@ from pyspark.sql.streaming import StreamingQuery
 from riskledger.operators.cleaning import repair_and_derive
 from riskledger.operators.scoring import score_transactions
 from riskledger.schema import RAW_COLUMNS, RAW_SCHEMA
-from riskledger.session import shared_folder
+from riskledger.session import folder_exists, shared_folder
 
 BATCH, ROW_KEY, DAY = "batch", "row_key", "row_day"
 KEY_SCHEMA = f"{ROW_KEY} STRING, {DAY} DATE, {BATCH} BIGINT"
+#: How Spark names the folder of a null.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_payment_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -38,21 +44,35 @@ def scored_payments(raw: DataFrame) -> DataFrame:
     return score_transactions(repair_and_derive(raw))
 
 
+def stored_digests(spark: SparkSession, keys: str, days: Iterable[str | None]) -> DataFrame:
+    """(row_key, row_day, batch) of the given days, null for payments without a time."""
+    folders = [f"{keys}/{DAY}={NO_DAY if day is None else day}" for day in days]
+    folders = [folder for folder in folders if folder_exists(spark, folder)]
+    if not folders:
+        return spark.createDataFrame([], KEY_SCHEMA)
+    return spark.read.schema(KEY_SCHEMA).option("basePath", keys).parquet(*folders)
+
+
+def store_digests(rows: DataFrame, number: int, keys: str) -> None:
+    """Write a batch's digests, in place of those it wrote before a failure."""
+    (
+        rows.select(ROW_KEY, DAY, F.lit(number).cast("bigint").alias(BATCH))
+        .hint("rebalance", DAY)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY, BATCH)
+        .parquet(keys)
+    )
+
+
 def not_seen(batch: DataFrame, number: int, keys: str) -> DataFrame:
     """Rows of a batch with their digest and day, without copies and rows of other batches."""
-    spark = batch.sparkSession
     cells = F.to_json(F.struct(*RAW_COLUMNS), {"ignoreNullFields": "false"})
-    new = batch.withColumns(
-        {ROW_KEY: F.sha2(cells, 256), DAY: F.to_date("transaction_datetime")}
-    ).dropDuplicates([ROW_KEY])
-    days = new.select(F.col(DAY).alias("day")).distinct()
-    seen = (
-        spark.read.schema(KEY_SCHEMA)
-        .parquet(keys)
-        .filter(F.col(BATCH) != number)
-        .join(days, F.col(DAY).eqNullSafe(F.col("day")), "left_semi")
-    )
-    return new.join(seen, ROW_KEY, "left_anti")
+    day = F.to_date("transaction_datetime")
+    new = batch.withColumns({ROW_KEY: F.sha2(cells, 256), DAY: day}).dropDuplicates([ROW_KEY])
+    days = [row[0] for row in batch.select(day.cast("string")).distinct().collect()]
+    seen = stored_digests(batch.sparkSession, keys, days).filter(F.col(BATCH) != number)
+    return new.join(seen.select(ROW_KEY), ROW_KEY, "left_anti")
 
 
 def write_stream(
@@ -67,9 +87,6 @@ def write_stream(
     """
     spark = raw.sparkSession
     keys = f"{path}-keys"
-    spark.createDataFrame([], f"{ROW_KEY} STRING, {DAY} DATE").write.mode("overwrite").parquet(
-        f"{keys}/{BATCH}=-1"
-    )
 
     def append(batch: DataFrame, number: int) -> None:
         new = not_seen(batch, number, keys).persist(StorageLevel.MEMORY_AND_DISK)
@@ -77,7 +94,7 @@ def write_stream(
             shape(new.select(*RAW_COLUMNS)).write.mode("overwrite").parquet(
                 f"{path}/{BATCH}={number}"
             )
-            new.select(ROW_KEY, DAY).write.mode("overwrite").parquet(f"{keys}/{BATCH}={number}")
+            store_digests(new, number, keys)
         finally:
             new.unpersist()
 

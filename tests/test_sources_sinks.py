@@ -15,7 +15,13 @@ from riskledger.session import materialise, remove_folder, shared_folder, shared
 from riskledger.sinks import list_tables, replace_table, table_row_counts, write_csv
 from riskledger.sources import read_payments_csv, scan_payments_csv
 from riskledger.sources.events import padded_id
-from riskledger.streaming.payments import read_payment_stream, write_stream
+from riskledger.streaming.payments import (
+    not_seen,
+    read_payment_stream,
+    store_digests,
+    stored_digests,
+    write_stream,
+)
 
 
 def test_csv_as_a_plain_exporter_writes_it(spark, tmp_path):
@@ -216,6 +222,27 @@ def test_late_payments_are_not_lost(spark, arriving, tmp_path, files_per_batch):
     assert sorted(ids) == ["D1", "D10", "D2", "D20", "none"]
 
 
+def test_a_batch_reads_the_digests_of_its_own_days_only(spark, payments, tmp_path):
+    keys = str(tmp_path / "keys")
+
+    def day(n):
+        at = None if n is None else dt.datetime(2024, 3, n, 12)
+        return payments({"transaction_id": f"D{n}", "transaction_datetime": at})
+
+    for number, n in enumerate([1, 2, 3, None, 4]):
+        store_digests(not_seen(day(n), number, keys), number, keys)
+    for n, folder in [(2, "row_day=2024-03-02"), (None, "row_day=__HIVE_DEFAULT_PARTITION__")]:
+        files = stored_digests(spark, keys, [None if n is None else f"2024-03-0{n}"]).inputFiles()
+        assert files and all(f"/{folder}/" in f for f in files)
+        assert not_seen(day(n), 9, keys).isEmpty()
+    assert stored_digests(spark, keys, ["2024-03-09"]).isEmpty()
+    # Batch 1 runs again: its own digests do not count, and are replaced.
+    again = not_seen(day(2), 1, keys)
+    assert again.count() == 1
+    store_digests(again, 1, keys)
+    assert stored_digests(spark, keys, ["2024-03-02", "2024-03-03"]).count() == 2
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark, "x").startswith(named)
