@@ -95,11 +95,6 @@ def _forget(spark: SparkSession, path: str) -> None:
         remove_folder(spark, path)
 
 
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote, on whatever file system it is."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
