@@ -12,6 +12,12 @@ and so many tables are used that a pair at the threshold is missed with ``MISS``
 at most (closer pairs far less often); further rotations supply more bits where one code
 is too short. A pair is counted in the first table in which it meets.
 
+Vectors whose mean is far from the origin (``NEAR_ORIGIN``) would nearly all agree in the signs
+of their projections. Their codes are then cut at the mean, which makes the angles of pairs
+larger: tables are added until no more than ``MISS`` of pairs at the threshold, made from the
+quarter of the sample nearest the mean, meet in none. Where that takes more than ``MOST``
+times the tables, or costs more than the large buckets would, codes stay cut at the origin.
+
 Equal vectors are one class with a multiplicity. Buckets above ``CHUNK`` are cut into
 chunks, and pairs of chunks go to different tasks; a task returns sums per vector and a
 spanning forest of its links, never pairs. Counting the links of a group of near copies takes
@@ -46,13 +52,22 @@ BUCKET_BITS, LEAST_BITS = 6, 8
 #: Rows handed to a task at a time.
 UNIT_ROWS = 4000
 ROUNDS = 30
+#: Squared length of the mean of unit vectors up to which codes are cut at the origin.
+NEAR_ORIGIN = 0.05
+#: Bound of the tables of centred codes, as a multiple of those of balanced ones.
+MOST = 12
+#: Pairs made to measure misses, and vectors taken to estimate the sizes of buckets.
+PAIRS = 2000
+#: What a vector in a table costs, in products of two vectors.
+ENTRY_COST = 100
 
 
 @dataclass
 class Tables:
-    """Projections of all code bits, in table order, and the bits of a substring."""
+    """Projections of all code bits, in table order, where each is cut, and the bits of a substring."""
 
     planes: np.ndarray
+    cuts: np.ndarray
     bits: int
 
     @property
@@ -61,7 +76,7 @@ class Tables:
 
     def keys(self, vectors: np.ndarray) -> np.ndarray:
         """The substring of each vector in each table, as integers."""
-        signs = (vectors @ self.planes) >= 0
+        signs = (vectors @ self.planes) >= self.cuts
         weights = np.int64(1) << np.arange(self.bits, dtype=np.int64)
         return signs.reshape(len(vectors), self.count, self.bits) @ weights
 
@@ -94,10 +109,72 @@ def learn_rotation(sample: np.ndarray, seed: int, rounds: int = ROUNDS) -> np.nd
 
 
 def learn_tables(sample: np.ndarray, n: int, threshold: float = THRESHOLD) -> Tables:
-    bits, tables = plan_tables(n, threshold)
+    """Tables for ``n`` vectors, cut at the origin or, where that is cheaper, at the mean."""
+    bits, least = plan_tables(n, threshold)
     dim = sample.shape[1]
-    codes = [learn_rotation(sample, seed) for seed in range(-(-bits * tables // dim))]
-    return Tables(np.concatenate(codes, axis=1)[:, : bits * tables], bits)
+    codes = [learn_rotation(sample, seed) for seed in range(-(-bits * least // dim))]
+    planes = np.concatenate(codes, axis=1)[:, : bits * least]
+    balanced = Tables(planes, np.zeros(bits * least), bits)
+    middle = sample.mean(axis=0)
+    if middle @ middle <= NEAR_ORIGIN:
+        return balanced
+    centred = _centred_tables(sample, middle, bits, least, threshold)
+    if centred is None or _cost(centred, sample, n) >= _cost(balanced, sample, n):
+        return balanced
+    return centred
+
+
+def _pairs_at(
+    start: np.ndarray, sample: np.ndarray, threshold: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of ``start`` and partners at the threshold, apart in directions the sample varies in."""
+    rnd = np.random.default_rng(0)
+    x = start[rnd.integers(len(start), size=PAIRS)]
+    step = sample[rnd.integers(len(sample), size=PAIRS)]
+    step = step - sample[rnd.integers(len(sample), size=PAIRS)]
+    step -= (step * x).sum(axis=1, keepdims=True) * x
+    size = np.linalg.norm(step, axis=1, keepdims=True)
+    able = size[:, 0] > 1e-9
+    x, step = x[able], step[able] / size[able]
+    return x, threshold * x + math.sqrt(1 - threshold * threshold) * step
+
+
+def _centred_tables(
+    sample: np.ndarray, middle: np.ndarray, bits: int, least: int, threshold: float
+) -> Tables | None:
+    """Codes cut at the mean, with as many tables as the pairs need; None if ``MOST`` is not enough."""
+    moved = sample - middle
+    nearest = np.argsort(np.linalg.norm(moved, axis=1), kind="stable")[: -(-len(sample) // 4)]
+    x, y = _pairs_at(sample[nearest], sample, threshold)
+    if not len(x):
+        return None
+    planes = np.zeros((sample.shape[1], 0))
+    seed = count = 0
+    while count < MOST * least:
+        planes = np.concatenate([planes, learn_rotation(moved, seed)], axis=1)
+        seed += 1
+        count = min(planes.shape[1] // bits, MOST * least)
+        if count < least:
+            continue
+        own = planes[:, : count * bits]
+        tables = Tables(own, middle @ own, bits)
+        met = np.logical_or.accumulate(tables.keys(x) == tables.keys(y), axis=1).mean(axis=0)
+        enough = np.flatnonzero(met[least - 1 :] >= 1 - MISS)
+        if len(enough):
+            columns = (least + int(enough[0])) * bits
+            return Tables(own[:, :columns], tables.cuts[:columns], bits)
+    return None
+
+
+def _cost(tables: Tables, sample: np.ndarray, n: int) -> float:
+    """Products expected of ``n`` vectors, with what their entries cost."""
+    keys = tables.keys(sample[:PAIRS])
+    some = len(keys)
+    share = 0.0
+    for t in range(tables.count):
+        _, sizes = np.unique(keys[:, t], return_counts=True)
+        share += float((sizes * (sizes - 1)).sum()) / max(1, some * (some - 1))
+    return tables.count * n * ENTRY_COST + share * n * n / 2
 
 
 def _matrix(column: pa.Array) -> np.ndarray:

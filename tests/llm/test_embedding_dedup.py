@@ -68,6 +68,52 @@ def test_recall_at_the_threshold():
         assert meet.mean() >= 0.93
 
 
+def shifted(rnd, n, dim, cosine):
+    """Unit vectors whose mean cosine is about the given one."""
+    x = rnd.normal(size=(n, dim)) / np.sqrt(dim) * np.sqrt(1 - cosine)
+    x[:, 0] += np.sqrt(cosine)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("cosine", [0.2, 0.5, 0.7])
+def test_buckets_of_vectors_far_from_the_origin(cosine):
+    rnd = np.random.default_rng(4)
+    x = shifted(rnd, 20_000, 64, cosine)
+    tables = ed.learn_tables(x[:4000], len(x))
+    keys = tables.keys(x)
+    largest = max(np.bincount(keys[:, t]).max() for t in range(tables.count))
+    assert largest < 5 * len(x) / 2**tables.bits
+    # Partners at the threshold with differences of all directions, of vectors not in the sample.
+    y = rnd.normal(size=x.shape)
+    y -= (y * x).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    pair = 0.9 * x + np.sqrt(1 - 0.81) * y
+    assert (keys[4000:] == tables.keys(pair[4000:])).any(axis=1).mean() >= 0.9
+
+
+@pytest.mark.parametrize("kind", ["shifted", "clustered", "one cluster"])
+def test_recall_against_brute_force(spark, kind):
+    rnd = np.random.default_rng(5)
+    x = shifted(rnd, 400, 16, 0.5)
+    if kind == "clustered":
+        x = np.concatenate([shifted(rnd, 100, 16, 0.75) * rnd.choice([-1, 1], 16) for _ in range(4)])
+    if kind == "one cluster":
+        x[:300] = shifted(rnd, 300, 16, 0.88)
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(x)]
+    # Chains of partners a little above the threshold.
+    rows += [(1000 + i, (v + rnd.normal(0, 0.1, 16)).astype(np.float32).tolist()) for i, v in enumerate(x)]
+    got = sorted(map(tuple, ed.near_duplicates(table(spark, rows)).collect()), key=str)
+    wanted = expected(rows)
+    assert all(g[1] <= w[1] for g, w in zip(got, wanted))
+    assert sum(r[1] for r in got) >= 0.9 * sum(r[1] for r in wanted) > 0
+
+
+def test_vectors_all_at_the_mean(spark):
+    """Without spread, codes cut at the mean would be noise."""
+    rows = [(i, [1.0 * (i + 1)] * 16) for i in range(60)]
+    assert {r.n_links for r in ed.near_duplicates(table(spark, rows)).collect()} == {59}
+
+
 def test_codes_are_balanced():
     rnd = np.random.default_rng(3)
     x = rnd.normal(size=(3000, 32)) * np.linspace(3, 0.1, 32)
