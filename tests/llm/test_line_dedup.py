@@ -5,7 +5,7 @@ from riskledger.llm import line_dedup as ld
 
 def expected(rows, ratio, min_pages):
     hosts, seen = Counter(), defaultdict(Counter)
-    for _, text, _, host in rows:
+    for host, text in {(host, text) for _, text, _, host in rows}:
         hosts[host] += 1
         for line in {x.strip(" ") for x in (text or "").split("\n")} - {""}:
             seen[host][line] += 1
@@ -59,3 +59,23 @@ def test_empty_table_and_native_plan(documents):
     assert ld.line_report(documents([])).count() == 0
     plan = ld.line_report(documents(pages()))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_copies_keep_their_lines(documents):
+    """Copies that hold most of a host are one page; what stands on different texts goes."""
+    copied = "menu\na story told often\nits second line"
+    rows = [(i, copied, None, "a") for i in range(30)]
+    rows += [(100 + i, f"menu\nstory {i}", None, "a") for i in range(12)]
+    got = {r.doc_id: r.text for r in ld.line_report(documents(rows)).collect()}
+    assert {got[i] for i in range(30)} == {"a story told often\nits second line"}
+    assert [got[100 + i] for i in range(12)] == [f"story {i}" for i in range(12)]
+
+
+def test_columns_with_the_names_used_inside(documents):
+    docs = documents(pages())
+    plain = ld.drop_boilerplate(docs)
+    names = ["kept", "site", "boilerplate", "_kept", "lines", "host", "__kept", "__host", "__lines", "n_lines"]
+    clashing = docs.selectExpr("*", *[f"1 AS `{n}`" for n in names if n not in docs.columns])
+    cleaned = ld.drop_boilerplate(clashing)
+    assert cleaned.columns == clashing.columns
+    assert sorted(cleaned.select(*docs.columns).collect(), key=str) == sorted(plain.collect(), key=str)
