@@ -34,8 +34,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that stand on too many pages of their host.
 
-    Exact copies are pages too: a group that holds over a tenth of its host, five at least, is
-    left with empty texts, whose rows all pass the next stage.
+    Exact copies on a host are one page, so copies alone don't make their lines boilerplate.
     """
     return line_dedup.drop_boilerplate(docs)
 
