@@ -9,33 +9,50 @@ from riskledger.functions.measures import rate_pct, summarise
 from riskledger.operators.cleaning import has_valid_amount, has_valid_status, is_true
 
 
-def cleaning_counters(raw: DataFrame, quarantined: DataFrame | None = None) -> DataFrame:
-    """Rows removed by each cleaning step, in one pass over the raw rows.
+def cleaning_counters(
+    raw: DataFrame, quarantined: DataFrame | None = None, clean: DataFrame | None = None
+) -> DataFrame:
+    """Rows removed by each cleaning step.
 
     Raw rows are quarantined ones (which never became payments), duplicates, missing and
     invalid amounts, invalid statuses and clean rows; nothing else is lost. Statuses are
     judged among rows whose amount already passed, as the steps run in that order. Of the
     clean rows, ``incomplete_rows`` lack a number or a time and can't be used by models.
+
+    With the ``clean`` rows stored already, these are only counted: rows that pass were made
+    distinct when they were stored, and just those that fail are shuffled, to know their
+    copies. Without, all raw rows are made distinct here.
     """
-    copies = raw.groupBy(*raw.columns).agg(F.count("*").alias("copies"))
     amount = F.col("transaction_amount")
     amount_passes, status_passes = is_true(has_valid_amount()), is_true(has_valid_status())
-    clean = amount_passes & status_passes
+    passes = amount_passes & status_passes
     missing = amount.isNull() | F.isnan(amount)
     incomplete = F.col("transaction_datetime").isNull() | F.col("processor_response_ms").isNull()
-    held = quarantined.agg(F.count("*")).scalar() if quarantined is not None else F.lit(0)
-    return copies.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("readable_rows"),
-        (F.coalesce(F.sum("copies"), F.lit(0)) - F.count("*")).alias("duplicates_removed"),
+    judged = raw if clean is None else raw.filter(~passes)
+    found = judged.groupBy(*raw.columns).agg(F.count("*").alias("copies")).agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
+        F.count("*").alias("distinct_rows"),
         F.count_if(missing).alias("missing_amounts"),
         F.count_if(~missing & (amount <= 0)).alias("invalid_amounts"),
         F.count_if(amount_passes & ~status_passes).alias("invalid_statuses"),
-        F.count_if(clean).alias("clean_rows"),
-        F.count_if(clean & incomplete).alias("incomplete_rows"),
-    ).select(
-        (F.col("readable_rows") + held.cast("bigint")).alias("raw_rows"),
+        F.count_if(passes).alias("clean_rows"),
+        F.count_if(passes & incomplete).alias("incomplete_rows"),
+    )
+    if clean is not None:
+        stored = clean.agg(F.count("*")).scalar()
+        found = found.withColumns(
+            {
+                "rows": raw.agg(F.count("*")).scalar(),
+                "distinct_rows": F.col("distinct_rows") + stored,
+                "clean_rows": stored,
+                "incomplete_rows": clean.agg(F.count_if(incomplete)).scalar(),
+            }
+        )
+    held = quarantined.agg(F.count("*")).scalar() if quarantined is not None else F.lit(0)
+    return found.select(
+        (F.col("rows") + held.cast("bigint")).alias("raw_rows"),
         held.cast("bigint").alias("quarantined_rows"),
-        "duplicates_removed",
+        (F.col("rows") - F.col("distinct_rows")).alias("duplicates_removed"),
         "missing_amounts",
         "invalid_amounts",
         "invalid_statuses",

@@ -122,7 +122,7 @@ def cleaning_reports(
     """What cleaning removed and what is left, written as CSV."""
     clean = spark.table(TRANSACTIONS)
     reports = {
-        "cleaning_counters": cleaning_counters(raw, quarantined),
+        "cleaning_counters": cleaning_counters(raw, quarantined, clean),
         "null_profile": null_profile(clean),
         "overall_rates": overall_rates(clean),
     }

@@ -144,3 +144,29 @@ def test_row_filters_run_below_the_duplicate_removal_and_reach_parquet(spark, pa
     assert "transaction_status" in pushed
     assert plan.count("Exchange hashpartitioning") == 1
     assert df.filter(F.col("transaction_amount") <= 0).count() == 0
+
+
+@pytest.mark.parametrize("rows", [0, 1, 40])
+def test_counters_from_the_stored_rows_agree(spark, payments, rows):
+    kinds = [
+        {},
+        {"transaction_amount": None},
+        {"transaction_amount": float("nan"), "transaction_status": "Pending"},
+        {"transaction_amount": -1.0},
+        {"transaction_status": "Pending"},
+        {"processor_response_ms": None},
+        {"transaction_datetime": None},
+    ]
+    df = payments(*[{"transaction_id": str(i % 17), **kinds[i % 7]} for i in range(rows)] * 2) if rows else payments({}).limit(0)
+    clean = cleaning.clean_payments(df)
+    got = quality.cleaning_counters(df, df.limit(1), clean).collect()
+    assert got == quality.cleaning_counters(df, df.limit(1)).collect()
+    assert got[0].duplicates_removed >= rows
+
+
+def test_stored_rows_save_the_shuffle_of_all_rows(payments):
+    df = payments({}, {"transaction_amount": None})
+    plan = quality.cleaning_counters(df, None, cleaning.clean_payments(df))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    grouped = text[text.index("Aggregate [transaction_id") :]
+    assert grouped.splitlines()[1].strip().lstrip("+-: ").startswith(("Filter", "Project"))

@@ -1,6 +1,7 @@
 import csv
 import datetime as dt
 import glob
+import threading
 import os
 import subprocess
 import sys
@@ -101,6 +102,36 @@ def test_replacing_removes_the_old_version(spark, clean, tmp_path):
     assert len(glob.glob(f"{tmp_path}/t/version-*")) == 1
 
 
+def test_replacing_is_one_change_in_the_catalogue(spark, clean, tmp_path, monkeypatch):
+    """A reader in a loop always finds a whole version; the one it began with is kept."""
+    replace_table(clean({}), "pointed", str(tmp_path / "t"), keep=1)
+    begun = spark.table("pointed")
+    seen, done = [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            seen.append(spark.table("pointed").count())
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    statements, sql = [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda *a, **k: statements.append(a[1]) or sql(*a, **k))
+    try:
+        replace_table(clean(*[{}] * 2), "pointed", str(tmp_path / "t"), keep=1)
+        assert begun.count() == 1
+    finally:
+        done.set()
+        reader.join()
+    assert not any(s.startswith("DROP") for s in statements)
+    assert spark.table("pointed").count() == 2
+    assert seen and set(seen) <= {1, 2} and seen == sorted(seen)
+    replace_table(clean(*[{}] * 3), "pointed", str(tmp_path / "t"), keep=1)
+    assert len(glob.glob(f"{tmp_path}/t/version-*")) == 2
+    # Other columns: dropped and created.
+    assert replace_table(clean({}).select("hour"), "pointed", str(tmp_path / "t")).columns == ["hour"]
+    assert len(glob.glob(f"{tmp_path}/t/version-*")) == 1
+
+
 def test_row_counts_follow_the_catalogue(spark, clean, tmp_path):
     replace_table(clean({}, {}), "listed_table", str(tmp_path / "t"))
     assert "listed_table" in list_tables(spark)
