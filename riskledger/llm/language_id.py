@@ -248,8 +248,9 @@ def keep_identified(
     docs: DataFrame, model: Model, languages: list[str] | None = None, min_score: float = 0.0
 ) -> DataFrame:
     """The rows whose language is determined, and wanted if ``languages`` names some."""
-    judged = docs.withColumn("__language", predict(docs, model))
-    keep = (F.col("__language.lang") != UNDETERMINED) & (F.col("__language.score") >= min_score)
+    # The row stands beside the judgement as one column, so no name can clash.
+    judged = docs.select(F.struct("*").alias("row"), predict(docs, model).alias("language"))
+    keep = (F.col("language.lang") != UNDETERMINED) & (F.col("language.score") >= min_score)
     if languages is not None:
-        keep &= F.col("__language.lang").isin(languages)
-    return judged.filter(keep).drop("__language")
+        keep &= F.col("language.lang").isin(languages)
+    return judged.filter(keep).select("row.*")

@@ -65,6 +65,9 @@ def test_filter_keeps_columns(labelled, documents):
     kept = li.keep_identified(docs, model)
     assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1, 4]
     assert [r.doc_id for r in li.keep_identified(docs, model, ["de"]).collect()] == [4]
+    clashing = docs.selectExpr("*", "1 AS language", "2 AS `row`", "3 AS __language")
+    assert li.keep_identified(clashing, model).columns == clashing.columns
+    assert li.keep_identified(clashing, model).count() == kept.count()
 
 
 def test_held_out_accuracy(spark):
