@@ -36,16 +36,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskledger.models.features import CATEGORICAL_FEATURES, KEY, LABEL, NUMERIC_FEATURES
-from riskledger.session import materialise, remove_folder
+from riskledger.session import materialise, remove_folder, spread
 
 #: Derivatives are kept as multiples of this; sums of eight million rows fit a long.
 UNIT = 2.0**-40
 #: No bin is as high.
 TOP = 1 << 20
 #: Trees whose values are added up anew at each pass before the sums are stored.
-TREES_AT_A_TIME = 25
-#: Rows that one task handles.
+TREES_AT_A_TIME = 10
+#: Rows that one task handles at least and at most.
 ROWS_A_TASK = 10_000
+MOST_ROWS_A_TASK = 250_000
 CELLS = ["node", "feature", "bin", "g", "h"]
 TREES = "array<struct<feature:array<int>,lo:array<int>,hi:array<int>,value:array<double>>>"
 
@@ -218,8 +219,11 @@ def histogram(rows: DataFrame, trees: Sequence[Tree], level: int, round_: int, s
     added, grown = list(trees[:-1]), trees[-1]
     limit = round(settings.row_share * 1_000_000)
 
+    nodes = 1 << level
+
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells: dict[int, list[np.ndarray]] = {}
+        # Per feature, rows and sums by node and bin.
+        cells: dict[int, np.ndarray] = {}
         for batch in batches:
             taken = batch.filter(pc.less(batch.column("part"), limit))
             if not taken.num_rows:
@@ -231,17 +235,18 @@ def histogram(rows: DataFrame, trees: Sequence[Tree], level: int, round_: int, s
             p = 1.0 / (1.0 + np.exp(-total))
             g = np.round((p - taken.column("label").to_numpy()) / UNIT).astype(np.int64)
             h = np.round(np.maximum(p * (1 - p), 1e-16) / UNIT).astype(np.int64)
-            node = grown.nodes_of(bins, level)
+            node = grown.nodes_of(bins, level) - (nodes - 1)
             for feature in range(bins.shape[1]):
-                code, place = np.unique(node * TOP + bins[:, feature] + 1, return_inverse=True)
-                sums = np.zeros((3, len(code)), np.int64)
-                sums[0] = code
-                np.add.at(sums[1], place, g)
-                np.add.at(sums[2], place, h)
-                cells.setdefault(feature, []).append(sums)
-        for feature, parts in cells.items():
-            code, g, h = np.concatenate(parts, axis=1)
-            columns = [code // TOP, np.full(len(code), feature), code % TOP - 1, g, h]
+                own = bins[:, feature] + 1
+                kept = cells.get(feature, np.zeros((3, nodes, 0), np.int64))
+                more = max(0, int(own.max()) + 1 - kept.shape[2])
+                kept = np.pad(kept, ((0, 0), (0, 0), (0, more)))
+                code, size = node * kept.shape[2] + own, nodes * kept.shape[2]
+                sums = [np.bincount(code, minlength=size), _whole_sums(code, g, size), _whole_sums(code, h, size)]
+                cells[feature] = kept + np.reshape(sums, kept.shape)
+        for feature, (rows_there, g, h) in cells.items():
+            node, bin_ = np.nonzero(rows_there)
+            columns = [node + nodes - 1, np.full(len(node), feature), bin_ - 1, g[node, bin_], h[node, bin_]]
             yield pa.record_batch([pa.array(x, pa.int64()) for x in columns], names=CELLS)
 
     part = F.pmod(F.xxhash64("key", F.lit(round_), F.lit(settings.seed)), F.lit(1_000_000))
@@ -251,6 +256,14 @@ def histogram(rows: DataFrame, trees: Sequence[Tree], level: int, round_: int, s
     return partial_sums.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
 
 
+def _whole_sums(code: np.ndarray, units: np.ndarray, size: int) -> np.ndarray:
+    """Exact sums of whole numbers by code: of their upper and lower halves, which doubles hold."""
+    half = 20
+    upper, lower = units >> half, units & ((1 << half) - 1)
+    sums = (np.bincount(code, x, size).astype(np.int64) for x in (upper, lower))
+    return (next(sums) << half) + next(sums)
+
+
 def _matrix(bins: pa.Array) -> np.ndarray:
     """One row of bins per row of the batch; all rows have as many."""
     return bins.flatten().to_numpy().reshape(len(bins), -1).astype(np.int64)
@@ -417,14 +430,14 @@ def fit(
     share = min(max(positives, 0.5), n - 0.5) / n if n else 0.5
     base = math.log(share / (1 - share))
     columns = bins.columns()
+    binned = rows.select(
+        F.col(key).alias("key"),
+        F.col(label).cast("double").alias("label"),
+        bins.expression().alias("bins"),
+        F.lit(base).alias("total"),
+    )
     stored = materialise(
-        rows.select(
-            F.col(key).alias("key"),
-            F.col(label).cast("double").alias("label"),
-            bins.expression().alias("bins"),
-            F.lit(base).alias("total"),
-        ).repartition(1 + n // ROWS_A_TASK, "key"),
-        f"{folder}/boost-0",
+        spread(binned, n, "key", ROWS_A_TASK, MOST_ROWS_A_TASK), f"{folder}/boost-0"
     )
     trees: list[Tree] = []
     waiting: list[Tree] = []
