@@ -11,12 +11,13 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from riskledger import registry
 from riskledger.models import boosting, certificates, tables
 from riskledger.models import features as mf
 from riskledger.models import metrics as mm
 from riskledger.models import training as mt
 from riskledger.registry import stamp, txn
-from riskledger.session import materialise, temporary_folder
+from riskledger.session import materialise, spread, temporary_folder
 
 SMALL = mt.ModelSizes(
     trees=6, tree_depth=4, boost_rounds=4, boost_depth=3, logistic_iterations=200, second_order_rounds=3
@@ -131,9 +132,63 @@ def test_boosting_one_class_and_no_rows(spark, frame):
     assert boosting.fit(none, temporary_folder(spark, "b2"), settings).transform(never).count() == 30
 
 
+def test_histogram_of_many_batches(spark):
+    """The sums of the rows' own derivatives, as whole numbers."""
+    n = 25_000
+    df = spark.range(n, numPartitions=1).select(
+        F.col("id").cast("string").alias("key"),
+        (F.col("id") % 3 == 0).cast("double").alias("label"),
+        # Features whose highest bin comes late, and an unknown value.
+        F.array((F.col("id") / 1000).cast("int"), (F.col("id") % 5 - 1).cast("int")).alias("bins"),
+        F.lit(0.25).alias("total"),
+    )
+    settings = boosting.BoostSettings(row_share=1.0)
+    partial = boosting.histogram(df, [boosting.Tree(2)], 0, 0, settings)
+    got = {(r.node, r.feature, r.bin): (r.g, r.h) for r in partial.collect()}
+    p = 1 / (1 + math.exp(-0.25))
+    expected = {}
+    for i in range(n):
+        g, h = (int(np.round(x / boosting.UNIT)) for x in (p - (i % 3 == 0), p * (1 - p)))
+        for feature, own in enumerate((i // 1000, i % 5 - 1)):
+            a, b = expected.get((0, feature, own), (0, 0))
+            expected[0, feature, own] = a + g, b + h
+    assert got == expected
+
+
+def test_whole_sums_are_exact():
+    units = np.array([(1 << 40) - 1, -(1 << 40) + 3, 1, -1] * 60_000 + [1 << 40] * 30_000)
+    code = np.arange(len(units)) % 2
+    expected = [sum(units[code == c].tolist()) for c in (0, 1)]
+    assert boosting._whole_sums(code, units, 3).tolist() == [*expected, 0]
+
+
 # -- certificates ---------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("name", ["Random Forest", "Gradient Boosted Trees"])
+def test_leaf_sums_equal_the_leaves_of_every_row(trained, train_rows, name):
+    table = tables.model_table(train_rows.sparkSession, trained.models[name])
+    weighted = train_rows.withColumn("weight", 1.0 + F.col("is_fraud"))
+    sums = certificates.leaf_sums(table, weighted, "is_fraud", "weight")
+    # A row per task and leaf at most, whatever the number of rows.
+    assert sums.groupBy("tree", "node").count().agg(F.max("count")).first()[0] <= weighted.rdd.getNumPartitions()
+    got = sums.groupBy("tree", "node").agg(F.sum("n"), F.sum("weight"), F.sum("total")).collect()
+    leaves = weighted.select("is_fraud", "weight", F.posexplode(tables.scoring(table).leaves).alias("tree", "node"))
+    value = F.col("is_fraud") * F.col("weight")
+    expected = leaves.groupBy("tree", "node").agg(F.count("*"), F.sum("weight"), F.sum(value)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, expected))
+
+
+def test_a_bounded_fit_is_certified_over_its_own_rows(payments, frame):
+    split = mf.stratified_split(frame)
+    result = mt.train(payments, SMALL, only=["Logistic Regression"], max_train_rows=2000)
+    own = mt.fitted_rows(split, result.split_sizes, 2000)
+    assert 1500 < own.count() < 2500
+    assert certificates.certificates(result.models, own).first().holds
+    everything = mt.fitted_rows(split, result.split_sizes)
+    assert not certificates.certificates(result.models, everything).first().holds
+
+
 def test_certificates_hold(trained, train_rows):
     settings = boosting.BoostSettings(rounds=3, depth=3)
     rows = certificates.certificates(trained.models, train_rows, settings).collect()
@@ -261,3 +316,55 @@ def test_a_changed_table_is_trained_anew(spark, tmp_path):
     before = stamp(spark, str(tmp_path), "events")
     df.limit(60).write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
     assert stamp(spark, str(tmp_path), "events") != before
+
+
+# -- fitting --------------------------------------------------------------------------------
+
+
+def test_fitting_takes_a_task_a_slot(spark, payments, monkeypatch):
+    """Tasks go by the slots there are and not by the rows, however many passes are made."""
+    seen = []
+
+    class Spy(LogisticRegression):
+        def _fit(self, dataset):
+            seen.append(dataset.rdd.glom().map(len).collect())
+            return super()._fit(dataset)
+
+    spy = Spy(labelCol="is_fraud", weightCol="weight", maxIter=2)
+    monkeypatch.setattr(mt, "candidates", lambda n, sizes: {"Logistic Regression": spy})
+    monkeypatch.setattr(mt, "ROWS_A_TASK", 100)
+    in_many_files = payments.repartition(40)
+    result = mt.train(in_many_files, SMALL, only=["Logistic Regression"])
+    n = sum(r.n for r in result.split_sizes.collect() if r.split == "train")
+    slots = spark.sparkContext.defaultParallelism
+    assert sum(seen[0]) == n and len(seen[0]) == slots and max(seen[0]) < 1.3 * n / slots
+
+
+def test_rows_are_spread_by_key(spark):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("key"))
+    slots = spark.sparkContext.defaultParallelism
+    for least, most, tasks in ((2000, 9000, 1), (10, 9000, slots), (10, 50, max(slots, 21))):
+        parts = spread(df, 1000, "key", least, most).rdd.glom().collect()
+        assert len(parts) == tasks and all(part == sorted(part) for part in parts)
+
+
+def test_a_query_of_one_candidate_fits_that_alone(spark, payments, monkeypatch, tmp_path):
+    asked = []
+
+    def train(rows, with_outcomes=False, only=None, original=mt.train):
+        asked.append(list(only))
+        return original(payments, SMALL, with_outcomes, only)
+
+    monkeypatch.setattr(mt, "train", train)
+    monkeypatch.setattr(registry, "_trained", {})
+    data = "/root/testdata/sf0.001"
+    forest = registry.QUERIES["random_forest"](spark, data).collect()
+    assert asked == [["Random Forest"]] and {r.model for r in forest} == {"Random Forest"}
+    whole = registry.trained(spark, data)
+    assert asked[1:] == [["Logistic Regression", "Gradient Boosted Trees"]]
+    assert [r.model for r in whole.comparison.collect()] == mt.NAMES[:3] == list(whole.models)
+    recall = {r.model: r.recall for r in whole.metrics.collect()}
+    assert whole.best_name == max(mt.NAMES[:3], key=recall.get) and whole.best is whole.models[whole.best_name]
+    assert sorted(registry.QUERIES["random_forest"](spark, data).collect()) == sorted(forest)
+    assert registry.QUERIES["model_comparison"](spark, data).count() == 6
+    assert len(asked) == 2
