@@ -368,3 +368,45 @@ def test_a_query_of_one_candidate_fits_that_alone(spark, payments, monkeypatch,
     assert sorted(registry.QUERIES["random_forest"](spark, data).collect()) == sorted(forest)
     assert registry.QUERIES["model_comparison"](spark, data).count() == 6
     assert len(asked) == 2
+
+
+# -- all rows -------------------------------------------------------------------------------
+
+
+def test_all_rows_marked_train_are_fitted_on(spark):
+    """However many there are: these sizes claim fifty million."""
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("transaction_id"), F.lit("train").alias("split"))
+    sizes = spark.createDataFrame([(0, "train", 49_000_000), (1, "train", 1_000_000)], "label INT, split STRING, n BIGINT")
+    assert mt.fitted_rows(rows, sizes).count() == 1000
+
+
+@pytest.mark.parametrize("name", [mt.NAMES[0], mt.SECOND_ORDER])
+def test_a_training_of_more_than_a_million_rows_takes_them_all(spark, monkeypatch, name):
+    n = 1_200_000
+    spread_out = {c: (F.col("id") % (7 + i)).cast("int") for i, c in enumerate(mf.NUMERIC_FEATURES)}
+    values = {c: F.concat(F.lit("v"), F.col("id") % 3) for c in mf.CATEGORICAL_FEATURES}
+    rows = spark.range(n + 1000).select(
+        F.format_string("T%08d", "id").alias("transaction_id"),
+        *[x.alias(c) for c, x in {**spread_out, **values}.items()],
+        (F.pmod(F.xxhash64("id"), F.lit(10)) < 2).cast("int").alias("is_fraud"),
+        F.when(F.col("id") < n, "train").otherwise("test").alias("split"),
+    )
+    seen = []
+    original = mt.boosting.fit
+
+    class Spy(LogisticRegression):
+        def _fit(self, dataset):
+            seen.append(dataset.count())
+            return super()._fit(dataset)
+
+    def spy(train_rows, folder, settings):
+        seen.append(train_rows.count())
+        return original(train_rows.limit(1000), folder, settings)
+
+    classifier = Spy(labelCol="is_fraud", weightCol="weight", maxIter=1)
+    monkeypatch.setattr(mt, "candidates", lambda n, sizes: {mt.NAMES[0]: classifier})
+    monkeypatch.setattr(mt.boosting, "fit", spy)
+    folder = temporary_folder(spark, "million")
+    stored = materialise(rows, f"{folder}/rows")
+    mt.fit_and_compare(stored, mt.ModelSizes(second_order_rounds=1), folder, [name])
+    assert seen == [n]
