@@ -410,3 +410,34 @@ def test_a_training_of_more_than_a_million_rows_takes_them_all(spark, monkeypatc
     stored = materialise(rows, f"{folder}/rows")
     mt.fit_and_compare(stored, mt.ModelSizes(second_order_rounds=1), folder, [name])
     assert seen == [n]
+
+
+def test_sums_of_derivatives_fit_a_long_however_many_rows():
+    assert boosting.unit_for(0) == boosting.unit_for(4_000_000) == boosting.UNIT
+    for n in (2**22, 2**23, 10**9, 10**13):
+        unit = boosting.unit_for(n)
+        assert n / unit < 2**63 and unit == 2.0 ** round(math.log2(unit))
+
+
+def test_a_fit_takes_its_unit_from_its_rows(spark, frame, monkeypatch):
+    """Leaves are right, and sums whole, in units as large as trillions of rows would need."""
+    rows = materialise(frame.limit(400), temporary_folder(spark, "coarse"))
+    settings = boosting.BoostSettings(rounds=2, depth=2)
+    fine = boosting.fit(rows, temporary_folder(spark, "u1"), settings).parts()[2]
+    monkeypatch.setattr(boosting, "unit_for", lambda n: 2.0**-22)
+    model = boosting.fit(rows, temporary_folder(spark, "u2"), settings)
+    coarse = model.parts()[2]
+    assert [t.feature for t in fine] == [t.feature for t in coarse] and fine != coarse
+    assert [v for t in fine for v in t.value] == pytest.approx([v for t in coarse for v in t.value], abs=1e-4)
+    assert certificates.boosted_leaf_error(model, rows, settings=settings) < 1e-4
+
+
+def test_a_level_of_nine_million_rows_adds_up(spark):
+    n = 9_000_000
+    df = spark.range(n, numPartitions=8).select(
+        F.col("id").cast("string").alias("key"), F.lit(0.0).alias("label"), F.array(F.lit(3)).alias("bins"),
+        F.lit(40.0).alias("total"),
+    )
+    settings = boosting.BoostSettings(row_share=1.0, unit=boosting.unit_for(n))
+    row = boosting.histogram(df, [boosting.Tree(1)], 0, 0, settings).first()
+    assert (row.node, row.feature, row.bin) == (0, 0, 3) and row.g * settings.unit == pytest.approx(n, rel=1e-9)
